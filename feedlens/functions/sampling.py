@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+DEFAULT_BUCKETS = 256
+
 
 def _hex_prefix_int(text: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
@@ -31,7 +33,7 @@ def hash_bucket(col: str, buckets: int) -> Column:
 
 
 def indexed_members(df: DataFrame, group_col: str, order_col: str,
-                    buckets: int = 256, index_col: str = "idx") -> tuple[DataFrame, DataFrame]:
+                    buckets: int = DEFAULT_BUCKETS, index_col: str = "idx") -> tuple[DataFrame, DataFrame]:
     """Add a dense 0-based ``index_col`` per ``group_col``, ordered by
     (md5 bucket of ``order_col``, ``order_col``).  ``order_col`` must be
     unique within a group for the index to be deterministic.
@@ -62,7 +64,7 @@ def draw_index(seed, sim: Column, group: Column, draw: Column, n: Column) -> Col
 
 def resample_with_replacement(spark, members: DataFrame, group_col: str, value_col: str,
                               groups: list, sims: int, sample_size: int, seed: int,
-                              buckets: int = 256) -> DataFrame:
+                              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Rows (sim, group, value): ``sims`` samples of ``sample_size`` members
     drawn with replacement from each group of ``groups``.
 

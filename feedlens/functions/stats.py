@@ -39,62 +39,60 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
-def gamma_half_ratio(x: Column) -> Column:
-    """Gamma(x + 1/2) / Gamma(x) for x > 0."""
-    y = x + _SHIFT
-    series = F.lit(GAMMA_RATIO_SERIES[-1])
+def gamma_half_ratio_sql(x: str) -> str:
+    """SQL text of Gamma(x + 1/2) / Gamma(x) for x > 0 (``x`` is SQL)."""
+    y = f"({x} + {_SHIFT})"
+    series = f"{GAMMA_RATIO_SERIES[-1]!r}D"
     for coef in reversed(GAMMA_RATIO_SERIES[:-1]):
-        series = series / y + coef
-    ratio = F.sqrt(y) * series
-    for i in range(_SHIFT):
-        ratio = ratio * (x + i) / (x + i + 0.5)
-    return ratio
+        series = f"({series} / {y} + {coef!r}D)"
+    factors = " * ".join(f"(({x} + {i}) / ({x} + {i + 0.5}D))" for i in range(_SHIFT))
+    return f"(sqrt({y}) * {series} * {factors})"
 
 
-def _simpson_cos_power(theta0: Column, expo: Column) -> Column:
-    """Simpson's rule for the integral of cos(x)^expo over [0, theta0]."""
-    h = theta0 / SIMPSON_STEPS
+def gamma_half_ratio(x: str) -> Column:
+    """Gamma(x + 1/2) / Gamma(x) of a column (name) with values > 0."""
+    return F.expr(gamma_half_ratio_sql(f"CAST(`{x}` AS DOUBLE)"))
 
-    def term(acc, k):
-        w = (F.when((k == 0) | (k == SIMPSON_STEPS), F.lit(1.0))
-             .when(k % 2 == 1, F.lit(4.0)).otherwise(F.lit(2.0)))
-        return acc + w * F.pow(F.cos(k * h), expo)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(SIMPSON_STEPS)), F.lit(0.0), term) * h / 3
+def simpson_cos_power_sql(theta0: str, expo: str, steps: int = SIMPSON_STEPS) -> str:
+    """SQL text of Simpson's rule for the integral of cos(x)^expo over
+    [0, theta0] with ``steps`` (even) intervals."""
+    h = f"({theta0} / {steps})"
+    weight = f"CASE WHEN k = 0 OR k = {steps} THEN 1D WHEN k % 2 = 1 THEN 4D ELSE 2D END"
+    return (f"(aggregate(sequence(0, {steps}), 0D, (acc, k) -> acc + {weight} * "
+            f"pow(cos(k * {h}), {expo})) * {h} / 3)")
 
 
 def with_p_value(frame: DataFrame, t: str = "t", df: str = "df", out: str = "p") -> DataFrame:
     """Add the two-sided Student t p-value of columns ``t`` and ``df``.
 
-    Computed in two projections over attributes, so the optimizer never
-    sees the t/df expressions copied into every factor of the gamma ratio
-    and every Simpson step.  NULL when t or df is NULL or df <= 0."""
-    tc, dfc = F.col(t).cast("double"), F.col(df).cast("double")
-    abs_t = F.abs(tc)
-    capped = F.when(dfc > 30, F.least(abs_t, F.lit(40.0))).otherwise(abs_t)
+    Two projections over attributes: the first derives theta0, the exponent
+    and the gamma ratio once per row, the second runs the Simpson sum.  NULL
+    when t or df is NULL or df <= 0."""
+    tq, dq = f"CAST(`{t}` AS DOUBLE)", f"CAST(`{df}` AS DOUBLE)"
+    capped = f"(CASE WHEN {dq} > 30 THEN least(abs({tq}), 40D) ELSE abs({tq}) END)"
     staged = frame.withColumns({
-        "_pv_theta0": F.atan(capped / F.sqrt(dfc)),
-        "_pv_expo": dfc - 1,
-        "_pv_g": gamma_half_ratio(dfc / 2),
-        "_pv_ok": tc.isNotNull() & (dfc > 0),
+        "_pv_theta0": F.expr(f"atan({capped} / sqrt({dq}))"),
+        "_pv_expo": F.expr(f"{dq} - 1"),
+        "_pv_g": F.expr(gamma_half_ratio_sql(f"({dq} / 2)")),
+        "_pv_ok": F.expr(f"{tq} IS NOT NULL AND {dq} > 0"),
     })
-    mass = (_simpson_cos_power(F.col("_pv_theta0"), F.col("_pv_expo")) * F.col("_pv_g")
-            * (2.0 / math.sqrt(math.pi)))
-    p = F.greatest(F.least(F.lit(1.0) - mass, F.lit(1.0)), F.lit(0.0))
-    return staged.withColumn(out, F.when(F.col("_pv_ok"), p)).drop(
-        "_pv_theta0", "_pv_expo", "_pv_g", "_pv_ok")
-
-
-def student_t_two_sided_p(t, df) -> Column:
-    """Column form of the p-value for literal or attribute inputs; prefer
-    ``with_p_value`` when t and df are themselves computed expressions."""
-    t, df = _c(t).cast("double"), _c(df).cast("double")
-    abs_t = F.abs(t)
-    capped = F.when(df > 30, F.least(abs_t, F.lit(40.0))).otherwise(abs_t)
-    mass = (_simpson_cos_power(F.atan(capped / F.sqrt(df)), df - 1)
-            * gamma_half_ratio(df / 2) * (2.0 / math.sqrt(math.pi)))
-    p = F.greatest(F.least(F.lit(1.0) - mass, F.lit(1.0)), F.lit(0.0))
-    return F.when(t.isNotNull() & (df > 0), p)
+    mass = (f"{simpson_cos_power_sql('_pv_theta0', '_pv_expo')} * _pv_g * "
+            f"{2.0 / math.sqrt(math.pi)!r}D")
+    p = F.expr(f"CASE WHEN _pv_ok THEN greatest(least(1D - {mass}, 1D), 0D) END")
+    return staged.withColumn(out, p).drop("_pv_theta0", "_pv_expo", "_pv_g", "_pv_ok")
+
+
+def student_t_two_sided_p(t: str, df: str) -> Column:
+    """Column form of the p-value for two column names (used on small
+    inputs and in tests; jobs use ``with_p_value``)."""
+    tq, dq = f"CAST(`{t}` AS DOUBLE)", f"CAST(`{df}` AS DOUBLE)"
+    capped = f"(CASE WHEN {dq} > 30 THEN least(abs({tq}), 40D) ELSE abs({tq}) END)"
+    theta0 = f"atan({capped} / sqrt({dq}))"
+    mass = (f"{simpson_cos_power_sql(theta0, f'({dq} - 1)')} * "
+            f"{gamma_half_ratio_sql(f'({dq} / 2)')} * {2.0 / math.sqrt(math.pi)!r}D")
+    return F.expr(f"CASE WHEN {tq} IS NOT NULL AND {dq} > 0 "
+                  f"THEN greatest(least(1D - {mass}, 1D), 0D) END")
 
 
 def with_welch(frame: DataFrame, m1="mean_a", v1="var_a", n1="n_a", m2="mean_b",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import time_in_days
-from ..functions.sampling import resample_with_replacement
+from ..functions.sampling import DEFAULT_BUCKETS, resample_with_replacement
 from ..functions.stats import equal_width_bin, with_welch
 
 ALPHA = 0.05
@@ -120,7 +120,7 @@ def histogram(df: DataFrame, value_col: str, bins: int, group_col: str | None =
 
 def aa_resample(spark: SparkSession, users: DataFrame, group_a, group_b, sims: int = 10_000,
                 sample_size: int = 500, seed: int = 42, metric: str = "ctr",
-                buckets: int = 256) -> DataFrame:
+                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One row per simulated A/A test: ``sample_size`` users drawn with
     replacement from each arm, Welch test on ``metric``.
 

@@ -15,11 +15,35 @@ from pyspark.sql import functions as F
 from .schema import FEED_ACTIONS, MESSAGE_ACTIONS
 
 
+# column types of the driver's test tables (read with a fixed schema: no
+# footer inference on every plan)
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+# logical plans only (no data): building the same fixture plan again for
+# every query of a session costs Py4J round-trips and nothing else
+_PLANS: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _sender_attributes(e: DataFrame) -> list:
+def _sender_attributes() -> list:
     uid = F.col("user_id")
     android = (uid % 4 >= 2) == (F.col("event_id") % 11 != 0)
     return [
@@ -30,12 +54,30 @@ def _sender_attributes(e: DataFrame) -> list:
     ]
 
 
-def _props_number(e: DataFrame):
+def _props_number():
     return F.regexp_extract(F.col("props"), "[0-9]+", 0).try_cast("bigint")
 
 
 def feed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``feed_actions`` rows: a view stays a view, a click stands for a like."""
+    return _memo("feed", spark, sf_dir, lambda: _feed_actions(spark, sf_dir))
+
+
+def message_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``message_actions`` rows: purchases of two thirds of the users.
+
+    The receiver id uses ``max(user_id) + 1`` over all events, a scalar
+    subquery (one value, computed by its own aggregate)."""
+    return _memo("messages", spark, sf_dir, lambda: _message_actions(spark, sf_dir))
+
+
+def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long-run activity log (FIXTURES.md section 3): one row per order,
+    ``user_id``, ``time`` and the user's acquisition ``source``."""
+    return _memo("orders", spark, sf_dir, lambda: _order_activity(spark, sf_dir))
+
+
+def _feed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = (_table(spark, sf_dir, "events")
          .filter(F.col("event_type").isin("view", "click"))
          .select("event_id", "user_id", "ts", "event_type", "props"))
@@ -47,35 +89,29 @@ def feed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id"),
         F.col("ts").alias("time"),
         F.when(F.col("event_type") == "view", F.lit("view")).otherwise(F.lit("like")).alias("action"),
-        _props_number(j).alias("post_id"),
-        *_sender_attributes(j),
+        _props_number().alias("post_id"),
+        *_sender_attributes(),
         F.col("n_name").alias("city"),
         (F.col("user_id") % 5).cast("int").alias("exp_group"),
     )
     return out.select([F.col(f.name).cast(f.dataType) for f in FEED_ACTIONS.fields])
 
 
-def message_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``message_actions`` rows: purchases of two thirds of the users.
-
-    The receiver id uses ``max(user_id) + 1`` over all events, a scalar
-    subquery (one value, computed by its own aggregate)."""
+def _message_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     modulus = events.agg(F.max("user_id") + 1).scalar()
     e = (events.filter((F.col("event_type") == "purchase") & (F.col("user_id") % 3 != 0))
          .select("event_id", "user_id", "ts", "props"))
     out = e.select(
         F.col("user_id"),
-        ((F.col("user_id") * 31 + _props_number(e)) % modulus).alias("reciever_id"),
+        ((F.col("user_id") * 31 + _props_number()) % modulus).alias("reciever_id"),
         F.col("ts").alias("time"),
-        *_sender_attributes(e),
+        *_sender_attributes(),
     )
     return out.select([F.col(f.name).cast(f.dataType) for f in MESSAGE_ACTIONS.fields])
 
 
-def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long-run activity log (FIXTURES.md section 3): one row per order,
-    ``user_id``, ``time`` and the user's acquisition ``source``."""
+def _order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
     return o.select(
         F.col("o_custkey").alias("user_id"),
