@@ -62,6 +62,23 @@ def draw_index(seed, sim: Column, group: Column, draw: Column, n: Column) -> Col
     return F.when(n > 0, F.pmod(_hex_prefix_int(key, 8), n))
 
 
+def broadcast_limit_bytes(spark) -> int:
+    """The session's broadcast threshold in bytes (-1 = never broadcast)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    raw = str(raw).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
+
+
+# bytes of one indexed member row in a broadcast hash relation, with slack:
+# group (int) + idx (long) + value (double) + row and hash-table overhead
+_MEMBER_ROW_BYTES = 64
+
+
 def resample_with_replacement(spark, members: DataFrame, group_col: str, value_col: str,
                               groups: list, sims: int, sample_size: int, seed: int,
                               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
@@ -70,24 +87,38 @@ def resample_with_replacement(spark, members: DataFrame, group_col: str, value_c
 
     The draws are generated by ``spark.range`` (distributed, nothing built on
     the driver) and matched to members by an equi-join on (group, index).
-    Group sizes come from the bucket counts; that table has one row per
-    requested group, so broadcasting it is bounded by ``len(groups)``.
-    Output size is sims x sample_size x len(groups) rows, independent of
-    the member count.
+
+    The indexed members are checkpointed (reliable, under the session's
+    checkpoint folder): they are read twice (sizes, join), the bucket offsets
+    must not be recomputed differently after an executor loss, and their row
+    count is then known exactly.  They are broadcast to the draws only when
+    that count times a row size is below the session's broadcast threshold;
+    otherwise both sides are shuffled on (group, idx).  Group sizes have one
+    row per requested group and are always broadcast.
+    Output size is sims x sample_size x len(groups) rows.
     """
+    from ..session import ensure_checkpoint_dir
+
     m = members.filter(F.col(group_col).isin(*groups) & F.col(value_col).isNotNull())
-    indexed, sizes = indexed_members(m.select(group_col, "user_id", value_col), group_col,
-                                     "user_id", buckets=buckets)
+    indexed, _ = indexed_members(m.select(group_col, "user_id", value_col), group_col,
+                                 "user_id", buckets=buckets)
+    ensure_checkpoint_dir(spark)
+    indexed = indexed.select(group_col, "idx", value_col).checkpoint(eager=True)
+    sizes = indexed.groupBy(group_col).agg(F.count("*").alias("n"))
+    n_members = indexed.count()
+    limit = broadcast_limit_bytes(spark)
+    small = 0 <= n_members * _MEMBER_ROW_BYTES <= limit
+
     k = len(groups)
     arm = F.col("id") % k
-    rest = F.expr(f"id div {k}")
     group = F.element_at(F.array(*[F.lit(g) for g in groups]), (arm + 1).cast("int"))
     draws = spark.range(0, sims * sample_size * k).select(
         F.expr(f"(id div {k}) div {sample_size}").alias("sim"),
-        (rest % sample_size).alias("draw"),
+        F.expr(f"(id div {k}) % {sample_size}").alias("draw"),
         group.alias(group_col),
     )
     draws = draws.join(F.broadcast(sizes), group_col).select(
         "sim", group_col,
         draw_index(seed, F.col("sim"), F.col(group_col), F.col("draw"), F.col("n")).alias("idx"))
-    return draws.join(indexed, [group_col, "idx"]).select("sim", group_col, value_col)
+    side = F.broadcast(indexed) if small else indexed
+    return draws.join(side, [group_col, "idx"]).select("sim", group_col, value_col)

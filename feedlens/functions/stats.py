@@ -71,11 +71,12 @@ def with_p_value(frame: DataFrame, t: str = "t", df: str = "df", out: str = "p")
     when t or df is NULL or df <= 0."""
     tq, dq = f"CAST(`{t}` AS DOUBLE)", f"CAST(`{df}` AS DOUBLE)"
     capped = f"(CASE WHEN {dq} > 30 THEN least(abs({tq}), 40D) ELSE abs({tq}) END)"
+    ok = f"({tq} IS NOT NULL AND {dq} > 0)"
     staged = frame.withColumns({
-        "_pv_theta0": F.expr(f"atan({capped} / sqrt({dq}))"),
+        "_pv_theta0": F.expr(f"CASE WHEN {ok} THEN atan({capped} / sqrt({dq})) END"),
         "_pv_expo": F.expr(f"{dq} - 1"),
-        "_pv_g": F.expr(gamma_half_ratio_sql(f"({dq} / 2)")),
-        "_pv_ok": F.expr(f"{tq} IS NOT NULL AND {dq} > 0"),
+        "_pv_g": F.expr(f"CASE WHEN {ok} THEN {gamma_half_ratio_sql(f'({dq} / 2)')} END"),
+        "_pv_ok": F.expr(ok),
     })
     mass = (f"{simpson_cos_power_sql('_pv_theta0', '_pv_expo')} * _pv_g * "
             f"{2.0 / math.sqrt(math.pi)!r}D")
@@ -88,7 +89,7 @@ def student_t_two_sided_p(t: str, df: str) -> Column:
     inputs and in tests; jobs use ``with_p_value``)."""
     tq, dq = f"CAST(`{t}` AS DOUBLE)", f"CAST(`{df}` AS DOUBLE)"
     capped = f"(CASE WHEN {dq} > 30 THEN least(abs({tq}), 40D) ELSE abs({tq}) END)"
-    theta0 = f"atan({capped} / sqrt({dq}))"
+    theta0 = f"atan({capped} / sqrt(CASE WHEN {dq} > 0 THEN {dq} END))"
     mass = (f"{simpson_cos_power_sql(theta0, f'({dq} - 1)')} * "
             f"{gamma_half_ratio_sql(f'({dq} / 2)')} * {2.0 / math.sqrt(math.pi)!r}D")
     return F.expr(f"CASE WHEN {tq} IS NOT NULL AND {dq} > 0 "

@@ -130,6 +130,9 @@ def aa_resample(spark: SparkSession, users: DataFrame, group_a, group_b, sims: i
     a, b = _arm(metric, "exp_group", group_a), _arm(metric, "exp_group", group_b)
     per_sim = draws.groupBy("sim").agg(*[c.alias(f"{k}_a") for k, c in a.items()],
                                        *[c.alias(f"{k}_b") for k, c in b.items()])
+    # one row per simulation is tiny, so AQE would coalesce it into one task;
+    # the p-value integral is CPU work per row: spread it over all cores
+    per_sim = per_sim.repartition(spark.sparkContext.defaultParallelism, "sim")
     return with_welch(per_sim).select("sim", "n_a", "n_b", "mean_a", "mean_b", "var_a",
                                       "var_b", "t", "df", "p")
 
@@ -143,7 +146,7 @@ def false_positive_rate(sims: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """One row: simulations, how many gave p <= alpha, and that share in %."""
     return sims.agg(F.count("p").alias("sims"),
                     F.count_if(F.col("p") <= alpha).alias("n_significant")) \
-        .withColumn("share_pct", F.col("n_significant") / F.col("sims") * 100)
+        .withColumn("share_pct", F.try_divide(F.col("n_significant"), F.col("sims")) * 100)
 
 
 def aa_split_check(spark: SparkSession, feed: DataFrame, first, last, group_a, group_b,
