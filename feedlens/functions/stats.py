@@ -40,13 +40,18 @@ def _c(x) -> Column:
 
 
 def gamma_half_ratio_sql(x: str) -> str:
-    """SQL text of Gamma(x + 1/2) / Gamma(x) for x > 0 (``x`` is SQL)."""
+    """SQL text of Gamma(x + 1/2) / Gamma(x) for x > 0 (``x`` is SQL).
+
+    Series at y = x + 16, times the product of (x + i) / (x + i + 1/2) for
+    i = 0..15, folded left to right by ``aggregate`` (a small expression
+    tree: the planner analyses it quickly)."""
     y = f"({x} + {_SHIFT})"
     series = f"{GAMMA_RATIO_SERIES[-1]!r}D"
     for coef in reversed(GAMMA_RATIO_SERIES[:-1]):
         series = f"({series} / {y} + {coef!r}D)"
-    factors = " * ".join(f"(({x} + {i}) / ({x} + {i + 0.5}D))" for i in range(_SHIFT))
-    return f"(sqrt({y}) * {series} * {factors})"
+    product = (f"aggregate(sequence(0, {_SHIFT - 1}), 1D, "
+               f"(acc, i) -> acc * (({x} + i) / ({x} + i + 0.5D)))")
+    return f"((sqrt({y}) * {series}) * {product})"
 
 
 def gamma_half_ratio(x: str) -> Column:
@@ -72,16 +77,16 @@ def with_p_value(frame: DataFrame, t: str = "t", df: str = "df", out: str = "p")
     tq, dq = f"CAST(`{t}` AS DOUBLE)", f"CAST(`{df}` AS DOUBLE)"
     capped = f"(CASE WHEN {dq} > 30 THEN least(abs({tq}), 40D) ELSE abs({tq}) END)"
     ok = f"({tq} IS NOT NULL AND {dq} > 0)"
-    staged = frame.withColumns({
-        "_pv_theta0": F.expr(f"CASE WHEN {ok} THEN atan({capped} / sqrt({dq})) END"),
-        "_pv_expo": F.expr(f"{dq} - 1"),
-        "_pv_g": F.expr(f"CASE WHEN {ok} THEN {gamma_half_ratio_sql(f'({dq} / 2)')} END"),
-        "_pv_ok": F.expr(ok),
-    })
+    staged = frame.select(
+        "*",
+        F.expr(f"CASE WHEN {ok} THEN atan({capped} / sqrt({dq})) END").alias("_pv_theta0"),
+        F.expr(f"{dq} - 1").alias("_pv_expo"),
+        F.expr(f"CASE WHEN {ok} THEN {gamma_half_ratio_sql(f'({dq} / 2)')} END").alias("_pv_g"),
+        F.expr(ok).alias("_pv_ok"))
     mass = (f"{simpson_cos_power_sql('_pv_theta0', '_pv_expo')} * _pv_g * "
             f"{2.0 / math.sqrt(math.pi)!r}D")
     p = F.expr(f"CASE WHEN _pv_ok THEN greatest(least(1D - {mass}, 1D), 0D) END")
-    return staged.withColumn(out, p).drop("_pv_theta0", "_pv_expo", "_pv_g", "_pv_ok")
+    return staged.select(*[F.col(f"`{c}`") for c in frame.columns], p.alias(out))
 
 
 def student_t_two_sided_p(t: str, df: str) -> Column:
@@ -107,11 +112,11 @@ def with_welch(frame: DataFrame, m1="mean_a", v1="var_a", n1="n_a", m2="mean_b",
     a, b = F.col("_w_a"), F.col("_w_b")
     se2 = a + b
     ok = (n1 >= 2) & (n2 >= 2) & (se2 > 0)
-    staged = frame.withColumns({"_w_a": v1 / n1, "_w_b": v2 / n2})
-    staged = staged.withColumns({
-        "t": F.when(ok, (m1 - m2) / F.sqrt(se2)),
-        "df": F.when(ok, se2 * se2 / (a * a / (n1 - 1) + b * b / (n2 - 1))),
-    }).drop("_w_a", "_w_b")
+    staged = frame.select("*", (v1 / n1).alias("_w_a"), (v2 / n2).alias("_w_b"))
+    staged = staged.select(
+        *[F.col(f"`{c}`") for c in frame.columns],
+        F.when(ok, (m1 - m2) / F.sqrt(se2)).alias("t"),
+        F.when(ok, se2 * se2 / (a * a / (n1 - 1) + b * b / (n2 - 1))).alias("df"))
     return with_p_value(staged)
 
 
