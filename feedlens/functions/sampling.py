@@ -28,8 +28,13 @@ def _hex_prefix_int(text: Column, digits: int) -> Column:
 
 
 def hash_bucket(col: str, buckets: int) -> Column:
-    """md5 bucket of a value (first 16 bits of the hex digest mod buckets)."""
-    return F.pmod(_hex_prefix_int(F.col(col).cast("string"), 4), F.lit(buckets))
+    """md5 bucket of a value (first 16 bits of the hex digest mod buckets).
+
+    The result is declared non-NULL (coalesce): a nullable join key makes
+    the optimizer infer ``isnotnull(<key expression>)`` and push it below
+    the projection, which evaluates the md5 twice."""
+    return F.coalesce(F.pmod(_hex_prefix_int(F.col(col).cast("string"), 4), F.lit(buckets)),
+                      F.lit(-1))
 
 
 def indexed_members(df: DataFrame, group_col: str, order_col: str,
@@ -55,11 +60,12 @@ def indexed_members(df: DataFrame, group_col: str, order_col: str,
 
 
 def draw_index(seed, sim: Column, group: Column, draw: Column, n: Column) -> Column:
-    """Index of the member picked by one draw, uniform on [0, n); NULL for
-    an empty group."""
+    """Index of the member picked by one draw, uniform on [0, n); -1 (no
+    member) for an empty group.  Non-NULL on purpose, see ``hash_bucket``."""
     key = F.concat_ws("|", F.lit(str(seed)), sim.cast("string"), group.cast("string"),
                       draw.cast("string"))
-    return F.when(n > 0, F.pmod(_hex_prefix_int(key, 8), n))
+    return F.coalesce(F.when(n > 0, F.pmod(_hex_prefix_int(key, 8), n)),
+                      F.lit(-1).cast("bigint"))
 
 
 def broadcast_limit_bytes(spark) -> int:
