@@ -104,14 +104,7 @@ def resample_with_replacement(spark, members: DataFrame, group_col: str, value_c
     row per requested group and are always broadcast.
     Output size is sims x sample_size x len(groups) rows.
     """
-    from ..session import ensure_checkpoint_dir
-
-    m = members.filter(F.col(group_col).isin(*groups) & F.col(value_col).isNotNull())
-    indexed, _ = indexed_members(m.select(group_col, "user_id", value_col), group_col,
-                                 "user_id", buckets=buckets)
-    ensure_checkpoint_dir(spark)
-    indexed = indexed.select(group_col, "idx", value_col).checkpoint(eager=True)
-    sizes = indexed.groupBy(group_col).agg(F.count("*").alias("n"))
+    indexed, sizes = _members_and_sizes(spark, members, group_col, value_col, groups, buckets)
     n_members = indexed.count()
     limit = broadcast_limit_bytes(spark)
     small = 0 <= n_members * _MEMBER_ROW_BYTES <= limit
@@ -129,3 +122,75 @@ def resample_with_replacement(spark, members: DataFrame, group_col: str, value_c
         draw_index(seed, F.col("sim"), F.col(group_col), F.col("draw"), F.col("n")).alias("idx"))
     side = F.broadcast(indexed) if small else indexed
     return draws.join(side, [group_col, "idx"]).select("sim", group_col, value_col)
+
+
+def _members_and_sizes(spark, members: DataFrame, group_col: str, value_col: str,
+                       groups: list, buckets: int):
+    from ..session import ensure_checkpoint_dir
+
+    m = members.filter(F.col(group_col).isin(*groups) & F.col(value_col).isNotNull())
+    indexed, _ = indexed_members(m.select(group_col, "user_id", value_col), group_col,
+                                 "user_id", buckets=buckets)
+    ensure_checkpoint_dir(spark)
+    indexed = indexed.select(group_col, "idx", value_col).checkpoint(eager=True)
+    sizes = indexed.groupBy(group_col).agg(F.count("*").alias("n"))
+    return indexed, sizes
+
+
+def _candidates(spark, sizes: DataFrame, group_col: str, groups: list, sims: int,
+                first: int, count: int, seed: int) -> DataFrame:
+    """Draw numbers [first, first + count) of every (sim, arm), with replacement."""
+    k = len(groups)
+    arm = F.col("id") % k
+    group = F.element_at(F.array(*[F.lit(g) for g in groups]), (arm + 1).cast("int"))
+    per_sim = count * k
+    d = spark.range(0, sims * per_sim).select(
+        F.expr(f"id div {per_sim}").alias("sim"),
+        (F.expr(f"(id % {per_sim}) div {k}") + first).alias("draw"),
+        group.alias(group_col))
+    return d.join(F.broadcast(sizes), group_col).select(
+        "sim", group_col, "draw",
+        draw_index(seed, F.col("sim"), F.col(group_col), F.col("draw"), F.col("n")).alias("idx"))
+
+
+def resample_without_replacement(spark, members: DataFrame, group_col: str, value_col: str,
+                                 groups: list, sims: int, sample_size: int, seed: int,
+                                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Rows (sim, group, value): ``sample_size`` distinct members per
+    simulation and group (simple random sampling without replacement).
+
+    Candidates are drawn with replacement in draw order; the first
+    ``sample_size`` distinct members of each (sim, group) are kept, which is
+    exactly a uniform sample without replacement.  The first round draws a
+    little more than the expected number of draws needed; (sim, group) pairs
+    still short of ``sample_size`` get further rounds until none is short, so
+    there is no cap and no row is dropped.  Work per round is bounded by
+    sims x groups x candidates, never by sims x members.
+    """
+    import math
+
+    indexed, sizes = _members_and_sizes(spark, members, group_col, value_col, groups, buckets)
+    n_by_group = {r[group_col]: r["n"] for r in sizes.collect()}   # one row per arm
+    short = [g for g in groups if n_by_group.get(g, 0) < sample_size]
+    if short:
+        raise ValueError(f"groups {short} have fewer than {sample_size} members")
+    n_min = min(n_by_group[g] for g in groups)
+    expected = n_min * math.log(n_min / (n_min - sample_size)) if n_min > sample_size \
+        else sample_size * (1 + math.log(sample_size))
+    count = int(math.ceil(expected * 1.1)) + 32
+
+    keep = Window.partitionBy("sim", group_col).orderBy("first_draw")
+    first, cand = 0, None
+    while True:
+        new = _candidates(spark, sizes, group_col, groups, sims, first, count, seed)
+        cand = new if cand is None else cand.unionByName(new)
+        distinct = cand.groupBy("sim", group_col, "idx").agg(F.min("draw").alias("first_draw"))
+        ranked = distinct.withColumn("_r", F.row_number().over(keep)) \
+            .filter(F.col("_r") <= sample_size)
+        ranked = ranked.checkpoint(eager=True)
+        short_pairs = ranked.groupBy("sim", group_col).count() \
+            .filter(F.col("count") < sample_size).count()
+        if short_pairs == 0:
+            break
+        first += count
+    return ranked.join(indexed, [group_col, "idx"]).select("sim", group_col, value_col)

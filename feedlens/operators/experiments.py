@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import time_in_days
-from ..functions.sampling import DEFAULT_BUCKETS, resample_with_replacement
+from ..functions.sampling import (DEFAULT_BUCKETS, resample_with_replacement,
+                                  resample_without_replacement)
 from ..functions.stats import equal_width_bin, with_welch
 
 ALPHA = 0.05
@@ -120,13 +121,15 @@ def histogram(df: DataFrame, value_col: str, bins: int, group_col: str | None =
 
 def aa_resample(spark: SparkSession, users: DataFrame, group_a, group_b, sims: int = 10_000,
                 sample_size: int = 500, seed: int = 42, metric: str = "ctr",
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One row per simulated A/A test: ``sample_size`` users drawn with
-    replacement from each arm, Welch test on ``metric``.
+                buckets: int = DEFAULT_BUCKETS, replace: bool = True) -> DataFrame:
+    """One row per simulated A/A test: ``sample_size`` users drawn from each
+    arm (with replacement by default, as the original code does; ``replace=
+    False`` for distinct users, as its text asks), Welch test on ``metric``.
 
     Columns: sim, n_a, n_b, mean_a, mean_b, var_a, var_b, t, df, p."""
-    draws = resample_with_replacement(spark, users, "exp_group", metric, [group_a, group_b],
-                                      sims, sample_size, seed, buckets)
+    resample = resample_with_replacement if replace else resample_without_replacement
+    draws = resample(spark, users, "exp_group", metric, [group_a, group_b],
+                     sims, sample_size, seed, buckets)
     a, b = _arm(metric, "exp_group", group_a), _arm(metric, "exp_group", group_b)
     per_sim = draws.groupBy("sim").agg(*[c.alias(f"{k}_a") for k, c in a.items()],
                                        *[c.alias(f"{k}_b") for k, c in b.items()])

@@ -34,13 +34,45 @@ def test_resample_is_seeded_and_sized(spark):
 def test_aa_false_positive_share_is_near_alpha(spark):
     # both arms from one distribution (many members): about 5 % of the
     # resampled tests reject at 0.05 and p is roughly uniform
+    # both arms hold the same multiset of values (pairs 2k, 2k+1 share one)
     members = spark.range(0, 20000).select(
         (F.col("id") % 2 + 2).cast("int").alias("exp_group"),
         F.col("id").alias("user_id"),
-        (F.abs(F.xxhash64("id")) % 1000 / 1000.0).alias("ctr"))
+        (F.abs(F.xxhash64(F.expr("id div 2"))) % 1000 / 1000.0).alias("ctr"))
     sims = experiments.aa_resample(spark, members, 2, 3, sims=2000, sample_size=200, seed=1)
     share = experiments.false_positive_rate(sims).first().share_pct
     assert 3.0 <= share <= 7.0
     hist = {r.bin: r.n for r in experiments.pvalue_histogram(sims, 10).collect()}
     assert sum(hist.values()) == 2000
     assert all(120 <= hist.get(b, 0) <= 280 for b in range(1, 11))
+
+
+def test_without_replacement_gives_distinct_users(spark):
+    members = spark.range(0, 2400).select(
+        (F.col("id") % 2 + 2).cast("int").alias("exp_group"),
+        F.col("id").alias("user_id"),
+        (F.col("id") * 1.0).alias("ctr"))          # value identifies the user
+    from feedlens.functions.sampling import resample_without_replacement
+    rows = resample_without_replacement(spark, members, "exp_group", "ctr", [2, 3],
+                                        sims=30, sample_size=1000, seed=5)
+    per = rows.groupBy("sim", "exp_group").agg(F.count("*").alias("n"),
+                                              F.count_distinct("ctr").alias("d"))
+    got = per.collect()
+    assert len(got) == 60
+    assert all(r.n == 1000 and r.d == 1000 for r in got)
+    # arm membership respected
+    assert rows.filter((F.col("ctr") % 2 + 2).cast("int") != F.col("exp_group")).count() == 0
+
+
+def test_without_replacement_calibration(spark):
+    # identical arm populations; sampling 10 % without replacement shrinks
+    # the true spread of t by sqrt(0.9), so slightly fewer than 5 % reject
+    members = spark.range(0, 6000).select(
+        (F.col("id") % 2 + 2).cast("int").alias("exp_group"),
+        F.col("id").alias("user_id"),
+        (F.abs(F.xxhash64(F.expr("id div 2"))) % 1000 / 1000.0).alias("ctr"))
+    sims = experiments.aa_resample(spark, members, 2, 3, sims=600, sample_size=300, seed=3,
+                                   replace=False)
+    assert sims.count() == 600
+    share = experiments.false_positive_rate(sims).first().share_pct
+    assert 1.0 <= share <= 7.5
