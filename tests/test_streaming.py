@@ -56,3 +56,19 @@ def test_message_stream_equals_batch_on_closed_windows(spark):
     last = max(w for w, _ in s)
     b = [(w, v) for w, v in _rows(realtime.message_window_metrics(msgs)) if w <= last]
     assert s == b
+
+
+def test_approximate_users_stream(spark):
+    feed = fixtures.feed_actions(spark, SF_SMALL)
+    src = _as_stream_files(feed, 3)
+    q = realtime.start(realtime.realtime_feed(realtime.read_feed_stream(spark, src, 1),
+                                              exact=False),
+                       "rt_feed_approx", checkpoint=os.path.join(src, "..", "ckpt"))
+    q.awaitTermination(300)
+    approx = {r.window_start.replace(tzinfo=None): r for r in spark.table("rt_feed_approx").collect()}
+    exact = {r.window_start: r for r in realtime.feed_window_metrics(feed).collect()}
+    assert approx
+    for w, r in approx.items():
+        e = exact[w]
+        assert (r.views, r.likes) == (e.views, e.likes)
+        assert abs(r.active_users - e.active_users) <= max(1, 0.05 * e.active_users)
