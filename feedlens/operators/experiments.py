@@ -152,24 +152,31 @@ def false_positive_rate(sims: DataFrame, alpha: float = ALPHA) -> DataFrame:
         .withColumn("share_pct", F.try_divide(F.col("n_significant"), F.col("sims")) * 100)
 
 
-def aa_split_check(spark: SparkSession, feed: DataFrame, first, last, group_a, group_b,
-                   sims: int = 10_000, sample_size: int = 500, seed: int = 42,
-                   alpha: float = ALPHA) -> DataFrame:
-    """The A/A notebook as one row: arm sizes, overlap, duplicates, Welch
-    test on the full arms, resampled false-positive share, and how many
-    users had no views (NULL CTR, left out of the tests)."""
-    users = user_ctr(feed, first, last, [group_a, group_b])
+def aa_summary(users: DataFrame, sims: DataFrame, group_a, group_b,
+               alpha: float = ALPHA) -> DataFrame:
+    """One row from per-user CTRs and simulated tests: arm sizes, overlap,
+    duplicates, users without views (NULL CTR, left out of the tests),
+    Welch test on the full arms, share of simulated p <= alpha."""
     sizes = group_sizes(users, group_a, group_b)
     overlap = group_overlap(users, group_a, group_b).select("n_overlap").scalar()
     dups = duplicate_rows(users).select("n_duplicates").scalar()
     no_views = users.agg(F.count_if(F.col("ctr").isNull())).scalar()
     test = welch_test(users, "ctr", group_a, group_b, alpha) \
         .select(F.struct("t", "df", "p")).scalar()
-    fpr = false_positive_rate(aa_resample(spark, users, group_a, group_b, sims, sample_size,
-                                          seed), alpha) \
-        .select(F.struct("sims", "share_pct")).scalar()
+    fpr = false_positive_rate(sims, alpha).select(F.struct("sims", "share_pct")).scalar()
     return sizes.select("group_a", "group_b", "n_a", "n_b", "abs_diff", "total",
                         overlap.alias("n_overlap"), dups.alias("n_duplicates"),
                         no_views.alias("n_no_views"), test["t"].alias("t"),
                         test["df"].alias("df"), test["p"].alias("p"),
                         fpr["sims"].alias("sims"), fpr["share_pct"].alias("share_pct"))
+
+
+def aa_split_check(spark: SparkSession, feed: DataFrame, first, last, group_a, group_b,
+                   sims: int = 10_000, sample_size: int = 500, seed: int = 42,
+                   alpha: float = ALPHA, replace: bool = True) -> DataFrame:
+    """The A/A notebook as one row (see ``aa_summary``), resampling
+    included."""
+    users = user_ctr(feed, first, last, [group_a, group_b])
+    simulated = aa_resample(spark, users, group_a, group_b, sims, sample_size, seed,
+                            replace=replace)
+    return aa_summary(users, simulated, group_a, group_b, alpha)
