@@ -41,19 +41,38 @@ def prev_day_metrics(daily: DataFrame, metrics=KEY_METRICS) -> DataFrame:
 
 
 def main_metric_report(feed: DataFrame, as_of, n_days: int = 7,
-                       lookback_days: int | None = None) -> DataFrame:
+                       lookback_days: int | str | None = "auto") -> DataFrame:
     """DAU, views, likes, CTR of the last ``n_days`` full days with the
     previous day's values and the change (newest first).
 
-    The previous-day window needs the day before the report window, which
-    may be older than ``as_of - n_days - 1`` when days are missing; by
-    default the whole history is aggregated (one row per day after the
-    aggregate).  ``lookback_days`` bounds the scan when that is known to be
-    safe."""
+    "Previous" is the previous existing day, which for the first day of the
+    window may lie before it.  ``lookback_days``:
+
+    * ``"auto"`` (default, exact): aggregate only from ``n_days + 1 + 7``
+      days before ``as_of`` (a range pushed into the scan).  That is enough
+      when a day with events exists between the lookback start and the
+      window, or when no event at all is older than the lookback start (a
+      ``limit(1)`` probe on the pushed-down range).  Otherwise the whole
+      history is aggregated, as in the original query.
+    * an int: aggregate from that many days before ``as_of`` (caller vouches
+      that a previous day exists in it).
+    * ``None``: always the whole history.
+    """
     src = feed
+    a = as_date(as_of)
     if lookback_days is not None:
-        start = as_date(as_of) - _dt.timedelta(days=lookback_days)
-        src = feed.filter(F.col("time") >= F.lit(start.isoformat()).cast("timestamp_ntz"))
+        span = n_days + 1 + 7 if lookback_days == "auto" else int(lookback_days)
+        start = F.lit((a - _dt.timedelta(days=span)).isoformat()).cast("timestamp_ntz")
+        recent = feed.filter(F.col("time") >= start)
+        exact = True
+        if lookback_days == "auto":
+            first_window_day = a - _dt.timedelta(days=n_days)
+            edge = F.lit(first_window_day.isoformat()).cast("timestamp_ntz")
+            has_day_before_window = recent.filter(F.col("time") < edge).limit(1).count() > 0
+            older_events = feed.filter(F.col("time") < start).limit(1).count() > 0
+            exact = has_day_before_window or not older_events
+        if exact:
+            src = recent
     report = prev_day_metrics(feed_daily(src)).filter(last_full_days(as_of, n_days))
     return report.select("dt", *KEY_METRICS, *[f"prev_{m}" for m in KEY_METRICS],
                          *[f"dev_{m}" for m in KEY_METRICS]).orderBy(F.desc("dt"))

@@ -120,3 +120,22 @@ def test_feed_only_plus_both_equals_dau(spark):
     both = {r.dt: r.all_app_users for r in reports.users_both_services(f, m).collect()}
     dau = {r.dt: r.dau for r in metrics.dau_by_day(f).collect()}
     assert all(only[d] + both[d] == dau[d] for d in dau)
+
+
+def test_key_metric_report_lookback_is_exact(spark):
+    # previous existing day is far before the window: the bounded lookback
+    # must notice and fall back to the whole history
+    far, d1 = dt.datetime(2023, 12, 1, 9), dt.datetime(2024, 1, 26, 9)
+    f = feed(spark, [(1, far, "view", "iOS", 0), (2, far, "view", "iOS", 0),
+                     (1, d1, "view", "iOS", 0)])
+    auto = {r.dt: r for r in reports.main_metric_report(f, AS_OF).collect()}
+    full = {r.dt: r for r in reports.main_metric_report(f, AS_OF, lookback_days=None).collect()}
+    assert auto == full
+    assert auto[d1.date()].prev_dau == 2
+    # previous day inside the lookback: same as the whole history
+    d0 = dt.datetime(2024, 1, 20, 9)
+    g = feed(spark, [(1, far, "view", "iOS", 0), (1, d0, "view", "iOS", 0),
+                     (2, d0, "like", "iOS", 0), (1, d1, "view", "iOS", 0)])
+    auto = {r.dt: r for r in reports.main_metric_report(g, AS_OF).collect()}
+    full = {r.dt: r for r in reports.main_metric_report(g, AS_OF, lookback_days=None).collect()}
+    assert auto == full and auto[d1.date()].prev_dau == 2
