@@ -16,6 +16,7 @@ from ..functions.dates import time_in_days
 from ..functions.sampling import (DEFAULT_BUCKETS, resample_with_replacement,
                                   resample_without_replacement)
 from ..functions.stats import equal_width_bin, with_welch
+from ..session import materialize
 
 ALPHA = 0.05
 
@@ -67,8 +68,10 @@ def linearized_likes(users: DataFrame, control, group_col: str = "exp_group") ->
 def ab_test(feed: DataFrame, first, last, control, treatment, alpha: float = ALPHA) -> DataFrame:
     """Welch tests of per-user CTR and of linearized likes for one pair of
     groups; ``linearized_more_sensitive`` tells whether the linearized
-    metric gave the lower p-value."""
-    users = linearized_likes(user_ctr(feed, first, last, [control, treatment]), control)
+    metric gave the lower p-value.  The per-user table is materialized once
+    (checkpoint) and read by every test and subquery."""
+    users = materialize(
+        linearized_likes(materialize(user_ctr(feed, first, last, [control, treatment])), control))
     tests = welch_test(users, "ctr", control, treatment, alpha).unionByName(
         welch_test(users, "linearized_likes", control, treatment, alpha))
     p_of = lambda m: F.max(F.when(F.col("metric") == m, F.col("p")))
@@ -175,8 +178,9 @@ def aa_split_check(spark: SparkSession, feed: DataFrame, first, last, group_a, g
                    sims: int = 10_000, sample_size: int = 500, seed: int = 42,
                    alpha: float = ALPHA, replace: bool = True) -> DataFrame:
     """The A/A notebook as one row (see ``aa_summary``), resampling
-    included."""
-    users = user_ctr(feed, first, last, [group_a, group_b])
+    included; the per-user table is materialized once (checkpoint) for the
+    many checks that read it."""
+    users = materialize(user_ctr(feed, first, last, [group_a, group_b]))
     simulated = aa_resample(spark, users, group_a, group_b, sims, sample_size, seed,
                             replace=replace)
     return aa_summary(users, simulated, group_a, group_b, alpha)

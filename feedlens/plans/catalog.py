@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.dates import last_full_days, time_in_days, time_last_full_days, yesterday
 from ..operators import cohorts, experiments, metrics, slices, users
 from ..sources import fixtures
+from ..session import materialize
 from ..streaming import realtime
 from . import reports
 
@@ -204,9 +205,11 @@ def _aa_users(spark, d):
 
 
 def _ab_users(spark, d, pair):
+    """Per-user CTR and linearized likes of one A/B pair, materialized once:
+    the control CTR, histogram ranges and tests all read it."""
     c, t = AB_PAIRS[pair]
-    return experiments.linearized_likes(
-        experiments.user_ctr(_feed(spark, d), *AB_WEEK, [c, t]), c)
+    users = materialize(experiments.user_ctr(_feed(spark, d), *AB_WEEK, [c, t]))
+    return materialize(experiments.linearized_likes(users, c))
 
 
 @query("user_ctr")
@@ -250,7 +253,8 @@ def _linearized_likes(spark, d):
 
 @query("ctr_histogram")
 def _ctr_histogram(spark, d):
-    return experiments.histogram(_aa_users(spark, d), "ctr", HIST_BINS, group_col="exp_group")
+    return experiments.histogram(materialize(_aa_users(spark, d)), "ctr", HIST_BINS,
+                                 group_col="exp_group")
 
 
 @query("linearized_histogram")

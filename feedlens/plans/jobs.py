@@ -19,7 +19,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import experiments, slices
-from ..session import build_session
+from ..session import build_session, materialize
 from ..sources import readers, sinks
 from . import reports
 
@@ -61,7 +61,7 @@ def aa_check(spark: SparkSession, feed_path: str, out_path: str, first, last, gr
     """A/A check of the splitting system: one summary row, the simulated
     tests and their p-value histogram."""
     feed = readers.read_feed_actions(spark, feed_path)
-    users = experiments.user_ctr(feed, first, last, [group_a, group_b])
+    users = materialize(experiments.user_ctr(feed, first, last, [group_a, group_b]))
     sims_df = experiments.aa_resample(spark, users, group_a, group_b, sims, sample_size, seed,
                                       replace=replace)
     sims_df.write.mode("overwrite").parquet(f"{out_path}/simulations")

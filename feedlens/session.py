@@ -56,6 +56,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def materialize(df):
+    """Write ``df`` once to the reliable checkpoint folder and return a
+    DataFrame reading it.
+
+    Used for small derived tables (one row per user) that several branches
+    or scalar subqueries of one job read: each of them would otherwise
+    re-derive it from the raw events.  The lineage is cut, so a lost
+    executor recomputes from the checkpoint, not from the raw scan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path for job state (stream checkpoints, written tables) under the
     shared checkpoint folder."""
