@@ -153,19 +153,26 @@ def message_traffic(messages: DataFrame, as_of, n_days: int = 7) -> DataFrame:
         .orderBy(F.desc("dt"))
 
 
+def _feed_user_days(feed: DataFrame) -> DataFrame:
+    """Distinct (dt, user_id) of the feed: partial aggregation map-side, so a
+    user with a huge share of events is one row per task and day before any
+    join."""
+    return with_day(feed).select("dt", "user_id").filter(F.col("user_id").isNotNull()) \
+        .distinct()
+
+
 def users_feed_only(feed: DataFrame, messages: DataFrame) -> DataFrame:
     """dt, feed_users: distinct feed users per day who never sent a message
-    (anti join on the sender set; NULL-safe unlike SQL ``NOT IN``)."""
-    return (with_day(feed).join(senders(messages), "user_id", "left_anti")
-            .select("dt", "user_id").distinct()
+    (anti join of distinct user-days to the sender set; NULL-safe unlike
+    SQL ``NOT IN``)."""
+    return (_feed_user_days(feed).join(senders(messages), "user_id", "left_anti")
             .groupBy("dt").agg(F.count("user_id").alias("feed_users")))
 
 
 def users_both_services(feed: DataFrame, messages: DataFrame) -> DataFrame:
     """dt, all_app_users: distinct feed users per day who ever sent a
-    message (semi join on the sender set)."""
-    return (with_day(feed).join(senders(messages), "user_id", "left_semi")
-            .select("dt", "user_id").distinct()
+    message (semi join of distinct user-days to the sender set)."""
+    return (_feed_user_days(feed).join(senders(messages), "user_id", "left_semi")
             .groupBy("dt").agg(F.count("user_id").alias("all_app_users")))
 
 
