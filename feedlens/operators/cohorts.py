@@ -162,3 +162,61 @@ def audience_by_source(feed: DataFrame, messages: DataFrame) -> DataFrame:
                         "source", "user_id")
     return (f.unionByName(m).select("service", "dt", "source", "user_id").distinct()
             .groupBy("service", "dt", "source").agg(F.count("user_id").alias("users")))
+
+
+# ---- incremental cohort state ------------------------------------------------
+
+FIRST_SEEN_SCHEMA = "user_id bigint, source string, first_day date"
+
+
+def new_first_seen(activity_day: DataFrame, first_seen: DataFrame | None) -> DataFrame:
+    """Users of one period's activity not yet in ``first_seen``: rows
+    (user_id, source, first_day).
+
+    The day's distinct users (partial aggregation) are anti-joined with the
+    stored table on user_id; the whole history is never rescanned."""
+    day_users = (activity_day.filter(F.col("user_id").isNotNull())
+                 .groupBy("user_id", F.to_date("time").alias("period"))
+                 .agg(F.min("source").alias("source"))
+                 .groupBy("user_id")
+                 .agg(F.min("period").alias("first_day"),
+                      F.min_by("source", "period").alias("source")))
+    if first_seen is not None:
+        day_users = day_users.join(first_seen.select("user_id"), "user_id", "left_anti")
+    return day_users.select("user_id", "source", "first_day")
+
+
+def update_first_seen(spark, activity_day: DataFrame, path: str) -> DataFrame:
+    """Add the new users of ``activity_day`` to the first-seen table at
+    ``path`` (Parquet partitioned by first_day).  Re-running a day writes
+    the same rows: the day's partition is replaced (dynamic overwrite) and
+    the anti join only looks at earlier days."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        existing = spark.read.schema(FIRST_SEEN_SCHEMA).parquet(path)
+    except AnalysisException:   # first run: no table yet
+        existing = None
+    days = activity_day.select(F.min(F.to_date("time"))).scalar()
+    if existing is not None:
+        existing = existing.filter(F.col("first_day") < days)
+    fresh = new_first_seen(activity_day, existing)
+    (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("first_day").parquet(path))
+    return spark.read.schema(FIRST_SEEN_SCHEMA).parquet(path)
+
+
+def retention_from_first_seen(activity: DataFrame, first_seen: DataFrame) -> DataFrame:
+    """Daily retention (same columns as ``retention(..., "day")``) from
+    distinct (user, day) activity and the stored first-seen table: a join on
+    user_id instead of a window over each user's whole history."""
+    ud = user_periods(activity, "day").select("user_id", "period")
+    c = ud.join(first_seen.select("user_id", F.col("first_day").alias("cohort"),
+                                  F.col("source").alias("cohort_source")), "user_id")
+    n = F.datediff(F.col("period"), F.col("cohort"))
+    g = (c.groupBy(F.col("cohort_source").alias("source"), "cohort", n.alias("period_n"))
+         .agg(F.count("*").alias("active_users")))
+    size = F.max(F.when(F.col("period_n") == 0, F.col("active_users"))).over(
+        Window.partitionBy("source", "cohort"))
+    return (g.withColumn("cohort_size", size)
+            .withColumn("share", F.col("active_users") / F.col("cohort_size")))

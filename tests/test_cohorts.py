@@ -36,3 +36,28 @@ def test_campaign_retention_shares(spark):
     for r in c.collect():
         assert 0 <= r.active_users <= r.cohort_size
         assert abs(r.share - r.active_users / r.cohort_size) < 1e-12
+
+
+def test_incremental_first_seen_equals_full_retention(spark):
+    import datetime as dt
+    import tempfile
+
+    feed = fixtures.feed_actions(spark, SF_SMALL)
+    path = tempfile.mkdtemp(prefix="feedlens-first-seen-") + "/first_seen"
+    start = dt.date(2024, 1, 1)
+    for i in range(30):
+        day = start + dt.timedelta(days=i)
+        lo = F.lit(day.isoformat()).cast("timestamp_ntz")
+        hi = F.lit((day + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
+        cohorts.update_first_seen(spark, feed.filter((F.col("time") >= lo) & (F.col("time") < hi)),
+                                  path)
+    # re-running a day changes nothing
+    day = start + dt.timedelta(days=3)
+    lo = F.lit(day.isoformat()).cast("timestamp_ntz")
+    hi = F.lit((day + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
+    fs = cohorts.update_first_seen(spark, feed.filter((F.col("time") >= lo) & (F.col("time") < hi)),
+                                   path)
+    assert fs.count() == feed.select("user_id").distinct().count()
+    inc = sorted(map(tuple, cohorts.retention_from_first_seen(feed, fs).collect()))
+    full = sorted(map(tuple, cohorts.retention(feed, "day").collect()))
+    assert inc == full
