@@ -16,7 +16,7 @@ from ..functions.dates import time_in_days
 from ..functions.sampling import (DEFAULT_BUCKETS, resample_with_replacement,
                                   resample_without_replacement)
 from ..functions.stats import equal_width_bin, with_welch
-from ..session import materialize
+from ..session import materialize, parallelism
 
 ALPHA = 0.05
 
@@ -138,7 +138,7 @@ def aa_resample(spark: SparkSession, users: DataFrame, group_a, group_b, sims: i
                                        *[c.alias(f"{k}_b") for k, c in b.items()])
     # one row per simulation is tiny, so AQE would coalesce it into one task;
     # the p-value integral is CPU work per row: spread it over all cores
-    per_sim = per_sim.repartition(spark.sparkContext.defaultParallelism, "sim")
+    per_sim = per_sim.repartition(parallelism(spark), "sim")
     return with_welch(per_sim).select("sim", "n_a", "n_b", "mean_a", "mean_b", "var_a",
                                       "var_b", "t", "df", "p")
 

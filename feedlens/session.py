@@ -36,6 +36,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of this session.
 
@@ -43,17 +51,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as given.  Only when the setting is absent (unit tests, local runs) a
     private scratch folder is created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="feedlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (default parallelism), or the shuffle
+    partition count where the context is not reachable."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def materialize(df):

@@ -33,7 +33,11 @@ _PLANS: dict = {}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
-    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:            # Spark Connect: no context on the client
+        app = getattr(spark, "session_id", None)
+    key = (kind, id(spark), app, sf_dir)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]
