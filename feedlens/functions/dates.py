@@ -13,7 +13,6 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DateLike = "str | _dt.date"
 
 
 def as_date(d) -> _dt.date:

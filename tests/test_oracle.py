@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle (the driver's check)."""
 import collections
 import datetime as dt
-import os
 
 import duckdb
 import pytest
