@@ -14,7 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
 def as_date(d) -> _dt.date:
     if isinstance(d, _dt.datetime):
         return d.date()
