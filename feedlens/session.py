@@ -48,8 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of this session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is used
-    as given.  Only when the setting is absent (unit tests, local runs) a
-    private scratch folder is created.
+    as given.  Only in local mode without the setting (unit tests, local
+    runs) a private scratch folder is created; on a cluster a missing
+    setting is an error.
     """
     sc = _context(spark)
     if sc is not None and sc.getCheckpointDir():
@@ -58,7 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="feedlens-ckpt-")
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all "
+                               "executors (a machine-local folder cannot be read back)")
+        configured = tempfile.mkdtemp(prefix="feedlens-ckpt-")   # local mode only (tests)
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:
         sc.setCheckpointDir(configured)
