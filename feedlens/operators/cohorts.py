@@ -113,8 +113,11 @@ def weekly_audience(activity: DataFrame) -> DataFrame:
     gone = (s.filter(F.col("next").isNull() | (F.datediff("next", "week") > 7))
             .groupBy(gone_week.alias("week")).agg(F.count("*").alias("users"))
             .select("week", F.lit("gone").alias("status"), "users"))
-    last_week = uw.agg(F.max("week")).scalar()
-    return active.unionByName(gone.filter(F.col("week") <= last_week))
+    # the last observed week, from the per-week result itself (a few rows per
+    # week, so this unpartitioned window is tiny; no second pass over users)
+    last_week = F.max(F.when(F.col("status") != "gone", F.col("week"))).over(Window.partitionBy())
+    both = active.unionByName(gone)
+    return both.withColumn("_last", last_week).filter(F.col("week") <= F.col("_last")).drop("_last")
 
 
 def city_activity_drop(feed: DataFrame, window_days: int = 7,

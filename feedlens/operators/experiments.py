@@ -89,17 +89,20 @@ def group_sizes(users: DataFrame, group_a, group_b, group_col: str = "exp_group"
 
 
 def group_overlap(users: DataFrame, group_a, group_b, group_col: str = "exp_group") -> DataFrame:
-    """One row: number of users present in both arms (set intersection)."""
-    a = users.filter(F.col(group_col) == group_a).select("user_id")
-    b = users.filter(F.col(group_col) == group_b).select("user_id")
-    return a.intersect(b).agg(F.count("*").alias("n_overlap"))
+    """One row: number of users present in both arms (set intersection),
+    from one grouping by user with an arm flag each - one pass, no join."""
+    g = F.col(group_col)
+    per_user = (users.filter(g.isin(group_a, group_b)).groupBy("user_id")
+                .agg(F.bool_or(g == group_a).alias("in_a"), F.bool_or(g == group_b).alias("in_b")))
+    return per_user.agg(F.count_if(F.col("in_a") & F.col("in_b")).alias("n_overlap"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: rows, distinct rows, duplicated rows (rows - distinct).
-    NULLs compare equal, as in a pandas ``duplicated()``."""
-    n = df.agg(F.count("*")).scalar()
-    return df.distinct().agg(n.alias("n_rows"), F.count("*").alias("n_distinct")) \
+    NULLs compare equal, as in a pandas ``duplicated()``.  One pass: group
+    by all columns with a count, then sum the counts."""
+    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    return copies.agg(F.sum("_copies").alias("n_rows"), F.count("*").alias("n_distinct")) \
         .withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))
 
 
