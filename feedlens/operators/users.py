@@ -41,17 +41,32 @@ def user_message_totals(messages: DataFrame, as_of, how: str = "inner") -> DataF
     or only received; ``how='full'`` keeps them with NULL counters and, for
     pure receivers, NULL attributes.  A sender with several attribute rows
     gets the received counts on each row.
+
+    One pass over the day's messages: each message is emitted once as the
+    sender's row and once as the receiver's row (``inline`` of a two-element
+    array), and a single aggregate keyed by (role, user, attributes) counts
+    messages and distinct partners for both roles.
     """
     d = as_date(as_of) - _dt.timedelta(days=1)
     m = messages.filter(yesterday(as_of))
-    sent = (m.groupBy("user_id", "os", "age", gender_label().alias("gender"))
-            .agg(F.count("reciever_id").alias("messages_sent"),
-                 F.count_distinct("reciever_id").alias("users_sent")))
-    received = (m.groupBy(F.col("reciever_id").alias("user_id"))
-                .agg(F.count("user_id").alias("messages_received"),
-                     F.count_distinct("user_id").alias("users_received")))
+    null_s, null_i = F.lit(None).cast("string"), F.lit(None).cast("int")
+    as_sender = F.struct(F.lit("s").alias("role"), F.col("user_id").alias("uid"),
+                         F.col("reciever_id").alias("other"), F.col("os").alias("os"),
+                         F.col("age").alias("age"), gender_label().alias("gender"))
+    as_receiver = F.struct(F.lit("r").alias("role"), F.col("reciever_id").alias("uid"),
+                           F.col("user_id").alias("other"), null_s.alias("os"),
+                           null_i.alias("age"), null_s.alias("gender"))
+    roles = m.select(F.inline(F.array(as_sender, as_receiver)))
     if how == "full":
-        received = received.filter(F.col("user_id").isNotNull())
+        roles = roles.filter((F.col("role") == "s") | F.col("uid").isNotNull())
+    per_role = (roles.groupBy("role", "uid", "os", "age", "gender")
+                .agg(F.count("other").alias("n"), F.count_distinct("other").alias("d")))
+    sent = per_role.filter(F.col("role") == "s").select(
+        F.col("uid").alias("user_id"), "os", "age", "gender",
+        F.col("n").alias("messages_sent"), F.col("d").alias("users_sent"))
+    received = per_role.filter(F.col("role") == "r").select(
+        F.col("uid").alias("user_id"),
+        F.col("n").alias("messages_received"), F.col("d").alias("users_received"))
     joined = sent.join(received, "user_id", how)
     return joined.select(F.lit(d).alias("event_date"), "user_id", "messages_sent", "users_sent",
                          "messages_received", "users_received", "os", "gender", "age")

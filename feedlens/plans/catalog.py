@@ -204,12 +204,18 @@ def _aa_users(spark, d):
     return experiments.user_ctr(_feed(spark, d), *AA_WEEK, AA_GROUPS)
 
 
-def _ab_users(spark, d, pair):
-    """Per-user CTR and linearized likes of one A/B pair, materialized once:
-    the control CTR, histogram ranges and tests all read it."""
+def _ab_base(spark, d):
+    """Per-user CTR of the A/B week for every group of every pair,
+    materialized once per query: each pair, its control CTR, histogram
+    ranges and tests read it instead of rescanning the week of events."""
+    groups = sorted({g for pair in AB_PAIRS.values() for g in pair})
+    return materialize(experiments.user_ctr(_feed(spark, d), *AB_WEEK, groups))
+
+
+def _ab_users(base, pair):
+    """Users of one A/B pair with linearized likes."""
     c, t = AB_PAIRS[pair]
-    users = materialize(experiments.user_ctr(_feed(spark, d), *AB_WEEK, [c, t]))
-    return materialize(experiments.linearized_likes(users, c))
+    return experiments.linearized_likes(base.filter(F.col("exp_group").isin(c, t)), c)
 
 
 @query("user_ctr")
@@ -234,9 +240,9 @@ def _duplicate_rows(spark, d):
 
 @query("control_ctr")
 def _control_ctr(spark, d):
-    out = None
+    out, base = None, _ab_base(spark, d)
     for pair, (c, t) in AB_PAIRS.items():
-        one = experiments.control_ctr(experiments.user_ctr(_feed(spark, d), *AB_WEEK, [c, t]), c)
+        one = experiments.control_ctr(base.filter(F.col("exp_group").isin(c, t)), c)
         one = one.select(F.lit(pair).alias("test"), "*")
         out = one if out is None else out.unionByName(one)
     return out
@@ -244,9 +250,9 @@ def _control_ctr(spark, d):
 
 @query("linearized_likes")
 def _linearized_likes(spark, d):
-    out = None
+    out, base = None, _ab_base(spark, d)
     for pair in AB_PAIRS:
-        one = _ab_users(spark, d, pair).select(F.lit(pair).alias("test"), "*")
+        one = _ab_users(base, pair).select(F.lit(pair).alias("test"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -259,9 +265,9 @@ def _ctr_histogram(spark, d):
 
 @query("linearized_histogram")
 def _linearized_histogram(spark, d):
-    out = None
+    out, base = None, _ab_base(spark, d)
     for pair in AB_PAIRS:
-        h = experiments.histogram(_ab_users(spark, d, pair), "linearized_likes", HIST_BINS,
+        h = experiments.histogram(_ab_users(base, pair), "linearized_likes", HIST_BINS,
                                   group_col="exp_group")
         one = h.select(F.lit(pair).alias("test"), "*")
         out = one if out is None else out.unionByName(one)
@@ -270,20 +276,20 @@ def _linearized_histogram(spark, d):
 
 @query("welch_ctr")
 def _welch_ctr(spark, d):
-    f = _feed(spark, d)
+    f, base = _feed(spark, d), _ab_base(spark, d)
     out = experiments.welch_test(experiments.user_ctr(f, *AA_WEEK, AA_GROUPS), "ctr", *AA_GROUPS)
     out = out.select(F.lit("aa").alias("test"), "*")
     for pair, (c, t) in AB_PAIRS.items():
-        one = experiments.welch_test(experiments.user_ctr(f, *AB_WEEK, [c, t]), "ctr", c, t)
+        one = experiments.welch_test(base.filter(F.col("exp_group").isin(c, t)), "ctr", c, t)
         out = out.unionByName(one.select(F.lit(pair).alias("test"), "*"))
     return out
 
 
 @query("welch_linearized")
 def _welch_linearized(spark, d):
-    out = None
+    out, base = None, _ab_base(spark, d)
     for pair, (c, t) in AB_PAIRS.items():
-        one = experiments.welch_test(_ab_users(spark, d, pair), "linearized_likes", c, t)
+        one = experiments.welch_test(_ab_users(base, pair), "linearized_likes", c, t)
         one = one.select(F.lit(pair).alias("test"), "*")
         out = one if out is None else out.unionByName(one)
     return out
