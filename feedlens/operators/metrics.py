@@ -54,6 +54,27 @@ def feed_user_days(feed: DataFrame) -> DataFrame:
                  *[F.bool_or(slice_flag(k)).alias(k) for k in SLICES]))
 
 
+def feed_role_days(feed: DataFrame) -> DataFrame:
+    """One pass over the feed for two groupings: rows (role, dt, key,
+    views, likes, slice flags) with role 'u' (key = user_id) and 'p'
+    (key = post_id).
+
+    Each event is emitted once per role (``inline`` of a two-element array)
+    and one aggregate keyed by (role, dt, key) serves both.  Consumers must
+    not filter this on ``role`` (the optimizer would push the filter below
+    the aggregate and scan the events once per role); they use conditional
+    aggregates instead."""
+    f = with_day(feed)
+    role = lambda name, key: F.struct(F.lit(name).alias("role"), F.col("dt"),
+                                      F.col(key).cast("bigint").alias("key"), "action", "os",
+                                      "source")
+    rows = f.select(F.inline(F.array(role("u", "user_id"), role("p", "post_id"))))
+    return (rows.groupBy("role", "dt", "key")
+            .agg(F.count_if(F.col("action") == "view").alias("views"),
+                 F.count_if(F.col("action") == "like").alias("likes"),
+                 *[F.bool_or(slice_flag(k)).alias(k) for k in SLICES]))
+
+
 def message_user_days(messages: DataFrame) -> DataFrame:
     """One row per (dt, sender): messages sent (non-NULL receivers) and
     slice flags."""

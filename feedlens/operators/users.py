@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, day, yesterday
@@ -61,15 +61,29 @@ def user_message_totals(messages: DataFrame, as_of, how: str = "inner") -> DataF
         roles = roles.filter((F.col("role") == "s") | F.col("uid").isNotNull())
     per_role = (roles.groupBy("role", "uid", "os", "age", "gender")
                 .agg(F.count("other").alias("n"), F.count_distinct("other").alias("d")))
-    sent = per_role.filter(F.col("role") == "s").select(
-        F.col("uid").alias("user_id"), "os", "age", "gender",
-        F.col("n").alias("messages_sent"), F.col("d").alias("users_sent"))
-    received = per_role.filter(F.col("role") == "r").select(
-        F.col("uid").alias("user_id"),
-        F.col("n").alias("messages_received"), F.col("d").alias("users_received"))
-    joined = sent.join(received, "user_id", how)
-    return joined.select(F.lit(d).alias("event_date"), "user_id", "messages_sent", "users_sent",
-                         "messages_received", "users_received", "os", "gender", "age")
+    # receiver counts reach every sender row of the same user through a
+    # window by user (a user has one receiver row and a few sender rows);
+    # no filter on the role before it, so the messages are scanned once
+    w = Window.partitionBy("uid")
+    is_s = F.col("role") == "s"
+    x = per_role.select(
+        "*",
+        F.max(F.when(~is_s, F.col("n"))).over(w).alias("_rn"),
+        F.max(F.when(~is_s, F.col("d"))).over(w).alias("_rd"),
+        F.count_if(is_s).over(w).alias("_ns"))
+    if how == "inner":
+        keep = is_s & F.col("uid").isNotNull() & F.col("_rn").isNotNull()
+    elif how == "full":
+        keep = is_s | (F.col("_ns") == 0)
+    else:
+        raise ValueError("how must be 'inner' or 'full'")
+    return x.filter(keep).select(
+        F.lit(d).alias("event_date"), F.col("uid").alias("user_id"),
+        F.when(is_s, F.col("n")).alias("messages_sent"),
+        F.when(is_s, F.col("d")).alias("users_sent"),
+        F.when(is_s, F.col("_rn")).otherwise(F.col("n")).alias("messages_received"),
+        F.when(is_s, F.col("_rd")).otherwise(F.col("d")).alias("users_received"),
+        "os", "gender", "age")
 
 
 def _null_safe_on(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:

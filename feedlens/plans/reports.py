@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, last_full_days, time_last_full_days
-from ..operators.metrics import (SLICES, ctr_percent, feed_daily, feed_user_days,
-                                 flag_count, message_user_days, messages_by_day, posts_by_day,
-                                 slice_flag, with_day)
+from ..operators.metrics import (SLICES, ctr_percent, feed_daily, feed_role_days,
+                                 flag_count, message_user_days, messages_by_day, slice_flag,
+                                 with_day)
 
 KEY_METRICS = ["dau", "views", "likes", "ctr"]
 
@@ -91,23 +91,29 @@ def full_report(feed: DataFrame, messages: DataFrame, as_of, n_days: int = 7) ->
     feed_w = feed.filter(time_last_full_days(as_of, n_days))
     msgs_w = messages.filter(time_last_full_days(as_of, n_days))
 
-    ud = (feed_user_days(feed_w)
-          .join(senders(messages).withColumn("sends", F.lit(True)), "user_id", "left"))
-    known = F.col("user_id").isNotNull()
-    feed_day = ud.groupBy("dt").agg(
-        F.count("user_id").alias("feed_dau"),
-        F.sum("views").alias("views"),
-        F.sum("likes").alias("likes"),
-        F.count_if(known & F.col("sends").isNull()).alias("feed_users"),
-        F.count_if(known & F.col("sends").isNotNull()).alias("all_app_users"),
-        *[flag_count(f).alias(f"feed_{f}_users") for f in SLICES],
+    # one scan of the feed window: user-days and post-days come from one
+    # aggregate; the sender flag joins only user rows (condition in the ON
+    # clause, so nothing is pushed below the shared aggregate)
+    g = feed_role_days(feed_w)
+    snd = senders(messages).select(F.col("user_id").alias("_sender"), F.lit(True).alias("sends"))
+    j = g.join(snd, (F.col("role") == "u") & (F.col("key") == F.col("_sender")), "left")
+    user = (F.col("role") == "u") & F.col("key").isNotNull()
+    feed_day = j.groupBy("dt").agg(
+        F.count_if(user).alias("feed_dau"),
+        F.sum(F.when(F.col("role") == "u", F.col("views"))).alias("views"),
+        F.sum(F.when(F.col("role") == "u", F.col("likes"))).alias("likes"),
+        F.count_if(user & F.col("sends").isNull()).alias("feed_users"),
+        F.count_if(user & F.col("sends").isNotNull()).alias("all_app_users"),
+        *[F.count_if(user & F.coalesce(F.col(f), F.lit(False))).alias(f"feed_{f}_users")
+          for f in SLICES],
+        F.count_if((F.col("role") == "p") & F.col("key").isNotNull()).alias("post_count"),
     )
     mess_day = message_user_days(msgs_w).groupBy("dt").agg(
         F.count("user_id").alias("mess_dau"),
         F.sum("messages").alias("messages_count"),
         *[flag_count(f).alias(f"mess_{f}_users") for f in SLICES],
     )
-    j = (feed_day.join(posts_by_day(feed_w), "dt").join(mess_day, "dt")
+    j = (feed_day.join(mess_day, "dt")
          .filter((F.col("feed_users") > 0) & (F.col("all_app_users") > 0)))
     return j.select(
         "dt", "feed_dau", "mess_dau", "post_count", "messages_count", "feed_users",
