@@ -18,18 +18,26 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.dates import as_date
 from ..operators import experiments, slices
 from ..session import build_session, materialize
 from ..sources import readers, sinks
 from . import reports
 
 
+def _yesterday(as_of):
+    d = as_date(as_of) - _dt.timedelta(days=1)
+    return d, d
+
+
 def daily_etl(spark: SparkSession, feed_path: str, messages_path: str, out_path: str,
-              as_of, how: str = "inner") -> DataFrame:
+              as_of, how: str = "inner", day_column: str | None = None) -> DataFrame:
     """Slices of day ``as_of - 1`` by gender, age and OS, written into the
-    partitioned slices table (the day's partition is replaced)."""
-    feed = readers.read_feed_actions(spark, feed_path)
-    msgs = readers.read_message_actions(spark, messages_path)
+    partitioned slices table (the day's partition is replaced).  With
+    ``day_column`` (event tables in day directories) only that day's
+    directory is read."""
+    feed = readers.read_feed_actions(spark, feed_path, day_column, _yesterday(as_of))
+    msgs = readers.read_message_actions(spark, messages_path, day_column, _yesterday(as_of))
     out = slices.daily_slices(feed, msgs, as_of, how=how)
     sinks.write_slices(out, out_path)
     return out
@@ -57,10 +65,10 @@ def daily_reports(spark: SparkSession, feed_path: str, messages_path: str, out_p
 
 def aa_check(spark: SparkSession, feed_path: str, out_path: str, first, last, group_a,
              group_b, sims: int = 10_000, sample_size: int = 500, seed: int = 42,
-             replace: bool = True) -> DataFrame:
+             replace: bool = True, day_column: str | None = None) -> DataFrame:
     """A/A check of the splitting system: one summary row, the simulated
     tests and their p-value histogram."""
-    feed = readers.read_feed_actions(spark, feed_path)
+    feed = readers.read_feed_actions(spark, feed_path, day_column, (first, last))
     users = materialize(experiments.user_ctr(feed, first, last, [group_a, group_b]))
     sims_df = experiments.aa_resample(spark, users, group_a, group_b, sims, sample_size, seed,
                                       replace=replace)
@@ -73,9 +81,9 @@ def aa_check(spark: SparkSession, feed_path: str, out_path: str, first, last, gr
 
 
 def ab_test(spark: SparkSession, feed_path: str, out_path: str, first, last, control,
-            treatment) -> DataFrame:
+            treatment, day_column: str | None = None) -> DataFrame:
     """Welch tests of CTR and linearized likes for one pair of groups."""
-    feed = readers.read_feed_actions(spark, feed_path)
+    feed = readers.read_feed_actions(spark, feed_path, day_column, (first, last))
     out = experiments.ab_test(feed, first, last, control, treatment)
     out.write.mode("overwrite").parquet(f"{out_path}/ab_{control}_{treatment}")
     return out
@@ -94,16 +102,18 @@ def main(argv=None) -> None:
     p.add_argument("--sims", type=int, default=10_000)
     p.add_argument("--sample-size", type=int, default=500)
     p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--day-column", help="partition column of day-directory event tables")
     a = p.parse_args(argv)
     spark = build_session()
     if a.job == "etl":
-        daily_etl(spark, a.feed, a.messages, a.out, a.as_of)
+        daily_etl(spark, a.feed, a.messages, a.out, a.as_of, day_column=a.day_column)
     elif a.job == "report":
         daily_reports(spark, a.feed, a.messages, a.out, a.as_of)
     elif a.job == "aa":
-        aa_check(spark, a.feed, a.out, a.first, a.last, *a.groups, a.sims, a.sample_size, a.seed)
+        aa_check(spark, a.feed, a.out, a.first, a.last, *a.groups, a.sims, a.sample_size, a.seed,
+                 day_column=a.day_column)
     else:
-        ab_test(spark, a.feed, a.out, a.first, a.last, *a.groups)
+        ab_test(spark, a.feed, a.out, a.first, a.last, *a.groups, day_column=a.day_column)
 
 
 if __name__ == "__main__":

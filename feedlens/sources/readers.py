@@ -7,16 +7,37 @@ scan prune columns and push day filters down to the row groups.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.dates import as_date
 from .schema import FEED_ACTIONS, MESSAGE_ACTIONS
 
 
-def read_feed_actions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FEED_ACTIONS).parquet(path)
+def _read(spark: SparkSession, schema, path: str, day_column: str | None, days) -> DataFrame:
+    """Read with a fixed schema.  For a table laid out in day directories
+    (``<day_column>=YYYY-MM-DD``), ``days=(first, last)`` adds a predicate on
+    the partition column, so whole directories are skipped
+    (``PartitionFilters``); the time-range filters of the jobs then prune row
+    groups inside the remaining files.  The partition column is dropped."""
+    if day_column is None:
+        return spark.read.schema(schema).parquet(path)
+    full = T.StructType(schema.fields + [T.StructField(day_column, T.DateType())])
+    df = spark.read.schema(full).parquet(path)
+    if days is not None:
+        first, last = (as_date(d) for d in days)
+        df = df.filter(F.col(day_column).between(F.lit(first), F.lit(last)))
+    return df.drop(day_column)
 
 
-def read_message_actions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MESSAGE_ACTIONS).parquet(path)
+def read_feed_actions(spark: SparkSession, path: str, day_column: str | None = None,
+                      days=None) -> DataFrame:
+    return _read(spark, FEED_ACTIONS, path, day_column, days)
+
+
+def read_message_actions(spark: SparkSession, path: str, day_column: str | None = None,
+                         days=None) -> DataFrame:
+    return _read(spark, MESSAGE_ACTIONS, path, day_column, days)
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, **options) -> DataFrame:

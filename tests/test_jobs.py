@@ -32,3 +32,25 @@ def test_jobs_end_to_end(spark):
     summary = jobs.aa_check(spark, feed_p, os.path.join(base, "aa"), "2024-01-08",
                             "2024-01-14", 2, 3, sims=50, sample_size=20).first()
     assert summary.sims == 50 and summary.n_overlap == 0 and summary.n_duplicates == 0
+
+
+def test_day_directories_are_pruned(spark):
+    from pyspark.sql import functions as F
+
+    from feedlens.sources import readers
+
+    base = tempfile.mkdtemp(prefix="feedlens-days-")
+    feed_p, msg_p = os.path.join(base, "feed"), os.path.join(base, "messages")
+    (fixtures.feed_actions(spark, SF_SMALL).withColumn("dt", F.to_date("time"))
+     .write.partitionBy("dt").parquet(feed_p))
+    (fixtures.message_actions(spark, SF_SMALL).withColumn("dt", F.to_date("time"))
+     .write.partitionBy("dt").parquet(msg_p))
+    pruned = readers.read_feed_actions(spark, feed_p, "dt", ("2024-01-29", "2024-01-29"))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-29" in plan
+    assert pruned.columns == fixtures.feed_actions(spark, SF_SMALL).columns
+
+    a = jobs.daily_etl(spark, feed_p, msg_p, os.path.join(base, "s1"), "2024-01-30",
+                       day_column="dt")
+    b = jobs.daily_etl(spark, feed_p, msg_p, os.path.join(base, "s2"), "2024-01-30")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
