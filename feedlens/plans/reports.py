@@ -68,9 +68,9 @@ def main_metric_report(feed: DataFrame, as_of, n_days: int = 7,
         if lookback_days == "auto":
             first_window_day = a - _dt.timedelta(days=n_days)
             edge = F.lit(first_window_day.isoformat()).cast("timestamp_ntz")
-            has_day_before_window = recent.filter(F.col("time") < edge).limit(1).count() > 0
-            older_events = feed.filter(F.col("time") < start).limit(1).count() > 0
-            exact = has_day_before_window or not older_events
+            # the second probe only runs when the first finds nothing
+            exact = (recent.filter(F.col("time") < edge).limit(1).count() > 0
+                     or feed.filter(F.col("time") < start).limit(1).count() == 0)
         if exact:
             src = recent
     report = prev_day_metrics(feed_daily(src)).filter(last_full_days(as_of, n_days))
