@@ -54,3 +54,17 @@ def test_day_directories_are_pruned(spark):
                        day_column="dt")
     b = jobs.daily_etl(spark, feed_p, msg_p, os.path.join(base, "s2"), "2024-01-30")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_command_line_entry(spark):
+    base = tempfile.mkdtemp(prefix="feedlens-cli-")
+    feed_p, msg_p = os.path.join(base, "feed"), os.path.join(base, "messages")
+    fixtures.feed_actions(spark, SF_SMALL).write.parquet(feed_p)
+    fixtures.message_actions(spark, SF_SMALL).write.parquet(msg_p)
+    out = os.path.join(base, "slices")
+    jobs.main(["etl", "--feed", feed_p, "--messages", msg_p, "--out", out, "--as-of", "2024-01-30"])
+    ab_out = os.path.join(base, "ab")
+    jobs.main(["ab", "--feed", feed_p, "--out", ab_out, "--first", "2024-01-15",
+               "--last", "2024-01-21", "--groups", "0", "3"])
+    assert spark.read.parquet(out).count() > 0
+    assert spark.read.parquet(os.path.join(ab_out, "ab_0_3")).count() == 2
