@@ -50,6 +50,34 @@ def welch_test(users: DataFrame, metric: str, group_a, group_b, alpha: float = A
         (F.col("p") < alpha).alias("reject"))
 
 
+def welch_tests(tagged: DataFrame, metric: str, alpha: float = ALPHA,
+                group_col: str = "exp_group") -> DataFrame:
+    """Several Welch tests at once: ``tagged`` holds user rows with columns
+    ``test``, ``group_a`` and ``group_b`` (the arms of that test).  One
+    ``groupBy(test)`` with arm-conditional aggregates and one p-value
+    projection serve every test.  Columns as ``welch_test`` plus ``test``."""
+    g = F.col(group_col)
+    v = F.col(metric)
+    in_a, in_b = g == F.col("group_a"), g == F.col("group_b")
+    s = tagged.groupBy("test", "group_a", "group_b").agg(
+        F.count(F.when(in_a, v)).alias("n_a"), F.avg(F.when(in_a, v)).alias("mean_a"),
+        F.var_samp(F.when(in_a, v)).alias("var_a"),
+        F.count(F.when(in_b, v)).alias("n_b"), F.avg(F.when(in_b, v)).alias("mean_b"),
+        F.var_samp(F.when(in_b, v)).alias("var_b"))
+    return with_welch(s).select(
+        "test", F.lit(metric).alias("metric"), "group_a", "group_b",
+        "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b", "t", "df", "p",
+        (F.col("p") < alpha).alias("reject"))
+
+
+def tag_test(users: DataFrame, test: str, group_a, group_b,
+             group_col: str = "exp_group") -> DataFrame:
+    """Rows of one test's two arms, labelled for ``welch_tests``."""
+    return users.filter(F.col(group_col).isin(group_a, group_b)).select(
+        F.lit(test).alias("test"), F.lit(group_a).alias("group_a"),
+        F.lit(group_b).alias("group_b"), "*")
+
+
 def control_ctr(users: DataFrame, control, group_col: str = "exp_group") -> DataFrame:
     """One row: group-level CTR of the control, sum(likes) / sum(views)."""
     c = users.filter(F.col(group_col) == control)

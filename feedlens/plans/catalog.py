@@ -276,23 +276,24 @@ def _linearized_histogram(spark, d):
 
 @query("welch_ctr")
 def _welch_ctr(spark, d):
-    f, base = _feed(spark, d), _ab_base(spark, d)
-    out = experiments.welch_test(experiments.user_ctr(f, *AA_WEEK, AA_GROUPS), "ctr", *AA_GROUPS)
-    out = out.select(F.lit("aa").alias("test"), "*")
+    """Welch tests of per-user CTR: the A/A pair and both A/B pairs, in one
+    grouped aggregate."""
+    base = _ab_base(spark, d)
+    tagged = experiments.tag_test(_aa_users(spark, d), "aa", *AA_GROUPS)
     for pair, (c, t) in AB_PAIRS.items():
-        one = experiments.welch_test(base.filter(F.col("exp_group").isin(c, t)), "ctr", c, t)
-        out = out.unionByName(one.select(F.lit(pair).alias("test"), "*"))
-    return out
+        tagged = tagged.unionByName(experiments.tag_test(base, pair, c, t))
+    return experiments.welch_tests(tagged, "ctr")
 
 
 @query("welch_linearized")
 def _welch_linearized(spark, d):
-    out, base = None, _ab_base(spark, d)
+    """Welch tests of linearized likes for both A/B pairs, in one grouped
+    aggregate."""
+    base, tagged = _ab_base(spark, d), None
     for pair, (c, t) in AB_PAIRS.items():
-        one = experiments.welch_test(_ab_users(base, pair), "linearized_likes", c, t)
-        one = one.select(F.lit(pair).alias("test"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+        one = experiments.tag_test(_ab_users(base, pair), pair, c, t)
+        tagged = one if tagged is None else tagged.unionByName(one)
+    return experiments.welch_tests(tagged, "linearized_likes")
 
 
 @query("ab_test_03")

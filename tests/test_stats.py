@@ -95,3 +95,16 @@ def test_p_value_large_df_steps(spark):
     df = spark.createDataFrame(pts, "t double, df double")
     for r in with_p_value(df).collect():
         assert abs(r.p - _p_reference(r.t, r.df)) < 1e-7
+
+
+def test_grouped_welch_equals_single_tests(spark):
+    from feedlens.operators import experiments
+    rows = [(g, u, (u * 37 % 11) / 10.0) for g in (0, 1, 2, 3) for u in range(g * 100, g * 100 + 30)]
+    users = spark.createDataFrame(rows, "exp_group int, user_id long, ctr double")
+    tagged = experiments.tag_test(users, "x", 0, 3).unionByName(
+        experiments.tag_test(users, "y", 1, 2))
+    grouped = {r.test: r for r in experiments.welch_tests(tagged, "ctr").collect()}
+    for test, (a, b) in (("x", (0, 3)), ("y", (1, 2))):
+        single = experiments.welch_test(users, "ctr", a, b).first()
+        for col in ("n_a", "n_b", "t", "df", "p", "reject"):
+            assert getattr(grouped[test], col) == getattr(single, col)
