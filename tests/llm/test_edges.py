@@ -1,0 +1,358 @@
+"""NULLs, empty and very long texts, ties and repeated rows, empty tables and
+clashing extra columns, for every operator and pipeline stage."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from feedlens.llm import (chat, components, decontaminate, html_text, mixing, near_dedup, quality, secrets, sharding,
+                          shingles, token_counts, warc)
+from tests.llm import brute
+
+# names that the operators use inside
+EXTRA = ["id", "n", "key", "comp", "rep", "digest", "size", "hash", "shard", "slot", "kept", "lo", "left", "words", "row", "bucket"]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in EXTRA)
+
+
+def text(n, seed):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(["the", "of", "and", "la", "der"]) + str(rng.randrange(400)) for _ in range(n))
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, lang, src, None, *["x"] * len(EXTRA)) for i, t, lang, src in rows], DOCS)
+
+
+LONG = text(60_000, 1)
+ROWS = [(1, text(80, 2), "en", "a"), (2, text(80, 2), "en", "a"), (3, text(80, 2) + " more", None, None), (4, None, "en", "b"),
+        (5, "", "xx", "b"), (6, " \n\t ", "en", None), (7, "two words", "de", "c"), (8, "Two WORDS", "de", "c"),
+        (9, LONG, "fr", "a"), (10, LONG + " end", "fr", None), (11, text(90, 3), "es", "b"), (11, text(90, 3), "es", "b"),
+        (None, text(80, 2), "en", "a"), (None, None, None, None), (12, "É" * 30 + " é\U0001F600 x", "fr", "\U0001F600")]
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    return docs(spark, ROWS)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return docs(spark, [])
+
+
+def test_near_dedup(edge, none):
+    got = near_dedup.near_duplicates(edge, width=3, part=85, whole=100).collect()
+    assert len(got) == len(ROWS)
+    want = brute.near_duplicates([(i, t) for i, t, *_ in ROWS if i is not None], 3, 85, 100)
+    assert {r.id: (r.n_shingles, r.component_id) for r in got if r.id is not None} == want
+    assert all(r.component_id is None and r.kept for r in got if r.id is None)
+    assert near_dedup.near_duplicates(none).collect() == []
+
+
+def test_near_dedup_chain_and_large_group(spark):
+    """A chain whose ends are unlike, and a group of many near copies."""
+    base = text(200, 9).split()
+    rows, words = [], list(base)
+    for k in range(12):                          # each differs from the next by few shingles
+        rows.append((100 + k, " ".join(words)))
+        words = words[:k * 12] + [f"new{k}{j}" for j in range(6)] + words[k * 12 + 6:]
+    for k in range(300):
+        w = list(base[::-1])
+        w[k % 200] = f"own{k}"
+        rows.append((1000 + k, " ".join(w)))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, part=85).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows, 3, 85, 100)
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(60)] + [(5, 5), (None, 3)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for u, v in edges:
+        if u is not None and u != v:
+            a, b = sorted((find(u), find(v)))
+            root[b] = a
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: find(x) for x in list(root)}
+
+
+def test_minima_in_blocks_estimate_similarity():
+    import numpy as np
+    a, b = shingles.hash_family(256, 7)
+    x = np.unique(shingles.mix(np.arange(4_000, dtype=np.uint64)))
+    y = np.unique(shingles.mix(np.arange(1_000, 5_000, dtype=np.uint64)))
+    agree = (shingles.minima(x, a, b) == shingles.minima(y, a, b)).mean()
+    assert abs(agree - 0.6) < 0.1 and shingles.shared(x, y) == 3_000
+    assert (0.85 ** 7, near_dedup.band_rows(0.85, 224)) == (0.85 ** 7, near_dedup.band_rows(0.85, 224))
+    assert (1 - 0.85 ** near_dedup.band_rows(0.85, 224)) ** (224 // near_dedup.band_rows(0.85, 224)) <= 1e-6
+
+
+def test_mixing(edge, none, spark):
+    got = mixing.mix(edge).collect()
+    assert len(got) == len(ROWS) and all(0 <= r.taken <= 3 * r.size for r in got)
+    assert {r.size for r in got if r.id in (4, 5, 6)} == {0}
+    assert len({(r.copies) for r in got if r.id == 11}) == 1
+    total = sum(r.size for r in got)
+    assert sum({r.source: r.target for r in got}.values()) == pytest.approx(total)
+    # NULL is a source of its own, after the largest code point
+    t = {r.source: r for r in mixing.targets(spark.createDataFrame(
+        [("b", 100), (None, 100), ("a", 10), ("\U0001F600", 100)], "source string, source_size long")).collect()}
+    assert t["a"].target == 30 and t[None].target == pytest.approx(280 * 5 / 8)
+    assert t["b"].target == pytest.approx(280 * 2 / 8) and t["\U0001F600"].target == pytest.approx(280 / 8)
+    assert mixing.mix(none).collect() == []
+
+
+def test_sharding(edge, none, spark):
+    got = sharding.shard(edge).collect()
+    sizes = Counter(r.shard for r in got)
+    assert len(got) == len(ROWS) and max(sizes.values()) <= 1
+    assert {r.size for r in got if r.id in (4, 5)} == {8}
+    # one key with half of the rows, and pairs
+    rows = [(i, "same" if i % 2 else f"pair {i // 4}") for i in range(2_000)]
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), n_shards=8).collect()
+    sizes = Counter(r.shard for r in out)
+    assert set(sizes.values()) == {250}
+    assert len({r.shard for r in out if r.id % 2}) <= 5
+    where = {r.id: r.shard for r in out}
+    cut = sum(where[i] != where[i + 2] for i in range(0, 2_000, 4))
+    assert cut <= 50
+    assert sharding.shard(none).collect() == []
+
+
+def test_secrets(edge, none, spark):
+    assert len(secrets.scan(edge).collect()) == len(ROWS) and secrets.scan(none).collect() == []
+    texts = ["", "x", "\U0001F600é token = \"abcdefghijkl\" AKIAABCDEFGHIJKLMN1 0123456789abcdef0", "AKIA" * 6 + " AKIA1",
+             "token=password: abcdefghijklmnop", "secret==abcdefghijk PASSWD:'aaaaaaaaaaaa' api_key apikey=" + "f" * 40,
+             "deadbeef" * 300 + "G", "\n".join("password: abcdefabcdef%d" % i for i in range(2_000))]
+    got = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in got:
+        assert r.base == brute.spans(brute.secrets(texts[r.id])), texts[r.id][:80]
+        assert set(filter(None, r.base.split(","))) <= set(r.spans.split(","))
+
+
+def test_secret_models_held_out(spark):
+    """Random strings that were not trained on are found, identifiers and
+    words with digits are not."""
+    import base64
+    rng = random.Random(8)
+    keys = [base64.b64encode(rng.randbytes(24)).decode() for _ in range(200)]
+    plain = [a + str(rng.randrange(100)) + b for a, b in zip(
+        rng.choices(["handleIncomingRequest", "customer_order_history", "international_responsibility", "maximumConnectionTimeout"], k=200),
+        rng.choices(["FromDatabase", "_by_region", "_total_amount", "ForUserAccount"], k=200))]
+    df = spark.createDataFrame([(i, f"see {t} now") for i, t in enumerate(keys + plain)], "doc_id long, text string")
+    n = {r.id: r.n_markov for r in secrets.scan(df).collect()}
+    assert sum(n[i] == 1 for i in range(200)) >= 195 and sum(n[i] for i in range(200, 400)) <= 4
+
+
+def test_quality(edge, none):
+    got = quality.judge(edge).collect()
+    assert len(got) == len(ROWS)
+    want = Counter(brute.quality(t) for _, t, *_ in ROWS)
+    assert Counter((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == want
+    assert quality.judge(none).collect() == []
+
+
+def test_quality_rejects_junk_and_keeps_the_rest(spark):
+    rng = random.Random(1)
+    common = quality.COMMON["en"] + ("with", "house", "water", "people")
+    prose = lambda: " ".join(rng.choice(common) + rng.choice(["", "", ".", ","]) for _ in range(150))
+    rows = [(i, prose(), "en") for i in range(60)] + [(100 + i, " ".join(f"x{rng.randrange(999)}$$&" for _ in range(150)), "en") for i in range(5)]
+    rows += [(200 + i, prose().upper(), "en") for i in range(5)]
+    kept = {r.id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    base = {i for i, t, _ in rows if (q := brute.quality(t))[0] < 50 or 100 * q[4] > 50 * q[0]}
+    assert all(kept[i] for i in range(60) if i not in base) and not any(kept[i] for i, *_ in rows[60:])
+
+
+def test_js_distance(spark):
+    from pyspark.sql import functions as F
+    p, q = [0.5, 0.25, 0.25, 0.0], [0.1, 0.2, 0.3, 0.4]
+    r = spark.createDataFrame([(p, q)], "p array<double>, q array<double>").select(
+        quality.js_distance(F.col("p"), F.col("q")), quality.js_distance(F.col("p"), F.col("p"))).first()
+    assert r[0] == pytest.approx(brute.js_distance(p, q)) and r[1] == 0
+
+
+def test_token_counts(edge, none, spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    more = ["<|endoftext|>", "a<|endoftext|><|endoftext|> b", "  \n\n x ", "don't 123 ½ ²  　 ͅ", "<|endoftext", "\U0001F600" * 50, "a" * 5_000]
+    df = edge.union(docs(spark, [(50 + i, t, None, None) for i, t in enumerate(more)]))
+    got = token_counts.token_counts(df, path).collect()
+    every = [t or "" for _, t, *_ in ROWS] + more
+    assert Counter((r.n_bytes, r.n_tokens) for r in got) == Counter(
+        (len(t.encode()), len(tok.encode(t, add_special_tokens=False).ids)) for t in every)
+    assert token_counts.token_counts(none, path).collect() == []
+
+
+def test_token_caches_may_be_emptied(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(token_counts, "CACHE_SIZE", 3)
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    d = token_counts.Lengths({" the": 1}, tok)
+    words = [" the", " of", "xyzzy", " plugh", " the", " quux"]
+    assert [d[w] for w in words] == [len(tok.encode(w).ids) for w in words] and len(d) <= 3
+
+
+def test_decontamination(spark, none):
+    item = text(30, 77)
+    items = [(1, item, "x"), (2, None, "x"), (3, "", "x"), (4, "too short item", "x"), (1, item, "x"), (None, text(12, 78), "x"),
+             (5, text(200, 79), "x")]
+    bench = spark.createDataFrame(items, "item_id long, text string, id string")
+    rows = [(1, LONG + "\n" + item.upper() + "\n" + LONG, "", ""), (2, item.replace(" ", ", "), "", ""), (2, item, "", ""),
+            (3, " ".join(item.split()[:20]), "", ""), (4, None, "", ""), (5, "", "", ""), (None, item, "", ""),
+            (6, text(500, 5) + " " + " ".join(text(200, 79).split()[:185]), "", ""), (7, "too short item", "", "")]
+    got = decontaminate.contained_items(docs(spark, rows), bench).collect()
+    want = brute.contained([(i, t) for i, t, *_ in rows if i is not None], [(1, item), (5, items[-1][1])])
+    assert {(r.doc_id, r.item_id): (r.n_item, r.n_shared) for r in got if r.doc_id is not None} == want
+    assert set(want) == {(1, 1), (2, 1), (6, 5)} and [r.item_id for r in got if r.doc_id is None] == [1]
+    assert decontaminate.contained_items(none, bench).collect() == []
+    assert decontaminate.contained_items(docs(spark, rows), bench.limit(0)).collect() == []
+
+
+def test_decontamination_in_blocks(spark, monkeypatch):
+    """A benchmark larger than a block gives the same rows."""
+    items = spark.createDataFrame([(i, text(20 + i, 500 + i)) for i in range(40)], "item_id long, text string")
+    rows = docs(spark, [(i, text(30, i) + " " + text(20 + i % 40, 500 + i % 40), "", "") for i in range(60)])
+    whole = {tuple(r) for r in decontaminate.contained_items(rows, items).collect()}
+    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 100)
+    assert {tuple(r) for r in decontaminate.contained_items(rows, items).collect()} == whole and len(whole) >= 60
+
+
+def test_warc(spark):
+    rows = [(1, "http://a/", "same é"), (2, None, "same é"), (3, "http://b/ x\r\ny", None), (4, "u", ""), (5, "u", "x" * 3_000_000),
+            (None, "n", "same é"), (6, "v", "\r\n\r\nWARC/1.1\r\n\r\n"), (2, "w", "same é"), (None, None, "only")]
+    pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, id string")
+    folder = warc.archive_folder(spark)
+    index = warc.write_archives(pages, folder)
+    got = warc.read_records(index, folder).collect()
+    assert len(got) == len(rows)
+    kinds = Counter((r.record_id, r.record_type, r.refers_to) for r in got)
+    rid = warc.record_id
+    assert kinds == Counter([(rid(1), "revisit", rid(2)), (rid(2), "response", None), (rid(2), "response", None),
+                             (rid(3), "revisit", rid(4)), (rid(4), "response", None), (rid(5), "response", None),
+                             (rid(None), "revisit", rid(2)), (rid(6), "response", None), (rid(None), "response", None)])
+    assert {bytes(r.payload).decode() for r in got if r.record_type == "response"} == {"same é", "", "x" * 3_000_000, rows[6][2], "only"}
+    # a selection reads only what it names, and small records may stay responses
+    few = warc.read_records(index.filter("id IN (1, 6)"), folder).collect()
+    assert sorted(r.record_id for r in few) == [rid(1), rid(6)]
+    again = warc.write_archives(pages, warc.archive_folder(spark), min_revisit=100).collect()
+    assert {r.record_type for r in again} == {"response"}
+    empty = warc.write_archives(pages.limit(0), folder)
+    assert warc.read_records(empty, folder).collect() == []
+
+
+def test_warc_ranges(spark, monkeypatch):
+    monkeypatch.setattr(warc, "GAP_BYTES", 10)
+    monkeypatch.setattr(warc, "RANGE_BYTES", 1_000)
+    index = spark.createDataFrame([("a", 0, 50), ("a", 50, 50), ("a", 105, 10), ("a", 300, 10), ("a", 990, 100), ("a", 1090, 10), ("b", 0, 7)],
+                                  "archive string, offset long, length long")
+    got = sorted((r.archive, r.start, r.end, len(r.records)) for r in warc.ranges(index).collect())
+    assert got == [("a", 0, 115, 3), ("a", 300, 310, 1), ("a", 990, 1090, 1), ("a", 1090, 1100, 1), ("b", 0, 7, 1)]
+
+
+def test_html_text(spark):
+    model = html_text.train()
+    page = """<!DOCTYPE html><html><head><title>T</title><script>if (a < b) document.write("<p>no</p>")</script></head><body>
+    <header class="site"><p>Site name</p></header><nav><a href="/">Home</a> <a href="/x">More</a></nav>
+    <div class="cookie-notice"><p>We use cookies. Please agree to all of them now.</p></div>
+    <article><h1>Title &amp; more</h1><p>First   <b>bold</b>text,\n with &eacute;&nbsp;x. Another sentence follows here.<p>Second one, unclosed; with a line<br>break in it.
+    <ul><li>Item one is here</li><li>Item two is there</li></ul><form><input><label>Your mail</label></form><style>p{}</style></article>
+    <section class="comments"><p>I like this comment a lot. Really good.</p></section>
+    <aside><h3>Related</h3><p>Other things that you may like. Read on.</p></aside><footer>&copy; 2024 Someone</footer>"""
+    want = ("Title & more\n\nFirst boldtext, with é x. Another sentence follows here.\n\nSecond one, unclosed; with a line break in it."
+            "\n\nItem one is here\n\nItem two is there")
+    rows = [(1, "u", page), (2, None, None), (3, "u", ""), (None, "u", "<p"), (4, "u", "<article>" + "<p>Words of prose here.</p>" * 20_000),
+            (1, "u", page), (5, "u", "<div>" * 3_000 + "deep"), (6, "u", "a < b & c &amp")]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, id string")
+    got = html_text.extract(df, model=model).collect()
+    assert [r.text for r in got if r.id == 1] == [want, want]
+    assert all(r.text == "" and r.n_chars == 0 for r in got if r.id in (2, 3)) and len(got) == len(rows)
+    assert next(r.text for r in got if r.id == 4) == "\n\n".join(["Words of prose here."] * 20_000)
+    assert html_text.extract(df.limit(0), model=model).collect() == []
+
+
+def test_html_model_held_out():
+    """Labelled pages of another seed: nearly all blocks get their label; and
+    the marginals equal those of summing over all labellings."""
+    import itertools
+    import math
+    model = html_text.train()
+    rng = random.Random(99)
+    right = total = 0
+    for _ in range(150):
+        nodes, labels = html_text._labels(html_text.labelled_page(rng))
+        p = model.marginals(nodes)
+        own = [i for i, n in enumerate(nodes) if n.words]
+        right += sum((p[i] > 0.5) == bool(labels[i]) for i in own)
+        total += len(own)
+    assert right / total > 0.985
+    nodes, _ = html_text.parse("<body><nav><a>x</a></nav><div><p>Some text. More.</p><p>b</p></div><footer>c d</footer>")
+    fs = html_text.features(nodes)
+    weight = [0.0] * len(nodes)
+    whole = 0.0
+    for y in itertools.product((0, 1), repeat=len(nodes)):
+        w = model.root[y[0]] + sum(model.feature.get(f, [0, 0])[y[i]] for i, x in enumerate(fs) for f in x)
+        w = math.exp(w + sum(model.pair[y[n.parent]][y[i]] for i, n in enumerate(nodes) if i))
+        whole += w
+        for i, v in enumerate(y):
+            weight[i] += w * v
+    assert model.marginals(nodes) == pytest.approx([x / whole for x in weight])
+
+
+CHAT = "conv long, id long, parent long, role string, text string, score double, leaf string, place long"
+
+
+def test_chat_trees(spark):
+    rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "bad", 1.0), (1, 3, 1, "assistant", "good", 2.0),
+            (1, 4, 3, "user", None, None), (1, 5, 4, None, "x</turn>\n### y: \\", 0.5), (1, 6, 99, "user", "orphan", 1.0),
+            (2, 1, 2, "user", "circle", 0.0), (2, 2, 1, "user", "circle", 0.0), (None, 1, None, "a:b\\#", "", 0.0), (3, 7, None, "user", "twice", 0.0),
+            (3, 7, None, "user", "twice", 0.0), (4, None, None, "assistant", "no id", 0.0)]
+    rows += [(5, i, i - 1 if i else None, "assistant", f"t{i} ", 0.0) for i in range(700)]
+    df = spark.createDataFrame([(*r, "z", 1) for r in rows], CHAT)
+    out = chat.conversations(df).collect()
+    got = {(r.conv, r.leaf): [t for t in chat.parse(r.formatted)] for r in out}
+    assert got.pop((5, "v699")) == [("assistant", f"t{i} ") for i in range(700)]
+    assert got == {(1, "v5"): [("user", "q"), ("assistant", "good"), ("user", ""), ("", "x</turn>\n### y: \\")],
+                   (1, "v6"): [("user", "orphan")], (None, "v1"): [("a:b\\#", "")], (3, "v7"): [("user", "twice")],
+                   (4, "n"): [("assistant", "no id")]}
+    both = {(r.conv, r.leaf) for r in chat.conversations(df.filter("conv = 1"), branches=2).collect()}
+    assert both == {(1, "v5"), (1, "v2"), (1, "v6")}
+    for r in out:
+        assert "".join(chat.unescape(r.formatted[s.start:s.end]) for s in r.loss) == "".join(
+            t for x, t in chat.parse(r.formatted) if x == "assistant")
+    assert chat.conversations(df.limit(0)).collect() == []
+
+
+def test_chat_chain(spark):
+    rows = [(1, 2, "assistant", "b"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, None, "system", "s"), (None, 1, "user", "n"), (2, 1, None, None)]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, id string")
+    got = {r.conv: chat.parse(r.formatted) for r in chat.conversations(chat.chain(df)).collect()}
+    assert got == {1: [("system", "s"), ("user", "a"), ("assistant", "b"), ("assistant", "b")], None: [("user", "n")], 2: [("", "")]}
+    back = {r.conv_id: r for r in chat.read_back(chat.conversations(chat.chain(df))).collect()}
+    assert (back[1].n_turns, back[1].turns_sha256, back[1].loss_chars, back[1].loss_sha256) == brute.chat(
+        [("system", "s"), ("user", "a"), ("assistant", "b"), ("assistant", "b")])
+
+
+def test_pipeline_stages(spark, edge, none, tmp_path):
+    import corpus_pipeline as p
+    spark.createDataFrame([(1, text(30, 2)), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in p.STAGES:
+        for df in (edge, none):
+            out = stage(spark, df, str(tmp_path))
+            rows = out.collect()
+            if name != "sharding":
+                assert out.columns == df.columns, name
+            if name == "near duplicates" and rows:
+                assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [1, 4, 5, 6, 7, 9, 11, 12] and len(rows) == 10
+            if name == "quality rules" and rows:
+                assert {r.doc_id for r in rows} <= {1, 2, 3, 9, 10, 11, None}
+            if name == "sharding":
+                assert len(rows) == df.count()
