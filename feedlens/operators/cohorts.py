@@ -9,6 +9,8 @@ over all users in one task.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,21 +78,27 @@ def new_users(activity: DataFrame, grain: str = "day") -> DataFrame:
 
 
 def campaign_retention(activity: DataFrame, cohort_day, horizons=(1, 14)) -> DataFrame:
-    """Users first seen on ``cohort_day``: how many were active 0 and
-    ``horizons`` days later, and their share of the cohort.
+    """Users first seen on ``cohort_day``: how many were active
+    ``horizons`` days later, and their share of the cohort; a horizon without
+    survivors has 0 users and share 0, an empty cohort gives no rows.
+
+    Only events before the end of the last horizon are read, and one aggregate
+    per user finds the first day and the horizons.
 
     Columns: cohort, day_n, cohort_size, active_users, share."""
     d = as_date(cohort_day)
-    c = with_cohort(user_periods(activity, "day")).filter(F.col("cohort") == F.lit(d))
-    day_n = F.datediff(F.col("period"), F.col("cohort"))
-    g = (c.filter(day_n.isin(0, *horizons))
-         .groupBy("cohort", day_n.alias("day_n")).agg(F.count("*").alias("active_users")))
-    size = F.max(F.when(F.col("day_n") == 0, F.col("active_users"))).over(
-        Window.partitionBy("cohort"))
-    return (g.withColumn("cohort_size", size)
-            .withColumn("share", F.col("active_users") / F.col("cohort_size"))
-            .filter(F.col("day_n") != 0)
-            .select("cohort", "day_n", "cohort_size", "active_users", "share"))
+    until = d + dt.timedelta(days=max(horizons) + 1)
+    day = F.to_date("time")
+    per_user = (activity.filter(F.col("user_id").isNotNull()
+                                & (F.col("time") < F.lit(until).cast("timestamp_ntz")))
+                .groupBy("user_id").agg(F.min(day).alias("first"), *[
+                    F.bool_or(day == F.lit(d + dt.timedelta(days=h))).alias(f"on_{h}") for h in horizons])
+                .filter(F.col("first") == F.lit(d)))
+    one = per_user.agg(F.count("*").alias("cohort_size"), *[F.count_if(f"on_{h}").alias(f"n_{h}") for h in horizons])
+    rows = F.array(*[F.struct(F.lit(h).alias("day_n"), F.col(f"n_{h}").alias("active_users")) for h in horizons])
+    return (one.filter("cohort_size > 0").select("cohort_size", F.inline(rows))
+            .select(F.lit(d).alias("cohort"), "day_n", "cohort_size", "active_users",
+                    (F.col("active_users") / F.col("cohort_size")).alias("share")))
 
 
 def weekly_audience(activity: DataFrame) -> DataFrame:
@@ -122,11 +130,20 @@ def weekly_audience(activity: DataFrame) -> DataFrame:
 
 def city_activity_drop(feed: DataFrame, window_days: int = 7,
                        threshold: float = 0.8) -> DataFrame:
-    """dt, city, users, avg_prev (mean of the ``window_days`` preceding
-    rows of the city), ratio = users / avg_prev, is_drop = ratio < threshold.
+    """dt, city, users, avg_prev (mean of the ``window_days`` preceding days
+    of the city), ratio = users / avg_prev, is_drop = ratio < threshold.
+
+    Every city has a row for each day from its first to the last observed day,
+    with 0 users where it has no event, so that an outage shows.
     """
-    daily = (feed.select(F.to_date("time").alias("dt"), "city", "user_id").distinct()
-             .groupBy("dt", "city").agg(F.count("user_id").alias("users")))
+    counts = (feed.select(F.to_date("time").alias("dt"), "city", "user_id").distinct()
+              .groupBy("dt", "city").agg(F.count("user_id").alias("users")))
+    # one row per city; the last day over all cities is a maximum of those rows
+    spans = counts.groupBy("city").agg(F.min("dt").alias("lo"), F.max("dt").alias("hi"))
+    spans = spans.withColumn("hi", F.max("hi").over(Window.partitionBy()))
+    grid = spans.select(F.col("city").alias("c"), F.explode(F.sequence("lo", "hi")).alias("d"))
+    daily = (grid.join(counts, grid["c"].eqNullSafe(counts["city"]) & (grid["d"] == counts["dt"]), "left")
+             .select(F.col("d").alias("dt"), F.col("c").alias("city"), F.coalesce("users", F.lit(0)).alias("users")))
     w = Window.partitionBy("city").orderBy("dt").rowsBetween(-window_days, -1)
     avg_prev = F.avg("users").over(w)
     return (daily.withColumn("avg_prev", avg_prev)

@@ -16,11 +16,15 @@ from ..functions.dates import time_in_days
 from ..functions.sampling import (DEFAULT_BUCKETS, resample_with_replacement,
                                   resample_without_replacement)
 from ..functions.stats import equal_width_bin, with_welch
-from ..session import materialize, parallelism
+from ..session import materialize
 
 ALPHA = 0.05
 
 
+#: Simulated tests whose p-values one task computes.
+SIMS_PER_TASK = 200
+
+
 def user_ctr(feed: DataFrame, first, last, groups) -> DataFrame:
     """exp_group, user_id, likes, views, ctr = likes / views (NULL without
     views) over the inclusive day range, for the given groups."""
@@ -168,8 +172,8 @@ def aa_resample(spark: SparkSession, users: DataFrame, group_a, group_b, sims: i
     per_sim = draws.groupBy("sim").agg(*[c.alias(f"{k}_a") for k, c in a.items()],
                                        *[c.alias(f"{k}_b") for k, c in b.items()])
     # one row per simulation is tiny, so AQE would coalesce it into one task;
-    # the p-value integral is CPU work per row: spread it over all cores
-    per_sim = per_sim.repartition(parallelism(spark), "sim")
+    # the p-value integral is CPU work per row: a task per SIMS_PER_TASK
+    per_sim = per_sim.repartition(max(1, -(-sims // SIMS_PER_TASK)), "sim")
     return with_welch(per_sim).select("sim", "n_a", "n_b", "mean_a", "mean_b", "var_a",
                                       "var_b", "t", "df", "p")
 

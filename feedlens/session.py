@@ -71,15 +71,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Cores available to the session (default parallelism), or the shuffle
-    partition count where the context is not reachable."""
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def materialize(df):
     """Write ``df`` once to the reliable checkpoint folder and return a
     DataFrame reading it.

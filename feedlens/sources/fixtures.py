@@ -2,8 +2,7 @@
 
 The mapping is fixed by FIXTURES.md section 2 (the oracle SQL uses the same
 text); it only shapes rows into the expected schema and does none of the
-jobs' work.  ``nation`` is a fixed 25-row dimension and is broadcast; the
-customer join is left to the planner (AQE broadcasts it when it is small,
+jobs' work.  The joins with ``nation`` and ``customer`` are left to the planner (AQE broadcasts a side when it is small,
 otherwise it is a shuffle join on the customer key).
 """
 
@@ -88,7 +87,7 @@ def _feed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (e.join(c, e.user_id == c.c_custkey)
-          .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
+          .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     out = j.select(
         F.col("user_id"),
         F.col("ts").alias("time"),

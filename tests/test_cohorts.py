@@ -61,3 +61,20 @@ def test_incremental_first_seen_equals_full_retention(spark):
     inc = sorted(map(tuple, cohorts.retention_from_first_seen(feed, fs).collect()))
     full = sorted(map(tuple, cohorts.retention(feed, "day").collect()))
     assert inc == full
+
+
+def test_campaign_horizon_without_survivors_has_a_row(spark):
+    import datetime as dt
+    rows = [(u, dt.datetime(2024, 1, 5 + k, 9), "ads") for u in range(4) for k in (0, 1)] + [(9, dt.datetime(2024, 1, 2), "ads"), (9, dt.datetime(2024, 1, 5), "ads")]
+    a = spark.createDataFrame(rows, "user_id long, time timestamp_ntz, source string")
+    got = {r.day_n: (r.cohort_size, r.active_users, r.share) for r in cohorts.campaign_retention(a, "2024-01-05", (1, 14)).collect()}
+    assert got == {1: (4, 4, 1.0), 14: (4, 0, 0.0)}
+    assert cohorts.campaign_retention(a, "2024-02-05", (1,)).collect() == []
+
+
+def test_city_without_users_on_a_day_is_a_drop(spark):
+    import datetime as dt
+    rows = [(u, dt.datetime(2024, 1, 1 + k, 9), c) for u in range(10) for k in range(9) for c in ("x", "y", None) if c != "x" or k != 7]
+    f = spark.createDataFrame(rows, "user_id long, time timestamp_ntz, city string")
+    got = {(r.city, r.dt.day): (r.users, r.is_drop) for r in cohorts.city_activity_drop(f).collect()}
+    assert len(got) == 27 and got["x", 8] == (0, True) and got["y", 8] == (10, False) and got[None, 9] == (10, False)
