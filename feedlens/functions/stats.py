@@ -6,18 +6,18 @@ the test itself is column arithmetic on the result, so one row per test (or
 per simulation) is produced by the executors.
 
 p-value (two-sided).  With ``u = sqrt(df) * tan(theta)`` the t density turns
-into ``g/sqrt(pi) * cos(theta)^(df-1)``, so
-
-    p = 1 - (2 g / sqrt(pi)) * integral_0^theta0 cos(theta)^(df-1) dtheta,
-    theta0 = atan(|t| / sqrt(df)),  g = Gamma(df/2 + 1/2) / Gamma(df/2).
-
-The integral is Simpson's rule over a bounded interval with a smooth
-integrand, evaluated by ``aggregate(sequence(0, n))``; n follows the width
-of the integrand's peak (see ``simpson_steps_sql``).  ``g`` is the
-asymptotic series of the gamma ratio at ``x + 16`` brought back to ``x``
-with sixteen recurrence factors (Spark has no lgamma).  For df > 30 the
-peak of the integrand is narrow, so |t| is capped at 40 there (p < 1e-20
-beyond); p is clamped to [0, 1].
+into ``g/sqrt(pi) * cos(theta)^(df-1)``, so with ``b = |t| / sqrt(df)``
+
+    p = (2 g / sqrt(pi)) * cos(theta0)^(df-1) * I,    theta0 = atan(b),
+    I = integral_0^W (cos s - b sin s)^(df-1) ds,  g = Gamma(df/2 + 1/2) / Gamma(df/2).
+
+The tail itself is integrated, so small p-values keep their relative
+accuracy, and ``log10_p`` stays finite and ordered where p underflows.  W ends
+at theta = pi/2 or where the integrand has fallen by e^-25.  The integral is
+Simpson's rule in v with s = W (1 - v^2), which smooths the end, evaluated by
+``aggregate(sequence(0, n))``.  ``g`` is the asymptotic series of the gamma
+ratio at ``x + 16`` brought back to ``x`` with sixteen recurrence factors (Spark
+has no lgamma).
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SIMPSON_STEPS = 400
-STEPS_PER_PEAK_WIDTH = 24
-MIN_STEPS = 40
+SIMPSON_STEPS = 800
+#: The integrand is followed until it has fallen by exp(-FALL).
+FALL = 25
 _SHIFT = 16
 # coefficients of Gamma(y + 1/2) / Gamma(y) = sqrt(y) * (1 + c1/y + c2/y^2 + ...)
 GAMMA_RATIO_SERIES = (1.0, -1.0 / 8, 1.0 / 128, 5.0 / 1024, -21.0 / 32768, -399.0 / 262144)
@@ -62,61 +62,32 @@ def gamma_half_ratio(x: str) -> Column:
     return F.expr(gamma_half_ratio_sql(f"CAST(`{x}` AS DOUBLE)"))
 
 
-def simpson_cos_power_sql(theta0: str, expo: str, steps: str | int = SIMPSON_STEPS) -> str:
-    """SQL text of Simpson's rule for the integral of cos(x)^expo over
-    [0, theta0] with ``steps`` (even, SQL or int) intervals."""
-    h = f"({theta0} / {steps})"
-    weight = (f"CASE WHEN k = 0 OR k = {steps} THEN 1D WHEN k % 2 = 1 THEN 4D "
-              f"ELSE 2D END")
-    return (f"(aggregate(sequence(0, {steps}), 0D, (acc, k) -> acc + {weight} * "
-            f"pow(cos(k * {h}), {expo})) * {h} / 3)")
-
-
-def simpson_steps_sql(theta0: str, df: str) -> str:
-    """Even number of Simpson intervals for one row.
-
-    For df > 30 the integrand is a peak of width about 1/sqrt(df - 1) at 0;
-    24 intervals per width (at least 40, at most 400) keep the absolute error
-    of p below 1e-7.  Smaller df: 400 intervals over [0, theta0]."""
-    per_width = STEPS_PER_PEAK_WIDTH // 2
-    return (f"CAST(CASE WHEN {df} > 30 THEN greatest({MIN_STEPS}, least({SIMPSON_STEPS}, "
-            f"2 * CAST(ceil({theta0} * sqrt({df} - 1) * {per_width}) AS INT))) "
-            f"ELSE {SIMPSON_STEPS} END AS INT)")
-
-
 def with_p_value(frame: DataFrame, t: str = "t", df: str = "df", out: str = "p") -> DataFrame:
-    """Add the two-sided Student t p-value of columns ``t`` and ``df``.
+    """Add the two-sided Student t p-value of columns ``t`` and ``df`` as
+    ``out``, and its decimal logarithm as ``log10_<out>``.
 
-    Two projections over attributes: the first derives theta0, the exponent
-    and the gamma ratio once per row, the second runs the Simpson sum.  NULL
-    when t or df is NULL or df <= 0."""
+    Projections over attributes: b, W and the factor before the integral
+    once per row, then the Simpson sum.  NULL when t or df is NULL or df <= 0."""
     tq, dq = f"CAST(`{t}` AS DOUBLE)", f"CAST(`{df}` AS DOUBLE)"
-    capped = f"(CASE WHEN {dq} > 30 THEN least(abs({tq}), 40D) ELSE abs({tq}) END)"
     ok = f"({tq} IS NOT NULL AND {dq} > 0)"
-    theta0 = f"CASE WHEN {ok} THEN atan({capped} / sqrt({dq})) END"
     staged = frame.select(
-        "*",
-        F.expr(theta0).alias("_pv_theta0"),
-        F.expr(f"{dq} - 1").alias("_pv_expo"),
-        F.expr(f"CASE WHEN {ok} THEN {gamma_half_ratio_sql(f'({dq} / 2)')} END").alias("_pv_g"),
-        F.expr(simpson_steps_sql(f"({theta0})", dq)).alias("_pv_n"),
-        F.expr(ok).alias("_pv_ok"))
-    mass = (f"{simpson_cos_power_sql('_pv_theta0', '_pv_expo', '_pv_n')} * _pv_g * "
-            f"{2.0 / math.sqrt(math.pi)!r}D")
-    p = F.expr(f"CASE WHEN _pv_ok THEN greatest(least(1D - {mass}, 1D), 0D) END")
-    return staged.select(*[F.col(f"`{c}`") for c in frame.columns], p.alias(out))
-
-
-def student_t_two_sided_p(t: str, df: str) -> Column:
-    """Column form of the p-value for two column names (used on small
-    inputs and in tests; jobs use ``with_p_value``)."""
-    tq, dq = f"CAST(`{t}` AS DOUBLE)", f"CAST(`{df}` AS DOUBLE)"
-    capped = f"(CASE WHEN {dq} > 30 THEN least(abs({tq}), 40D) ELSE abs({tq}) END)"
-    theta0 = f"atan({capped} / sqrt(CASE WHEN {dq} > 0 THEN {dq} END))"
-    mass = (f"{simpson_cos_power_sql(theta0, f'({dq} - 1)', simpson_steps_sql(theta0, dq))} * "
-            f"{gamma_half_ratio_sql(f'({dq} / 2)')} * {2.0 / math.sqrt(math.pi)!r}D")
-    return F.expr(f"CASE WHEN {tq} IS NOT NULL AND {dq} > 0 "
-                  f"THEN greatest(least(1D - {mass}, 1D), 0D) END")
+        "*", F.expr(f"CASE WHEN {ok} THEN abs({tq}) / sqrt({dq}) END").alias("_pv_b"),
+        F.expr(f"{dq} - 1").alias("_pv_k"),
+        F.expr(f"CASE WHEN {ok} THEN {gamma_half_ratio_sql(f'({dq} / 2)')} END").alias("_pv_g"))
+    fall = f"({2 * FALL}D / greatest(_pv_k, 1e-9D))"
+    staged = staged.select("*", F.expr(
+        f"least(atan2(1D, _pv_b), {fall} / (_pv_b + sqrt(_pv_b * _pv_b + {fall})))").alias("_pv_w"))
+    weight = f"CASE WHEN i = 0 OR i = {SIMPSON_STEPS} THEN 1D WHEN i % 2 = 1 THEN 4D ELSE 2D END"
+    v = f"(i / {SIMPSON_STEPS}D)"
+    s = f"(_pv_w * (1 - {v} * {v}))"
+    total = (f"aggregate(sequence(0, {SIMPSON_STEPS}), 0D, (acc, i) -> acc + {weight} * 2 * _pv_w * {v} * "
+             f"coalesce(exp(_pv_k * log1p(-2 * pow(sin({s} / 2), 2) - _pv_b * sin({s}))), 0D)) / {3 * SIMPSON_STEPS}")
+    staged = staged.select("*", F.expr(f"CASE WHEN _pv_b IS NOT NULL THEN {total} END").alias("_pv_i"))
+    log10_p = (f"CASE WHEN _pv_i IS NOT NULL THEN least(0D, log10(_pv_i * _pv_g * {2.0 / math.sqrt(math.pi)!r}D) "
+               f"- _pv_k / 2 * log1p(_pv_b * _pv_b) / {math.log(10)!r}D) END")
+    staged = staged.select("*", F.expr(log10_p).alias("_pv_l"))
+    return staged.select(*[F.col(f"`{c}`") for c in frame.columns], F.expr("pow(10D, _pv_l)").alias(out),
+                         F.col("_pv_l").alias(f"log10_{out}"))
 
 
 def with_welch(frame: DataFrame, m1="mean_a", v1="var_a", n1="n_a", m2="mean_b",

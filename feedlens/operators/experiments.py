@@ -43,7 +43,7 @@ def _arm(metric: str, group_col: str, g) -> dict[str, Column]:
 def welch_test(users: DataFrame, metric: str, group_a, group_b, alpha: float = ALPHA,
                group_col: str = "exp_group") -> DataFrame:
     """One row: metric, group_a, group_b, n/mean/var per arm, t, df, p,
-    reject (p < alpha).  NULL metric values leave the test."""
+    reject (p < alpha), log10_p.  NULL metric values leave the test."""
     a, b = _arm(metric, group_col, group_a), _arm(metric, group_col, group_b)
     s = users.agg(*[c.alias(f"{k}_a") for k, c in a.items()],
                   *[c.alias(f"{k}_b") for k, c in b.items()])
@@ -51,7 +51,7 @@ def welch_test(users: DataFrame, metric: str, group_a, group_b, alpha: float = A
         F.lit(metric).alias("metric"), F.lit(group_a).alias("group_a"),
         F.lit(group_b).alias("group_b"),
         "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b", "t", "df", "p",
-        (F.col("p") < alpha).alias("reject"))
+        (F.col("p") < alpha).alias("reject"), "log10_p")
 
 
 def welch_tests(tagged: DataFrame, metric: str, alpha: float = ALPHA,
@@ -100,13 +100,14 @@ def linearized_likes(users: DataFrame, control, group_col: str = "exp_group") ->
 def ab_test(feed: DataFrame, first, last, control, treatment, alpha: float = ALPHA) -> DataFrame:
     """Welch tests of per-user CTR and of linearized likes for one pair of
     groups; ``linearized_more_sensitive`` tells whether the linearized
-    metric gave the lower p-value.  The per-user table is materialized once
+    metric gave the lower p-value (by ``log10_p``, which also tells apart what
+    underflows).  The per-user table is materialized once
     (checkpoint) and read by every test and subquery."""
     users = materialize(
         linearized_likes(materialize(user_ctr(feed, first, last, [control, treatment])), control))
     tests = welch_test(users, "ctr", control, treatment, alpha).unionByName(
         welch_test(users, "linearized_likes", control, treatment, alpha))
-    p_of = lambda m: F.max(F.when(F.col("metric") == m, F.col("p")))
+    p_of = lambda m: F.max(F.when(F.col("metric") == m, F.col("log10_p")))
     sensitive = tests.agg((p_of("linearized_likes") < p_of("ctr"))).scalar()
     return tests.withColumn("linearized_more_sensitive", sensitive)
 

@@ -298,12 +298,12 @@ def _welch_linearized(spark, d):
 
 @query("ab_test_03")
 def _ab_test_03(spark, d):
-    return experiments.ab_test(_feed(spark, d), *AB_WEEK, *AB_PAIRS["03"])
+    return experiments.ab_test(_feed(spark, d), *AB_WEEK, *AB_PAIRS["03"]).drop("log10_p")
 
 
 @query("ab_test_12")
 def _ab_test_12(spark, d):
-    return experiments.ab_test(_feed(spark, d), *AB_WEEK, *AB_PAIRS["12"])
+    return experiments.ab_test(_feed(spark, d), *AB_WEEK, *AB_PAIRS["12"]).drop("log10_p")
 
 
 def _aa_sims(spark, d):

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from feedlens.functions.stats import (gamma_half_ratio, student_t_two_sided_p, with_p_value,
+from feedlens.functions.stats import (gamma_half_ratio, with_p_value,
                                       with_welch)
 
 # (t, df) -> two-sided p from Student t tables (FIXTURES.md section 4)
@@ -14,11 +14,9 @@ TABLE = [(2.0, 10.0, 0.073388), (4.0, 5.0, 0.010323), (12.7062047, 1.0, 0.05),
 
 def test_p_value_table(spark):
     df = spark.createDataFrame([(t, d) for t, d, _ in TABLE], "t double, df double")
-    rows = with_p_value(df).select("t", "df", "p",
-                                   student_t_two_sided_p("t", "df").alias("p2")).collect()
+    rows = with_p_value(df).collect()
     for r, (_, _, expected) in zip(rows, TABLE):
         assert abs(r.p - expected) < 1e-6
-        assert r.p == r.p2
 
 
 def test_p_value_large_df_is_normal(spark):
@@ -108,3 +106,20 @@ def test_grouped_welch_equals_single_tests(spark):
         single = experiments.welch_test(users, "ctr", a, b).first()
         for col in ("n_a", "n_b", "t", "df", "p", "reject"):
             assert getattr(grouped[test], col) == getattr(single, col)
+
+
+def test_small_p_values_keep_relative_accuracy_and_order(spark):
+    # normal tails by the complementary error function (df large)
+    grid = [0.5, 2.0, 5.0, 8.0, 9.0, 12.0, 20.0, 30.0]
+    r = with_p_value(spark.createDataFrame([(t, 1e12) for t in grid], "t double, df double")).orderBy("t").collect()
+    for x in r:
+        assert math.isclose(x.p, math.erfc(x.t / math.sqrt(2)), rel_tol=1e-5), x
+    # df = 2 and df = 4 have closed forms
+    for t in (0.0, 0.3, 3.0, 40.0, 1e4):
+        two, four = (x.p for x in with_p_value(spark.createDataFrame([(t, 2.0), (t, 4.0)], "t double, df double")).orderBy("df").collect())
+        c = t / math.sqrt(t * t + 2)
+        assert math.isclose(two, 2 / (t * t + 2) / (1 + c), rel_tol=1e-6)
+        assert t > 40 or math.isclose(four, 1 - (t / math.sqrt(4 + t * t)) * (1 + 2 / (4 + t * t)), rel_tol=1e-4, abs_tol=1e-9)
+    # beyond the range of doubles the logarithm still falls
+    far = [x.log10_p for x in with_p_value(spark.createDataFrame([(t, 1e5) for t in (30.0, 60.0, 90.0)], "t double, df double")).orderBy("t").collect()]
+    assert far[0] > far[1] > far[2] and far[2] < -1500
