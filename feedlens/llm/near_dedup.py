@@ -8,9 +8,8 @@
    bucket, pairs that already lie in one component are skipped, and only
    buckets still split between components get more hubs, eight times as many
    each round, until every pair of such a bucket is decided.
-   By then pairs that share a rare shingle are compared outright, and others
-   are left out where their common shingles are too few for a link (an exact
-   bound), so an outlier is not held against a whole large group.
+   Pairs that cannot be similar, because too few of a text's shingles occur in
+   any other candidate, are left out (an exact bound).
 3. A candidate pair is verified on its signatures (minima that agree) and
    then on the full shingle sets.
 4. Verified links become components by alternating large-star / small-star.
@@ -35,8 +34,6 @@ SEED = 20240229
 #: Bands whose hubs are compared in the first round; links found there spare
 #: the comparisons of the other bands.
 FIRST_BANDS = 4
-#: A shingle held by at most so many unresolved texts is rare.
-RARE = 8
 #: Hubs a bucket gains from one round to the next.
 GROWTH = 8
 
@@ -153,65 +150,54 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = save(src.join(members, "id", "left_semi").filter(F.col("text").isNotNull())
                   .mapInArrow(_sets(width, n_hashes), "id long, shingles binary, minima binary"), "sets")
 
-    sizes_of = wanted.groupBy("id").agg(F.min(F.octet_length("shingles") / 8).cast("long").alias("n"),
-                                        F.max(F.octet_length("shingles") / 8).cast("long").alias("most"))
-    central = buckets.groupBy("id").agg(F.sum("size").alias("company"))
+    # An intersection has at most the shingles that some other candidate shares
+    # (``s``), which bounds the similarity of a pair and spares its comparison.
+    lone = (wanted.mapInArrow(_shingle_rows, "shingle long, id long").groupBy("shingle")
+            .agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1").groupBy("id").agg(F.count("*").alias("u")))
+    facts = save(wanted.groupBy("id").agg(F.min(F.octet_length("shingles") / 8).cast("long").alias("n"),
+                                          F.max(F.octet_length("shingles") / 8).cast("long").alias("most"))
+                 .join(lone, "id", "left").select("id", "n", (F.col("most") - F.coalesce("u", F.lit(0))).alias("s")), "facts")
 
     def possible(s, n_x, n_y):
         """Whether an intersection of ``s`` shingles would make a link."""
         return whole * s >= part * (n_x + n_y - s)
 
-    labels = save(central.select("id", F.col("id").alias("comp"), "company"), "labels")
+    known = buckets.select("key", "band", "id").join(facts, "id")
+    least = known.groupBy("key").agg(F.min("n").alias("least"))
+    known = known.join(least, "key").filter(possible(F.col("s"), F.col("n"), F.greatest("least", "s"))).drop("least")
+    sizes = known.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    buckets = save(known.join(sizes, "key"), "buckets")
+
+    labels = save(buckets.select("id").distinct().withColumn("comp", F.col("id")), "labels")
     hub_order = F.xxhash64(F.col("id"), F.col("key"))
     # a member is a hub once its place in [0, 1) is below GROWTH**round / bucket size
     place = (hub_order.cast("double") / F.lit(2.0 ** 64)) + F.lit(0.5)
     largest = buckets.agg(F.max("size")).first()[0] or 0
     last = math.ceil(math.log(largest, GROWTH)) if largest > 1 else 0
-    common = None
     for step in range(-1, last + 1):
         if not largest:
             break
         m = (buckets if step >= 0 else buckets.filter(F.col("band") < FIRST_BANDS))
-        m = m.join(labels, "id").select("key", "id", "comp", "size", "company", place.alias("place"))
+        m = m.join(labels, "id").select("key", "id", "comp", "size", "n", "s", place.alias("place"))
+        as_hub = [F.col(c).alias(f"hub_{c}") for c in ("key", "id", "comp", "n", "s")]
+        linkable = (F.col("key") == F.col("hub_key")) & (F.col("comp") != F.col("hub_comp")) & possible(
+            F.least("s", "hub_s"), F.col("n"), F.col("hub_n"))
         if step <= 0:
-            # the member that shares most buckets with others is likely to be near to most
-            hubs = (m.groupBy("key").agg(F.min(F.struct(-F.col("company"), "place", "id", "comp")).alias("h"))
-                    .select(F.col("key").alias("hub_key"), F.col("h.id").alias("hub_id"), F.col("h.comp").alias("hub_comp")))
-            near = m.join(hubs, (F.col("key") == F.col("hub_key")) & (F.col("comp") != F.col("hub_comp")))
+            # the member with the least of its own is likely to be near to most
+            hubs = (m.groupBy("key").agg(F.min(F.struct((1 - F.col("s") / F.col("n")).alias("own"), "place", "id", "comp", "n", "s")).alias("h"))
+                    .select("key", "h.*").select(*as_hub))
+            near = m.join(hubs, linkable)
         else:
             split = (m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .filter("lo < hi").select("key"))
             live = save(m.join(split, "key", "left_semi"), "live")
             if live.isEmpty():
                 break
-            if common is None:
-                # Members still apart: pairs that share a rare shingle are few and
-                # are all compared; a pair that shares none has an intersection of
-                # at most the common shingles (``s``), which bounds its similarity.
-                ids = live.select("id").distinct()
-                rows_ = save(wanted.join(ids, "id", "left_semi").mapInArrow(_shingle_rows, "shingle long, id long").distinct(), "shingles")
-                df = rows_.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
-                rare = rows_.join(df.filter(F.col("df") <= RARE), "shingle").select("shingle", "id")
-                ordinary = rows_.join(df.filter(F.col("df") > RARE), "shingle").groupBy("id").agg(F.count("*").alias("s"))
-                common = save(ids.join(sizes_of, "id").join(ordinary, "id", "left")
-                              .select("id", "n", F.coalesce("s", F.lit(0)).alias("s")), "common")
-                mine = rare.join(labels, "id").select("shingle", "id", "comp")
-                other = mine.select(F.col("shingle").alias("hub_key"), F.col("id").alias("hub_id"), F.col("comp").alias("hub_comp"))
-                by_rare = mine.join(other, (F.col("shingle") == F.col("hub_key")) & (F.col("id") < F.col("hub_id"))
-                                    & (F.col("comp") != F.col("hub_comp"))).select("id", "hub_id", "comp", "hub_comp")
-            live = live.join(common, "id")
-            least = live.groupBy("key").agg(F.min("n").alias("least"))
-            live = live.join(least, "key").filter(possible(F.col("s"), F.col("n"), F.greatest("least", "s")))
-            as_hub = [F.col(c).alias(f"hub_{c}") for c in ("key", "id", "comp", "n", "s")]
             bound = F.lit(float(GROWTH ** step)) / F.col("size")
             earlier = bound / GROWTH if step > 1 else F.lit(0.0)
             hubs = live.filter((F.col("place") < bound) & (F.col("place") >= earlier)).select(
                 *as_hub, F.struct("place", "id").alias("hub_place"))
-            near = live.join(hubs, (F.col("key") == F.col("hub_key")) & (F.col("comp") != F.col("hub_comp"))
-                             & possible(F.least("s", "hub_s"), F.col("n"), F.col("hub_n"))
-                             & (F.struct("place", "id") > F.col("hub_place")))
-            if step == 1:
-                near = near.select("id", "hub_id", "comp", "hub_comp").union(by_rare)
+            near = live.join(hubs, linkable & (F.struct("place", "id") > F.col("hub_place")))
         pairs = save(near.select(F.least("id", "hub_id").alias("a"), F.greatest("id", "hub_id").alias("b"),
                                  F.when(F.col("id") < F.col("hub_id"), F.col("comp")).otherwise(F.col("hub_comp")).alias("ca"),
                                  F.when(F.col("id") < F.col("hub_id"), F.col("hub_comp")).otherwise(F.col("comp")).alias("cb")
@@ -224,7 +210,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .mapInArrow(_verified(part, whole, floor), "ca long, cb long").distinct())
         roots = components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")))
         labels = save(labels.join(roots.withColumnRenamed("node", "comp"), "comp", "left")
-                      .select("id", F.coalesce("root", "comp").alias("comp"), "company"), "labels")
+                      .select("id", F.coalesce("root", "comp").alias("comp")), "labels")
 
     found = (classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
              .select("digest", F.coalesce("comp", "rep").alias("comp")))
