@@ -235,7 +235,9 @@ def _group_overlap(spark, d):
 
 @query("duplicate_rows")
 def _duplicate_rows(spark, d):
-    return experiments.duplicate_rows(_aa_users(spark, d))
+    """Repeated (user, post, action) rows of the raw feed in the A/A week."""
+    week = fixtures.feed_actions(spark, d).filter(time_in_days(*AA_WEEK))
+    return experiments.duplicate_rows(week.select("user_id", "post_id", "action"))
 
 
 @query("control_ctr")

@@ -40,39 +40,21 @@ def prev_day_metrics(daily: DataFrame, metrics=KEY_METRICS) -> DataFrame:
     return out
 
 
-def main_metric_report(feed: DataFrame, as_of, n_days: int = 7,
-                       lookback_days: int | str | None = "auto") -> DataFrame:
+def main_metric_report(feed: DataFrame, as_of, n_days: int = 7) -> DataFrame:
     """DAU, views, likes, CTR of the last ``n_days`` full days with the
     previous day's values and the change (newest first).
 
     "Previous" is the previous existing day, which for the first day of the
-    window may lie before it.  ``lookback_days``:
-
-    * ``"auto"`` (default, exact): aggregate only from ``n_days + 1 + 7``
-      days before ``as_of`` (a range pushed into the scan).  That is enough
-      when a day with events exists between the lookback start and the
-      window, or when no event at all is older than the lookback start (a
-      ``limit(1)`` probe on the pushed-down range).  Otherwise the whole
-      history is aggregated, as in the original query.
-    * an int: aggregate from that many days before ``as_of`` (caller vouches
-      that a previous day exists in it).
-    * ``None``: always the whole history.
-    """
-    src = feed
-    a = as_date(as_of)
-    if lookback_days is not None:
-        span = n_days + 1 + 7 if lookback_days == "auto" else int(lookback_days)
-        start = F.lit((a - _dt.timedelta(days=span)).isoformat()).cast("timestamp_ntz")
-        recent = feed.filter(F.col("time") >= start)
-        exact = True
-        if lookback_days == "auto":
-            first_window_day = a - _dt.timedelta(days=n_days)
-            edge = F.lit(first_window_day.isoformat()).cast("timestamp_ntz")
-            # the second probe only runs when the first finds nothing
-            exact = (recent.filter(F.col("time") < edge).limit(1).count() > 0
-                     or feed.filter(F.col("time") < start).limit(1).count() == 0)
-        if exact:
-            src = recent
+    window may lie any time before it.  That day is ``max(time)`` before the
+    window, looked for in the week before it and, if that is empty, in all
+    history; only it and later days are aggregated."""
+    midnight = lambda d: F.lit(d.isoformat()).cast("timestamp_ntz")
+    time = F.col("time")
+    first = as_date(as_of) - _dt.timedelta(days=n_days)
+    older = feed.filter(time < midnight(first))
+    latest = lambda df: df.agg(F.max("time")).first()[0]
+    before = latest(older.filter(time >= midnight(first - _dt.timedelta(days=7)))) or latest(older)
+    src = feed.filter(time >= midnight(before.date() if before else first))
     report = prev_day_metrics(feed_daily(src)).filter(last_full_days(as_of, n_days))
     return report.select("dt", *KEY_METRICS, *[f"prev_{m}" for m in KEY_METRICS],
                          *[f"dev_{m}" for m in KEY_METRICS]).orderBy(F.desc("dt"))

@@ -57,17 +57,23 @@ def _sender_attributes() -> list:
     ]
 
 
+def _is_message():
+    return F.coalesce((F.col("event_type") == "purchase") & (F.col("user_id") % 3 != 0), F.lit(False))
+
+
 def _props_number():
     return F.regexp_extract(F.col("props"), "[0-9]+", 0).try_cast("bigint")
 
 
 def feed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``feed_actions`` rows: a view stays a view, a click stands for a like."""
+    """``feed_actions`` rows: every event that is no message.  A view stays a
+    view, a click stands for a like, any other type keeps its name."""
     return _memo("feed", spark, sf_dir, lambda: _feed_actions(spark, sf_dir))
 
 
 def message_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``message_actions`` rows: purchases of two thirds of the users.
+    """``message_actions`` rows: purchases of two thirds of the users (the
+    other purchases are feed rows, so no event is lost).
 
     The receiver id uses ``max(user_id) + 1`` over all events, a scalar
     subquery (one value, computed by its own aggregate)."""
@@ -82,20 +88,21 @@ def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _feed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = (_table(spark, sf_dir, "events")
-         .filter(F.col("event_type").isin("view", "click"))
+         .filter(~_is_message())
          .select("event_id", "user_id", "ts", "event_type", "props"))
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (e.join(c, e.user_id == c.c_custkey)
-          .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+    j = (e.join(c, e.user_id == c.c_custkey, "left")
+          .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+    moved = F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)   # some users change group
     out = j.select(
         F.col("user_id"),
         F.col("ts").alias("time"),
-        F.when(F.col("event_type") == "view", F.lit("view")).otherwise(F.lit("like")).alias("action"),
+        F.when(F.col("event_type") == "click", F.lit("like")).otherwise(F.col("event_type")).alias("action"),
         _props_number().alias("post_id"),
         *_sender_attributes(),
         F.col("n_name").alias("city"),
-        (F.col("user_id") % 5).cast("int").alias("exp_group"),
+        ((F.col("user_id") + moved) % 5).cast("int").alias("exp_group"),
     )
     return out.select([F.col(f.name).cast(f.dataType) for f in FEED_ACTIONS.fields])
 
@@ -103,7 +110,7 @@ def _feed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _message_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     modulus = events.agg(F.max("user_id") + 1).scalar()
-    e = (events.filter((F.col("event_type") == "purchase") & (F.col("user_id") % 3 != 0))
+    e = (events.filter(_is_message())
          .select("event_id", "user_id", "ts", "props"))
     out = e.select(
         F.col("user_id"),

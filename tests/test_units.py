@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feedlens.operators import experiments, metrics, slices, users
 from feedlens.plans import reports
+from feedlens.sources import fixtures
 from feedlens.sources.schema import FEED_ACTIONS, MESSAGE_ACTIONS
 
 AS_OF = dt.date(2024, 1, 31)
@@ -123,19 +124,24 @@ def test_feed_only_plus_both_equals_dau(spark):
 
 
 def test_key_metric_report_lookback_is_exact(spark):
-    # previous existing day is far before the window: the bounded lookback
-    # must notice and fall back to the whole history
+    # the previous existing day may lie far before the window
     far, d1 = dt.datetime(2023, 12, 1, 9), dt.datetime(2024, 1, 26, 9)
     f = feed(spark, [(1, far, "view", "iOS", 0), (2, far, "view", "iOS", 0),
                      (1, d1, "view", "iOS", 0)])
     auto = {r.dt: r for r in reports.main_metric_report(f, AS_OF).collect()}
-    full = {r.dt: r for r in reports.main_metric_report(f, AS_OF, lookback_days=None).collect()}
-    assert auto == full
-    assert auto[d1.date()].prev_dau == 2
-    # previous day inside the lookback: same as the whole history
+    assert set(auto) == {d1.date()} and auto[d1.date()].prev_dau == 2
+    # the previous day is in the week before the window
     d0 = dt.datetime(2024, 1, 20, 9)
     g = feed(spark, [(1, far, "view", "iOS", 0), (1, d0, "view", "iOS", 0),
                      (2, d0, "like", "iOS", 0), (1, d1, "view", "iOS", 0)])
     auto = {r.dt: r for r in reports.main_metric_report(g, AS_OF).collect()}
-    full = {r.dt: r for r in reports.main_metric_report(g, AS_OF, lookback_days=None).collect()}
-    assert auto == full and auto[d1.date()].prev_dau == 2
+    assert set(auto) == {d1.date()} and auto[d1.date()].prev_dau == 2
+    # no day before the window
+    only = reports.main_metric_report(feed(spark, [(1, d1, "view", "iOS", 0)]), AS_OF).collect()
+    assert len(only) == 1 and only[0].prev_dau == 0
+
+
+def test_every_event_is_a_feed_row_or_a_message(spark):
+    d = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{d}/events.parquet").count()
+    assert fixtures.feed_actions(spark, d).count() + fixtures.message_actions(spark, d).count() == n
