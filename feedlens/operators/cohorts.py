@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_date
+from ..functions.dates import as_date, time_in_days
 
 _GRAINS = ("day", "week", "month")
 
@@ -206,24 +206,29 @@ def new_first_seen(activity_day: DataFrame, first_seen: DataFrame | None) -> Dat
     return day_users.select("user_id", "source", "first_day")
 
 
-def update_first_seen(spark, activity_day: DataFrame, path: str) -> DataFrame:
-    """Add the new users of ``activity_day`` to the first-seen table at
-    ``path`` (Parquet partitioned by first_day).  Re-running a day writes
-    the same rows: the day's partition is replaced (dynamic overwrite) and
-    the anti join only looks at earlier days."""
+def earliest(first_seen: DataFrame) -> DataFrame:
+    """One row per user: the smallest stored first day and its source.  Days
+    loaded out of order leave a user's later row behind; this passes over it."""
+    return (first_seen.groupBy("user_id")
+            .agg(F.min_by("source", "first_day").alias("source"), F.min("first_day").alias("first_day")))
+
+
+def update_first_seen(spark, activity: DataFrame, day, path: str) -> DataFrame:
+    """Write the users of ``day`` that have no earlier stored day as the
+    partition ``first_day=<day>`` of the table at ``path`` and return the
+    ``earliest`` rows.  Days may come in any order; re-running a day replaces
+    its partition, also by nothing.  If a re-run takes users off a day, the
+    later days have to be re-run too, as they left those users out."""
     from pyspark.errors import AnalysisException
 
+    day = as_date(day)
     try:
-        existing = spark.read.schema(FIRST_SEEN_SCHEMA).parquet(path)
+        existing = spark.read.schema(FIRST_SEEN_SCHEMA).parquet(path).filter(F.col("first_day") < F.lit(day))
     except AnalysisException:   # first run: no table yet
         existing = None
-    days = activity_day.select(F.min(F.to_date("time"))).scalar()
-    if existing is not None:
-        existing = existing.filter(F.col("first_day") < days)
-    fresh = new_first_seen(activity_day, existing)
-    (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("first_day").parquet(path))
-    return spark.read.schema(FIRST_SEEN_SCHEMA).parquet(path)
+    fresh = new_first_seen(activity.filter(time_in_days(day, day)), existing)
+    fresh.select("user_id", "source").write.mode("overwrite").parquet(f"{path}/first_day={day.isoformat()}")
+    return earliest(spark.read.schema(FIRST_SEEN_SCHEMA).parquet(path))
 
 
 def retention_from_first_seen(activity: DataFrame, first_seen: DataFrame) -> DataFrame:
@@ -231,7 +236,7 @@ def retention_from_first_seen(activity: DataFrame, first_seen: DataFrame) -> Dat
     distinct (user, day) activity and the stored first-seen table: a join on
     user_id instead of a window over each user's whole history."""
     ud = user_periods(activity, "day").select("user_id", "period")
-    c = ud.join(first_seen.select("user_id", F.col("first_day").alias("cohort"),
+    c = ud.join(earliest(first_seen).select("user_id", F.col("first_day").alias("cohort"),
                                   F.col("source").alias("cohort_source")), "user_id")
     n = F.datediff(F.col("period"), F.col("cohort"))
     g = (c.groupBy(F.col("cohort_source").alias("source"), "cohort", n.alias("period_n"))

@@ -39,7 +39,7 @@ def daily_etl(spark: SparkSession, feed_path: str, messages_path: str, out_path:
     feed = readers.read_feed_actions(spark, feed_path, day_column, _yesterday(as_of))
     msgs = readers.read_message_actions(spark, messages_path, day_column, _yesterday(as_of))
     out = slices.daily_slices(feed, msgs, as_of, how=how)
-    sinks.write_slices(out, out_path)
+    sinks.write_slices(out, out_path, _yesterday(as_of)[0])
     return out
 
 

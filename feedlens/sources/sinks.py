@@ -2,14 +2,16 @@
 
 The original creates the table if absent and appends each day.  Appending
 is not safe under retries (a task retried after a partial write appends
-twice), so a day is written with dynamic partition overwrite: re-running a
-day replaces exactly that day's partition.
+twice), so a day is written as its own partition: re-running a day replaces
+exactly that partition, and a day without rows empties it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.dates import as_date
 from .schema import DAILY_SLICES
 
 
@@ -25,23 +27,21 @@ def create_slices_table(spark: SparkSession, table: str, location: str | None =
               f"PARTITIONED BY (event_date){loc}")
 
 
-def write_slices(df: DataFrame, path: str) -> None:
-    """Write the days present in ``df`` under ``path`` (Parquet, one
-    partition per event_date), replacing those days only."""
-    (df.select([f.name for f in DAILY_SLICES.fields])
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy("event_date")
-       .parquet(path))
+def _only(df: DataFrame, day) -> DataFrame:
+    """``df``; a row of another day than ``day`` is an error, not dropped."""
+    other = F.raise_error(F.lit(f"slices hold rows of another day than {day}")).cast("boolean")
+    return df.filter(F.when(F.col("event_date") == F.lit(as_date(day)), F.lit(True)).otherwise(other))
 
 
-def insert_slices(df: DataFrame, table: str) -> None:
+def write_slices(df: DataFrame, path: str, day) -> None:
+    """Write the slices of ``day`` as the partition ``event_date=<day>`` under
+    ``path`` (Parquet), replacing it also when the day has no rows left."""
+    cols = [f.name for f in DAILY_SLICES.fields if f.name != "event_date"]
+    _only(df, day).select(cols).write.mode("overwrite").parquet(f"{path}/event_date={as_date(day).isoformat()}")
+
+
+def insert_slices(df: DataFrame, table: str, day) -> None:
     """Same for a catalog table made by ``create_slices_table``."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        cols = [f.name for f in DAILY_SLICES.fields if f.name != "event_date"] + ["event_date"]
-        df.select(cols).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    cols = [f.name for f in DAILY_SLICES.fields if f.name != "event_date"]
+    df.sparkSession.sql(f"INSERT OVERWRITE {table} PARTITION (event_date = DATE'{as_date(day).isoformat()}') "
+                        "SELECT * FROM {rows}", rows=_only(df, day).select(cols))

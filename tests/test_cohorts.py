@@ -45,22 +45,16 @@ def test_incremental_first_seen_equals_full_retention(spark):
     feed = fixtures.feed_actions(spark, SF_SMALL)
     path = tempfile.mkdtemp(prefix="feedlens-first-seen-") + "/first_seen"
     start = dt.date(2024, 1, 1)
-    for i in range(30):
-        day = start + dt.timedelta(days=i)
-        lo = F.lit(day.isoformat()).cast("timestamp_ntz")
-        hi = F.lit((day + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
-        cohorts.update_first_seen(spark, feed.filter((F.col("time") >= lo) & (F.col("time") < hi)),
-                                  path)
-    # re-running a day changes nothing
-    day = start + dt.timedelta(days=3)
-    lo = F.lit(day.isoformat()).cast("timestamp_ntz")
-    hi = F.lit((day + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
-    fs = cohorts.update_first_seen(spark, feed.filter((F.col("time") >= lo) & (F.col("time") < hi)),
-                                   path)
+    for i in (2, 1, 0, *range(3, 30), 3):     # out of order, one day twice
+        fs = cohorts.update_first_seen(spark, feed, start + dt.timedelta(days=i), path)
     assert fs.count() == feed.select("user_id").distinct().count()
     inc = sorted(map(tuple, cohorts.retention_from_first_seen(feed, fs).collect()))
     full = sorted(map(tuple, cohorts.retention(feed, "day").collect()))
     assert inc == full
+    # a day that is empty on re-run loses its rows
+    day = fs.agg(F.min("first_day")).first()[0]
+    left = cohorts.update_first_seen(spark, feed.filter("false"), day, path)
+    assert left.filter(F.col("first_day") == F.lit(day)).count() == 0
 
 
 def test_campaign_horizon_without_survivors_has_a_row(spark):

@@ -2,6 +2,8 @@
 import os
 import tempfile
 
+import pytest
+
 from feedlens.operators import slices
 from feedlens.sources import fixtures, sinks
 
@@ -13,14 +15,18 @@ def test_rerun_of_a_day_leaves_the_same_rows(spark):
     f, m = fixtures.feed_actions(spark, SF_SMALL), fixtures.message_actions(spark, SF_SMALL)
     day1 = slices.daily_slices(f, m, "2024-01-30")
     day2 = slices.daily_slices(f, m, "2024-01-29")
-    sinks.write_slices(day1, out)
-    sinks.write_slices(day2, out)
+    sinks.write_slices(day1, out, "2024-01-29")
+    sinks.write_slices(day2, out, "2024-01-28")
     first = sorted(map(tuple, spark.read.parquet(out).collect()))
-    sinks.write_slices(day1, out)          # retry of one day
+    sinks.write_slices(day1, out, "2024-01-29")          # retry of one day
     again = sorted(map(tuple, spark.read.parquet(out).collect()))
     assert first == again
     expected = day1.count() + day2.count()
     assert len(again) == expected
+    with pytest.raises(Exception, match="another day"):
+        sinks.write_slices(day1, os.path.join(os.path.dirname(out), "other"), "2024-01-28")
+    sinks.write_slices(day1.filter("false"), out, "2024-01-29")   # corrected to nothing
+    assert spark.read.parquet(out).count() == day2.count()
 
 
 def test_catalog_table_insert_is_idempotent(spark):
@@ -29,7 +35,9 @@ def test_catalog_table_insert_is_idempotent(spark):
     sinks.create_slices_table(spark, "slices_test", loc)   # if absent: no error
     f, m = fixtures.feed_actions(spark, SF_SMALL), fixtures.message_actions(spark, SF_SMALL)
     day = slices.daily_slices(f, m, "2024-01-30")
-    sinks.insert_slices(day, "slices_test")
-    sinks.insert_slices(day, "slices_test")
+    sinks.insert_slices(day, "slices_test", "2024-01-29")
+    sinks.insert_slices(day, "slices_test", "2024-01-29")
     assert spark.table("slices_test").count() == day.count()
+    sinks.insert_slices(day.filter("false"), "slices_test", "2024-01-29")
+    assert spark.table("slices_test").count() == 0
     spark.sql("DROP TABLE slices_test")
