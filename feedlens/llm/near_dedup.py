@@ -8,8 +8,9 @@
    bucket, pairs that already lie in one component are skipped, and only
    buckets still split between components get more hubs, eight times as many
    each round, until every pair of such a bucket is decided.
-   Pairs that cannot be similar, because too few of a text's shingles occur in
-   any other candidate, are left out (an exact bound).
+   Pairs that cannot be similar are left out by exact bounds: on the shingles
+   of a text that occur in any other candidate, and, in the later rounds, on
+   those that it has in common with the central member of its bucket.
 3. A candidate pair is verified on its signatures (minima that agree) and
    then on the full shingle sets.
 4. Verified links become components by alternating large-star / small-star.
@@ -114,6 +115,14 @@ def _verified(part: int, whole: int, floor: int):
     return run
 
 
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles that two sets have in common."""
+    for batch in batches:
+        p = [shared(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
+             for x, y in zip(batch.column("sa"), batch.column("sb"))]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(p, pa.int64())], names=["id", "b", "p"])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     width: int = 5, part: int = 80, whole: int = 100,
                     n_hashes: int = 224) -> DataFrame:
@@ -155,8 +164,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lone = (wanted.mapInArrow(_shingle_rows, "shingle long, id long").groupBy("shingle")
             .agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1").groupBy("id").agg(F.count("*").alias("u")))
     facts = save(wanted.groupBy("id").agg(F.min(F.octet_length("shingles") / 8).cast("long").alias("n"),
-                                          F.max(F.octet_length("shingles") / 8).cast("long").alias("most"))
-                 .join(lone, "id", "left").select("id", "n", (F.col("most") - F.coalesce("u", F.lit(0))).alias("s")), "facts")
+                                          F.max(F.octet_length("shingles") / 8).cast("long").alias("most"),
+                                          (F.min(F.xxhash64("shingles")) == F.max(F.xxhash64("shingles"))).alias("one"))
+                 .join(lone, "id", "left").select("id", "n", "one", (F.col("most") - F.coalesce("u", F.lit(0))).alias("s")), "facts")
 
     def possible(s, n_x, n_y):
         """Whether an intersection of ``s`` shingles would make a link."""
@@ -169,48 +179,75 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = save(known.join(sizes, "key"), "buckets")
 
     labels = save(buckets.select("id").distinct().withColumn("comp", F.col("id")), "labels")
-    hub_order = F.xxhash64(F.col("id"), F.col("key"))
     # a member is a hub once its place in [0, 1) is below GROWTH**round / bucket size
-    place = (hub_order.cast("double") / F.lit(2.0 ** 64)) + F.lit(0.5)
-    largest = buckets.agg(F.max("size")).first()[0] or 0
-    last = math.ceil(math.log(largest, GROWTH)) if largest > 1 else 0
-    for step in range(-1, last + 1):
-        if not largest:
-            break
-        m = (buckets if step >= 0 else buckets.filter(F.col("band") < FIRST_BANDS))
-        m = m.join(labels, "id").select("key", "id", "comp", "size", "n", "s", place.alias("place"))
-        as_hub = [F.col(c).alias(f"hub_{c}") for c in ("key", "id", "comp", "n", "s")]
-        linkable = (F.col("key") == F.col("hub_key")) & (F.col("comp") != F.col("hub_comp")) & possible(
-            F.least("s", "hub_s"), F.col("n"), F.col("hub_n"))
-        if step <= 0:
-            # the member with the least of its own is likely to be near to most
-            hubs = (m.groupBy("key").agg(F.min(F.struct((1 - F.col("s") / F.col("n")).alias("own"), "place", "id", "comp", "n", "s")).alias("h"))
-                    .select("key", "h.*").select(*as_hub))
-            near = m.join(hubs, linkable)
-        else:
-            split = (m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                     .filter("lo < hi").select("key"))
-            live = save(m.join(split, "key", "left_semi"), "live")
-            if live.isEmpty():
-                break
-            bound = F.lit(float(GROWTH ** step)) / F.col("size")
-            earlier = bound / GROWTH if step > 1 else F.lit(0.0)
-            hubs = live.filter((F.col("place") < bound) & (F.col("place") >= earlier)).select(
-                *as_hub, F.struct("place", "id").alias("hub_place"))
-            near = live.join(hubs, linkable & (F.struct("place", "id") > F.col("hub_place")))
+    place = (F.xxhash64("id", "key").cast("double") / F.lit(2.0 ** 64)) + F.lit(0.5)
+    left = wanted.select(F.col("id").alias("a"), F.col("shingles").alias("sa"), F.col("minima").alias("ma"))
+    right = wanted.select(F.col("id").alias("b"), F.col("shingles").alias("sb"), F.col("minima").alias("mb"))
+
+    def linked(near: DataFrame) -> DataFrame:
+        """``labels`` after the pairs of members and hubs ``near`` are verified."""
+        low = F.col("id") < F.col("hub_id")
         pairs = save(near.select(F.least("id", "hub_id").alias("a"), F.greatest("id", "hub_id").alias("b"),
-                                 F.when(F.col("id") < F.col("hub_id"), F.col("comp")).otherwise(F.col("hub_comp")).alias("ca"),
-                                 F.when(F.col("id") < F.col("hub_id"), F.col("hub_comp")).otherwise(F.col("comp")).alias("cb")
+                                 F.when(low, F.col("comp")).otherwise(F.col("hub_comp")).alias("ca"),
+                                 F.when(low, F.col("hub_comp")).otherwise(F.col("comp")).alias("cb")
                                  ).distinct(), "pairs")
         if pairs.isEmpty():
-            continue
-        left = wanted.select(F.col("id").alias("a"), F.col("shingles").alias("sa"), F.col("minima").alias("ma"))
-        right = wanted.select(F.col("id").alias("b"), F.col("shingles").alias("sb"), F.col("minima").alias("mb"))
+            return labels
         links = (pairs.join(left, "a").join(right, "b").select("ca", "cb", "ma", "mb", "sa", "sb")
                  .mapInArrow(_verified(part, whole, floor), "ca long, cb long").distinct())
         roots = components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")))
-        labels = save(labels.join(roots.withColumnRenamed("node", "comp"), "comp", "left")
-                      .select("id", F.coalesce("root", "comp").alias("comp")), "labels")
+        return save(labels.join(roots.withColumnRenamed("node", "comp"), "comp", "left")
+                    .select("id", F.coalesce("root", "comp").alias("comp")), "labels")
+
+    def hubs_of(members: DataFrame, *columns: str) -> DataFrame:
+        return members.select(*[F.col(c).alias(f"hub_{c}") for c in ("key", "id", "comp", "n", "s", *columns)])
+
+    # the member with the least of its own is likely to be near to most; ties
+    # fall alike in all buckets, so that their hubs are few
+    central = F.min(F.struct(~F.col("one"), (1 - F.col("s") / F.col("n")).alias("own"), F.xxhash64("id").alias("tie"), "id",
+                             "one", "n", "s")).alias("h")
+    apart = (F.col("key") == F.col("hub_key")) & (F.col("comp") != F.col("hub_comp"))
+    for bands in (F.col("band") < FIRST_BANDS, F.lit(True)):
+        m = buckets.filter(bands).join(labels, "id")
+        hubs = m.groupBy("key").agg(central).select("key", "h.*").join(labels, "id")
+        labels = linked(m.join(hubs_of(hubs), apart & possible(F.least("s", "hub_s"), F.col("n"), F.col("hub_n"))))
+
+    def split(members: DataFrame) -> DataFrame:
+        """Keys of the buckets that hold several components."""
+        return (members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                .filter("lo < hi").select("key"))
+
+    # The rest is compared in ever more pairs, so their bound is made tighter.
+    # With ``p`` shingles in common with the central member and ``rest`` shared
+    # ones beside those, two members have at most the lesser p and the lesser
+    # rest in common.  (An id with several texts has no p: ``s`` bounds both.)
+    # A pair meets in the first of its common buckets alone.
+    m = buckets.join(labels, "id")
+    live = save(m.join(split(m), "key", "left_semi").drop("comp"), "live")
+    centres = live.groupBy("key").agg(central).select("key", F.col("h.id").alias("b"), F.col("h.one").alias("sure"))
+    live = live.join(centres, "key")
+    common = (live.filter("one AND sure").select(F.col("id").alias("a"), "b").distinct().join(left, "a").join(right, "b")
+              .select("a", "b", "sa", "sb").mapInArrow(_overlaps, "id long, b long, p long").distinct())
+    shares = live.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    live = save(live.join(common, ["id", "b"], "left").join(shares, "id")
+                .select("key", "id", "n", "s", "size", "keys", place.alias("place"),
+                        F.least("s", F.coalesce("p", "s")).alias("p"),
+                        F.when(F.col("p").isNull(), F.col("s")).otherwise(F.greatest(F.lit(0), F.col("s") - F.col("p"))).alias("rest")),
+                "live")
+    most = F.least("s", "hub_s", F.least("p", "hub_p") + F.least("rest", "hub_rest"))
+    later = F.struct("place", "id") > F.struct("hub_place", "hub_id")
+    meet = F.element_at(F.array_intersect("keys", "hub_keys"), 1) == F.col("key")
+    largest = live.agg(F.max("size")).first()[0] or 0
+    for step in range(1, math.ceil(math.log(largest, GROWTH)) + 1 if largest else 0):
+        m = save(live.join(labels, "id"), "live")
+        open_keys = save(split(m), "open")
+        if open_keys.isEmpty():
+            break
+        bound = F.lit(float(GROWTH ** step)) / F.col("size")
+        earlier = bound / GROWTH if step > 1 else F.lit(0.0)
+        hubs = hubs_of(m.filter((F.col("place") < bound) & (F.col("place") >= earlier)).join(open_keys, "key", "left_semi"),
+                       "p", "rest", "place", "keys")
+        labels = linked(m.join(hubs, apart & later & possible(most, F.col("n"), F.col("hub_n")) & meet))
 
     found = (classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
              .select("digest", F.coalesce("comp", "rep").alias("comp")))
