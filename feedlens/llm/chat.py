@@ -1,8 +1,8 @@
 """Chat formatting of reply trees.
 
 Messages form trees by their parent.  Iterative self-joins double the jump
-of every message (parent, grandparent, 4th, 8th ancestor ...), so a thread of
-n replies takes log n joins.  Leaves are ranked by the score of their branch,
+of every message that has not reached its root (parent, grandparent, 4th, 8th
+ancestor ...), so a thread of n replies takes log n joins.  Leaves are ranked by the score of their branch,
 the chosen leaves are expanded through the same jump tables into their
 root-to-leaf paths, and each path becomes one formatted conversation.
 
@@ -69,30 +69,30 @@ def best_paths(messages: DataFrame, *, branches: int = 1) -> DataFrame:
     nodes = messages.groupBy("conv", "id").agg(F.min(F.struct("parent", F.coalesce("score", F.lit(0.0)).alias("score"))).alias("x"))
     nodes = save(nodes.select("conv", "id", "x.parent", "x.score"), "nodes")
     known = nodes.select(F.col("conv").alias("c"), F.col("id").alias("p"))
-    jump = save(nodes.join(known, (F.col("conv") == F.col("c")) & (F.col("parent") == F.col("p")), "left")
-                .select("conv", "id", F.col("p").alias("up"), F.lit(0).cast("long").alias("depth"),
-                        "score", F.coalesce("p", "id").alias("root"))
-                .withColumn("depth", F.col("up").isNotNull().cast("long")), "jump")
-    jumps = [jump]
-    # depth, score and root so far cover the messages up to `up`
+    first = save(nodes.join(known, (F.col("conv") == F.col("c")) & (F.col("parent") == F.col("p")), "left")
+                 .select("conv", "id", F.col("p").alias("up"), F.col("p").isNotNull().cast("long").alias("depth"),
+                         "score", F.coalesce("p", "id").alias("root")), "jump")
+    # depth, score and root so far cover the messages up to `up`; messages that
+    # have reached their root leave the joins
+    done, climbing, jumps = first.filter("up IS NULL"), first.filter("up IS NOT NULL"), []
     rounds = max(1, nodes.count()).bit_length()
     for _ in range(rounds):
-        if jump.filter("up is not null").isEmpty():
+        if climbing.isEmpty():
             break
-        far = jump.select(F.col("conv").alias("c"), F.col("id").alias("i"), F.col("up").alias("up2"),
-                          F.col("depth").alias("d2"), F.col("score").alias("s2"), F.col("root").alias("r2"))
-        jump = save(jump.join(far, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("i")), "left")
-                    .select("conv", "id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                            (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"),
-                            F.coalesce("r2", "root").alias("root")), "jump")
-        jumps.append(jump)
-    parents = jumps[0].filter("up is not null").select("conv", F.col("up").alias("id")).distinct()
-    leaves = jump.filter("up is null").join(parents, ["conv", "id"], "left_anti")
+        jumps.append(climbing)
+        far = done.union(climbing).select(F.col("conv").alias("c"), F.col("id").alias("i"), F.col("up").alias("up2"),
+                                          F.col("depth").alias("d2"), F.col("score").alias("s2"), F.col("root").alias("r2"))
+        step = save(climbing.join(far, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("i")))
+                    .select("conv", "id", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"),
+                            (F.col("score") + F.col("s2")).alias("score"), F.col("r2").alias("root")), "jump")
+        done, climbing = done.union(step.filter("up IS NULL")), step.filter("up IS NOT NULL")
+    parents = first.filter("up IS NOT NULL").select("conv", F.col("up").alias("id")).distinct()
+    leaves = done.join(parents, ["conv", "id"], "left_anti")
     order = Window.partitionBy("conv", "root").orderBy(F.desc("score"), F.desc("depth"), "id")
     chosen = leaves.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= branches)
     path = chosen.select("conv", F.col("id").alias("leaf"), "id", F.col("depth").alias("place"))
     for k, step in enumerate(jumps):
-        up = step.filter("up is not null").select(F.col("conv").alias("c"), F.col("id").alias("i"), "up")
+        up = step.select(F.col("conv").alias("c"), F.col("id").alias("i"), "up")
         above = (path.join(up, (F.col("conv") == F.col("c")) & (F.col("id") == F.col("i")))
                  .select("conv", "leaf", F.col("up").alias("id"), (F.col("place") - 2 ** k).alias("place")))
         path = save(path.union(above), "path")
