@@ -30,9 +30,13 @@ CLASSES = ("lower", "upper", "space", "digit", "mark", "symbol", "other")
 #: together (root mean square).
 MAX_CLASS_DISTANCE = 0.25
 MAX_JOINT_DISTANCE = 0.19
-#: Guards: below these lengths a histogram says too little to reject.
+#: The same below LONG_WORDS words, where histograms scatter more.
+MAX_SHORT_JOINT_DISTANCE = 0.24
+LONG_WORDS = 100
+#: Guards: shorter documents are not judged; from 50 words, where the base
+#: rule ends, the characters are judged whatever their number.
 MIN_CHARS = 300
-MIN_WORDS = 100
+MIN_WORDS = 50
 #: Documents farther than this from the first reference don't count in the second.
 TRIM_DISTANCE = 0.3
 #: Documents a reference rests on at least; rarer languages are not judged.
@@ -120,7 +124,8 @@ def _joined(measured: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
-          max_class: float = MAX_CLASS_DISTANCE, max_joint: float = MAX_JOINT_DISTANCE) -> DataFrame:
+          max_class: float = MAX_CLASS_DISTANCE, max_joint: float = MAX_JOINT_DISTANCE,
+          max_short_joint: float = MAX_SHORT_JOINT_DISTANCE) -> DataFrame:
     """One row per input row: ``id``, ``n_words``, ``word_chars``,
     ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``class_distance``, ``word_distance`` (NULL where a guard holds), ``kept``.
@@ -133,7 +138,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     m = save(measures(docs, id_col, text_col, lang_col), "measures")
     m = m.withColumns({"class_shares": _shares(F.col("classes")), "word_shares": _shares(F.col("commons"))})
-    fit = m.filter((F.col("n_chars") >= MIN_CHARS) & (F.col("n_words") >= MIN_WORDS))
+    fit = m.filter((F.col("n_chars") >= MIN_CHARS) & (F.col("n_words") >= LONG_WORDS))
     refs = save(_references(fit), "references")
     # once more without the documents that are far from the first reference
     near = _joined(fit, refs).filter((js_distance(F.col("class_shares"), F.col("class_ref")) <= TRIM_DISTANCE)
@@ -141,12 +146,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     refs = save(_references(near), "references")
     out = _joined(m, refs)
     out = out.withColumns({
-        "class_distance": F.when((F.col("n_chars") >= MIN_CHARS) & F.col("class_ref").isNotNull(),
+        "class_distance": F.when(((F.col("n_chars") >= MIN_CHARS) | (F.col("n_words") >= MIN_WORDS)) & F.col("class_ref").isNotNull(),
                                  js_distance(F.col("class_shares"), F.col("class_ref"))),
         "word_distance": F.when((F.col("n_words") >= MIN_WORDS) & F.col("listed") & F.col("word_ref").isNotNull(),
                                 js_distance(F.col("word_shares"), F.col("word_ref"))),
         "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))})
     joint = F.sqrt((F.pow("class_distance", F.lit(2)) + F.pow("word_distance", F.lit(2))) / 2)
-    far = F.coalesce(F.col("class_distance") > max_class, F.lit(False)) | F.coalesce(joint > max_joint, F.lit(False))
+    limit = F.when(F.col("n_words") < LONG_WORDS, F.lit(max_short_joint)).otherwise(F.lit(max_joint))
+    far = F.coalesce(F.col("class_distance") > max_class, F.lit(False)) | F.coalesce(joint > limit, F.lit(False))
     return out.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       "class_distance", "word_distance", (~F.col("base_failed") & ~far).alias("kept"))

@@ -169,6 +169,23 @@ def test_quality_rejects_junk_and_keeps_the_rest(spark):
     assert all(kept[i] for i in range(60) if i not in base) and not any(kept[i] for i, *_ in rows[60:])
 
 
+def test_quality_rejects_short_junk(spark):
+    """Texts of 50 to 99 words: junk near the characters of its language but
+    not its words, and junk of few characters."""
+    rng = random.Random(2)
+    common = quality.COMMON["en"] + ("with", "house", "water", "people")
+    prose = lambda n: " ".join(rng.choice(common) + rng.choice(["", "", ".", ","]) for _ in range(n))
+    junk = lambda: " ".join("".join(rng.choices("bcdfgklmprtvz", k=4)) + rng.choice(["", "", ".", ","]) for _ in range(70))
+    rows = [(i, prose(150), "en") for i in range(40)] + [(100 + i, " ".join(rng.sample([w + m for w in common for m in ("", "", ".", ",")], 64)), "en")
+                                                                     for i in range(10)]
+    rows += [(200 + i, junk(), "en") for i in range(5)]
+    rows += [(300 + i, " ".join(rng.choice("0123456789#|$%&") for _ in range(90)), "en") for i in range(5)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert [r for r in got if r.id >= 200 and r.kept] == []
+    assert [r for r in got if r.id < 200 and not r.kept and not r.base_failed] == []
+    assert all(r.class_distance < 0.25 and not r.base_failed for r in got if 200 <= r.id < 300)
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
     p, q = [0.5, 0.25, 0.25, 0.0], [0.1, 0.2, 0.3, 0.4]
