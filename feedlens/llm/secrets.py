@@ -4,7 +4,7 @@ models.  DataFrame operations only.
 Two first-order Markov models over character classes, one of random strings
 (keys, hashes, tokens) and one of ordinary identifiers and words, are trained
 from labelled samples.  A candidate token whose mean log-likelihood ratio per
-transition exceeds a threshold is reported as ``markov`` unless it overlaps a
+transition exceeds a threshold (higher for short tokens) is reported as ``markov`` unless it overlaps a
 span that a pattern has found.
 """
 
@@ -23,10 +23,13 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"           # maximal runs, so equal to runs of 16+ characters
 KINDS = ("assign", "access", "hex", "markov")
 
-#: Candidates of the models: long tokens with a digit.
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-#: Mean log-likelihood ratio per transition from which a token is reported.
+#: Candidates of the models: tokens long enough to score, below LONG characters with a letter.
+TOKEN = r"[A-Za-z0-9+/_=-]{12,}"
+#: Mean log-likelihood ratio per transition from which a token is reported; the
+#: mean scatters more in short tokens, so each character under LONG raises it.
 THRESHOLD = 0.2
+SHORT_RISE = 0.025
+LONG = 20
 #: Added to every count of a transition.
 SMOOTH = 0.05
 #: Labelled random strings drawn for training.
@@ -121,6 +124,17 @@ def score(token: Column, model: list[float]) -> Column:
         lambda acc, i: acc + F.get(ratios, s[i] * N_CLASSES + s[i + 1])) / (F.size(s) - 1))
 
 
+def _random(token: Column, model: list[float], threshold: float) -> Column:
+    """Whether a token looks drawn at random.  A number below LONG characters
+    does not count, and a token in capitals without a digit is scored in lower
+    case: capitals alone say nothing."""
+    length = F.length(token)
+    capitals = (token == F.upper(token)) & ~F.regexp_like(token, F.lit("[0-9]"))
+    limit = threshold + SHORT_RISE * F.greatest(F.lit(LONG) - length, F.lit(0))
+    return (((length >= LONG) | F.regexp_like(token, F.lit("[A-Za-z]")))
+            & (score(F.when(capitals, F.lower(token)).otherwise(token), model) > limit))
+
+
 def _spans(text: Column, pattern: str, kind: str) -> Column:
     """array<struct<kind, start, end, found>> of the leftmost non-overlapping
     matches; starts and ends in code points, from the lengths of the pieces
@@ -174,8 +188,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                    F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
                    F.size("hex").cast("long").alias("n_hex"), "tokens")
     known = F.col("known")
-    # cheap tests first: ordinary words have no digit
-    extra = F.filter("tokens", lambda t: F.regexp_like(t["t"], F.lit("[0-9]")) & (score(t["t"], model) > threshold)
+    extra = F.filter("tokens", lambda t: _random(t["t"], model, threshold)
                      & ~F.exists(known, lambda k: (k["s"] < t["e"]) & (t["s"] < k["e"])))
     df = df.withColumn("markov", extra)
     every = F.concat("known", "markov")

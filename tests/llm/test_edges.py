@@ -150,6 +150,22 @@ def test_secret_models_held_out(spark):
     assert sum(n[i] == 1 for i in range(200)) >= 195 and sum(n[i] for i in range(200, 400)) <= 4
 
 
+def test_secret_models_letters_only_and_short(spark):
+    """Held-out keys without a digit or under 20 characters are found; long
+    words, words in capitals and numbers are not."""
+    import string
+    rng = random.Random(17)
+    draw = lambda chars, n: "".join(rng.choices(chars, k=n))
+    keys = [draw(string.ascii_letters, n) for n in (20, 24, 32, 40) for _ in range(50)]
+    keys += [draw(string.ascii_letters + string.digits, n) for n in (12, 14, 16, 19) for _ in range(50)]
+    words = ["Geschwindigkeitsbegrenzung", "straightforwardness", "incomprehensible", "desafortunadamente", "malheureusement",
+             "getElementsByTagName", "read_from_database", "UNCONDITIONALLY", "INTERNATIONALISATION", "978316148410", "4929348385146306"]
+    df = spark.createDataFrame([(i, f"see {t} now") for i, t in enumerate(keys + words)], "doc_id long, text string")
+    n = {r.id: r.n_markov for r in secrets.scan(df).collect()}
+    assert sum(n[i] for i in range(200)) >= 190 and sum(n[i] for i in range(200, 400)) >= 185
+    assert [w for i, w in enumerate(words, 400) if n[i]] == []
+
+
 def test_quality(edge, none):
     got = quality.judge(edge).collect()
     assert len(got) == len(ROWS)
