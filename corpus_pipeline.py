@@ -21,17 +21,25 @@ def _verdict(docs: DataFrame, verdict: DataFrame, column: str) -> DataFrame:
     return docs.join(v, docs["doc_id"] == v["__id"], "left").drop("__id")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row key, never NULL, of id, text and language: rows that
+    share it have equal verdicts, whatever other rows carry their id."""
+    parts = [F.coalesce(F.sha2(F.col(c).cast("string"), 256), F.lit("-")) for c in ("doc_id", "text", "lang")]
+    return docs.withColumn("__key", F.sha2(F.concat_ws("|", *parts), 256))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the divergence test.  Rows with
-    one id fail together; a row with a NULL id cannot be matched and stays."""
-    v = quality.judge(docs).groupBy("id").agg(F.bool_and("kept").alias("kept"))
-    out = _verdict(docs, v, "kept")
-    return out.filter(F.coalesce("__v", F.lit(True))).drop("__v")
+    """Documents that pass the base rules and the divergence test, each row by
+    its own verdict, also with a repeated or NULL id."""
+    keyed = _keyed(docs)
+    good = quality.judge(keyed, "__key").filter("kept").select(F.col("id").alias("__good")).distinct()
+    return keyed.join(good, keyed["__key"] == good["__good"], "left_semi").drop("__key")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8): the
-    smallest id, once if its row is repeated.  Rows with a NULL id stay."""
+    smallest id, once if its row is repeated.  Rows with a NULL id stay; of
+    several texts under one id the smallest stands."""
     v = near_dedup.near_duplicates(docs, width=5, part=80, whole=100)
     # rows of one id: the id is dropped only if no row of it is kept
     v = v.groupBy("id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))

@@ -389,3 +389,12 @@ def test_pipeline_stages(spark, edge, none, tmp_path):
                 assert {r.doc_id for r in rows} <= {1, 2, 3, 9, 10, 11, None}
             if name == "sharding":
                 assert len(rows) == df.count()
+
+
+def test_pipeline_quality_by_row(spark):
+    """A clean row stays although a rejected row shares its id; junk with a
+    NULL id goes."""
+    import corpus_pipeline as p
+    rows = [(1, text(80, 2), "en", "a"), (1, "two words", "en", "a"), (None, "two words", "en", "a"), (None, text(80, 3), "en", "a")]
+    out = p.quality_rules(spark, docs(spark, rows), "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(1, text(80, 2)), (0, text(80, 3))])
