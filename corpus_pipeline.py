@@ -56,11 +56,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item.  Rows with a NULL id cannot
-    be matched and stay."""
-    hits = decontaminate.contained_items(docs, table(spark, sf_dir, "benchmark"))
-    bad = hits.select(F.col("doc_id").alias("__id")).filter(F.col("__id").isNotNull()).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["__id"], "left_anti")
+    """Documents that contain no benchmark item, each row by its own text, also
+    with a repeated or NULL id."""
+    keyed = _keyed(docs)
+    hits = decontaminate.contained_items(keyed, table(spark, sf_dir, "benchmark"), "__key")
+    bad = hits.select(F.col("doc_id").alias("__bad")).distinct()
+    return keyed.join(bad, keyed["__key"] == bad["__bad"], "left_anti").drop("__key")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

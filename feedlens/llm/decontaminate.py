@@ -108,10 +108,10 @@ class ItemIndex:
         return np.flatnonzero(held >= self.needed)
 
 
-def _search(block, width: int, part: int, whole: int):
+def _search(block, width: int, part: int, whole: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, ids = block.value, WordIds()
-        schema = pa.schema([("row", pa.int64()), ("item_id", pa.int64()), ("n_item", pa.int64()),
+        schema = pa.schema([("row", id_type), ("item_id", pa.int64()), ("n_item", pa.int64()),
                             ("n_shared", pa.int64())])
         for batch in batches:
             out = []
@@ -142,23 +142,26 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     Items and documents with NULL or empty text or fewer than ``width`` words
     match nothing (too short to be evidence).  Rows with a NULL id are searched
     and give rows with a NULL id; NULL item ids likewise.  Repeated documents or
-    items give their rows once per distinct pair.  Very long documents are
+    items give their rows once per distinct pair.  Document ids are strings or
+    whole numbers.  Very long documents are
     searched whole; other columns are not read; empty tables give no rows.
     """
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    kind = "string" if docs.schema[id_col].dataType.typeName() == "string" else "long"
+    id_type = pa.string() if kind == "string" else pa.int64()
+    src = docs.select(F.col(id_col).cast(kind).alias("id"), F.col(text_col).alias("text"))
     sized = save(items.select(F.col(item_id_col).cast("long").alias("id"), F.col(item_text_col).alias("text"))
                  .mapInArrow(_item_rows(width), "id long, n long, shingles binary")
                  .filter("n > 0").distinct(), "items")
     total, biggest = sized.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
-    schema = "doc_id long, item_id long, n_item long, n_shared long"
+    schema = f"doc_id {kind}, item_id long, n_item long, n_shared long"
     found = []
     n_blocks = -(-total // BLOCK_SHINGLES)
     for k in range(n_blocks):
         rows = sized.filter(F.pmod(F.xxhash64("id", "n"), F.lit(n_blocks)) == k).collect()   # one block
         if rows:
             block = spark.sparkContext.broadcast(ItemIndex(rows, part / whole))
-            found.append(src.mapInArrow(_search(block, width, part, whole), schema.replace("doc_id", "row"))
+            found.append(src.mapInArrow(_search(block, width, part, whole, id_type), schema.replace("doc_id", "row"))
                          .withColumnRenamed("row", "doc_id"))
     if not found:
         return spark.createDataFrame([], schema)

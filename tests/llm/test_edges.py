@@ -398,3 +398,12 @@ def test_pipeline_quality_by_row(spark):
     rows = [(1, text(80, 2), "en", "a"), (1, "two words", "en", "a"), (None, "two words", "en", "a"), (None, text(80, 3), "en", "a")]
     out = p.quality_rules(spark, docs(spark, rows), "").collect()
     assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(1, text(80, 2)), (0, text(80, 3))])
+
+
+def test_pipeline_decontamination_by_row(spark, tmp_path):
+    """The same for texts that hold a benchmark item."""
+    import corpus_pipeline as p
+    spark.createDataFrame([(1, text(30, 2))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, text(80, 2), "en", "a"), (1, text(80, 3), "en", "a"), (None, text(80, 2), "en", "a"), (None, text(80, 3), "en", "a")]
+    out = p.decontamination(spark, docs(spark, rows), str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == [(0, text(80, 3)), (1, text(80, 3))]
