@@ -6,9 +6,9 @@ holds therefore estimates how much of the item the document contains,
 whatever the document's length; a Jaccard signature could not, because a
 short item has next to no similarity with a long document.
 
-Items are partitioned by size (powers of two of their shingle count); each
-partition has its own number of anchors and of anchors a document must hold.
-Documents that reach it are verified by the exact share of the item's
+Items fall into two classes by size.  Of those under ``SMALL`` shingles every
+shingle counts and the exact share is needed; all others have ``ANCHORS``
+anchors and one number of anchors a document must hold.  Documents that reach it are verified by the exact share of the item's
 shingles.  The benchmark is the stated query set: it is broadcast in blocks
 of a bounded number of shingles, and every block is held against all
 documents in one pass without a shuffle.
