@@ -1,6 +1,4 @@
-"""Seeded, distributed resampling with replacement.
-
-Two pieces, both plain Spark expressions:
+"""Seeded, distributed resampling with and without replacement.
 
 * ``indexed_members``: a dense 0-based index of the members of each group,
   ordered by (hash bucket, order column).  It is built without a window over
@@ -8,12 +6,15 @@ Two pieces, both plain Spark expressions:
   per-(group, bucket) counts (at most groups x buckets rows) give each
   bucket's offset, and ``row_number`` runs inside each (group, bucket).  A
   group holding a third of all rows is thus split over ``buckets`` tasks.
-* ``draw_index``: the member drawn by draw ``d`` of simulation ``s`` in
-  group ``g`` is ``xxhash64(seed, s, g, d)`` modulo the group size (Spark's
-  built-in 64-bit hash: JVM-side, cheap, negligible modulo bias).  The
-  oracle reproduces the same 64-bit arithmetic in SQL, so a seeded run has
-  an exact check.  A linear formula ``(a*s + b*d) mod n`` is not used: it
-  would cover members evenly and remove sampling variance.
+* ``with_draw_index``: draw ``d`` of simulation ``s`` in group ``g`` picks a
+  62-bit hash of (seed, s, g, d) modulo the group size.  The hash is two words
+  of a multiply / xor-shift mix over 31 bits: BIGINT arithmetic that never
+  overflows, so other SQL engines compute the same draws.  A linear formula
+  ``(a*s + b*d) mod n`` is not used: it would cover members evenly and remove
+  sampling variance.
+* ``with_permuted_index``: sampling without replacement by a keyed permutation
+  of [0, n) (swap-or-not rounds: Hoang, Morris, Rogaway 2012): draw ``d`` is the
+  image of ``d``, so draws are distinct without a redraw, a window or a shuffle.
 """
 
 from __future__ import annotations
@@ -60,13 +61,54 @@ def indexed_members(df: DataFrame, group_col: str, order_col: str,
     return indexed, sizes
 
 
-def draw_index(seed, sim: Column, group: Column, draw: Column, n: Column) -> Column:
-    """Index of the member picked by one draw: 64-bit ``xxhash64(seed, sim,
-    group, draw)`` modulo n, uniform on [0, n); -1 (no member) for an empty
-    group.  Non-NULL on purpose, see ``hash_bucket``."""
-    h = F.xxhash64(F.lit(seed).cast("bigint"), sim.cast("bigint"), group.cast("bigint"),
-                   draw.cast("bigint"))
-    return F.coalesce(F.when(n > 0, F.pmod(h, n)), F.lit(-1).cast("bigint"))
+MASK = (1 << 31) - 1
+#: Odd multipliers of the mix.
+MIX = (0x2C1B3C6D, 0x297A2D39)
+#: Keyed swaps of the permutation.
+ROUNDS = 16
+
+
+def _mixed(df: DataFrame, x: str) -> DataFrame:
+    """``x`` (0 .. 2^31 - 1) mixed in place.  One projection per step: a value
+    used twice is not inlined, so each step is computed once per row."""
+    df = df.withColumn(x, F.expr(f"((`{x}` ^ shiftright(`{x}`, 16)) * {MIX[0]}L) & {MASK}L"))
+    df = df.withColumn(x, F.expr(f"((`{x}` ^ shiftright(`{x}`, 15)) * {MIX[1]}L) & {MASK}L"))
+    return df.withColumn(x, F.expr(f"`{x}` ^ shiftright(`{x}`, 16)"))
+
+
+def with_draw_index(df: DataFrame, seed: int, keys: list[str], n: str = "n", out: str = "idx") -> DataFrame:
+    """Adds ``out``: a seeded uniform index in [0, n) for the row's ``keys``
+    (integers from 0 to 2^31 - 1); -1 (no member) when n is 0.  Non-NULL on
+    purpose, see ``hash_bucket``."""
+    df = df.withColumn("_h1", F.lit(seed & MASK).cast("bigint"))
+    for k in keys:
+        df = _mixed(df.withColumn("_h1", F.expr(f"`_h1` ^ CAST(`{k}` AS BIGINT)")), "_h1")
+    df = _mixed(df.withColumn("_h2", F.expr(f"(`_h1` + {MIX[0]}L) & {MASK}L")), "_h2")
+    h = F.col("_h1") * F.lit(1 << 31) + F.col("_h2")
+    return df.withColumn(out, F.coalesce(F.when(F.col(n) > 0, h % F.col(n)), F.lit(-1).cast("bigint"))) \
+        .drop("_h1", "_h2")
+
+
+def with_permuted_index(df: DataFrame, seed: int, keys: list[str], position: str, n: str = "n",
+                        out: str = "idx") -> DataFrame:
+    """Adds ``out``: the image of ``position`` (0 <= position < n) under a
+    permutation of [0, n) keyed by ``seed`` and the row's ``keys``.
+
+    Each round maps x to its partner (K - x) mod n if a hash bit of the larger
+    of the two is set; the pair shares that bit, so a round is a permutation
+    for any n.  The rounds run in one ``aggregate`` over the round numbers."""
+    df = df.withColumn("_k", F.lit((seed * 2 + 1) & MASK).cast("bigint"))
+    for k in keys:
+        df = _mixed(df.withColumn("_k", F.expr(f"`_k` ^ CAST(`{k}` AS BIGINT)")), "_k")
+    bound = lambda value, name, body: f"transform(array({value}), {name} -> {body})[0]"
+    step = lambda x, s, m: f"((({x} ^ shiftright({x}, {s})) * {m}L) & {MASK}L)"
+    # round key, partner, hash bit of the larger one
+    key = bound(f"(_k + r * {MIX[1]}L) & {MASK}L", "a", bound(step("a", 16, MIX[0]), "b", step("b", 15, MIX[1])))
+    bit = bound(f"(greatest(x, p) ^ k) & {MASK}L", "c",
+                bound(step("c", 16, MIX[0]), "d", f"shiftright({step('d', 15, MIX[1])}, 30)"))
+    swap = bound(key, "k", bound(f"(k % `{n}` + `{n}` - x) % `{n}`", "p", f"if({bit} = 1, p, x)"))
+    rounds = f"aggregate(sequence(1L, {ROUNDS}L), CAST(`{position}` AS BIGINT), (x, r) -> {swap})"
+    return df.withColumn(out, F.coalesce(F.expr(rounds), F.lit(-1).cast("bigint"))).drop("_k")
 
 
 def broadcast_limit_bytes(spark) -> int:
@@ -109,17 +151,8 @@ def resample_with_replacement(spark, members: DataFrame, group_col: str, value_c
     limit = broadcast_limit_bytes(spark)
     small = 0 <= n_members * _MEMBER_ROW_BYTES <= limit
 
-    k = len(groups)
-    arm = F.col("id") % k
-    group = F.element_at(F.array(*[F.lit(g) for g in groups]), (arm + 1).cast("int"))
-    draws = spark.range(0, sims * sample_size * k).select(
-        F.expr(f"(id div {k}) div {sample_size}").alias("sim"),
-        F.expr(f"(id div {k}) % {sample_size}").alias("draw"),
-        group.alias(group_col),
-    )
-    draws = draws.join(F.broadcast(sizes), group_col).select(
-        "sim", group_col,
-        draw_index(seed, F.col("sim"), F.col(group_col), F.col("draw"), F.col("n")).alias("idx"))
+    draws = _draws(spark, sizes, group_col, groups, sims, sample_size)
+    draws = with_draw_index(draws, seed, ["sim", group_col, "draw"]).select("sim", group_col, "idx")
     side = F.broadcast(indexed) if small else indexed
     return draws.join(side, [group_col, "idx"]).select("sim", group_col, value_col)
 
@@ -137,60 +170,32 @@ def _members_and_sizes(spark, members: DataFrame, group_col: str, value_col: str
     return indexed, sizes
 
 
-def _candidates(spark, sizes: DataFrame, group_col: str, groups: list, sims: int,
-                first: int, count: int, seed: int) -> DataFrame:
-    """Draw numbers [first, first + count) of every (sim, arm), with replacement."""
+def _draws(spark, sizes: DataFrame, group_col: str, groups: list, sims: int, sample_size: int) -> DataFrame:
+    """(sim, draw, group, n): one row per draw, generated on the executors."""
     k = len(groups)
-    arm = F.col("id") % k
-    group = F.element_at(F.array(*[F.lit(g) for g in groups]), (arm + 1).cast("int"))
-    per_sim = count * k
-    d = spark.range(0, sims * per_sim).select(
-        F.expr(f"id div {per_sim}").alias("sim"),
-        (F.expr(f"(id % {per_sim}) div {k}") + first).alias("draw"),
-        group.alias(group_col))
-    return d.join(F.broadcast(sizes), group_col).select(
-        "sim", group_col, "draw",
-        draw_index(seed, F.col("sim"), F.col(group_col), F.col("draw"), F.col("n")).alias("idx"))
+    group = F.element_at(F.array(*[F.lit(g) for g in groups]), (F.col("id") % k + 1).cast("int"))
+    d = spark.range(0, sims * sample_size * k).select(
+        F.expr(f"(id div {k}) div {sample_size}").alias("sim"),
+        F.expr(f"(id div {k}) % {sample_size}").alias("draw"), group.alias(group_col))
+    return d.join(F.broadcast(sizes), group_col)
 
 
 def resample_without_replacement(spark, members: DataFrame, group_col: str, value_col: str,
                                  groups: list, sims: int, sample_size: int, seed: int,
                                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Rows (sim, group, value): ``sample_size`` distinct members per
-    simulation and group (simple random sampling without replacement).
-
-    Candidates are drawn with replacement in draw order; the first
-    ``sample_size`` distinct members of each (sim, group) are kept, which is
-    exactly a uniform sample without replacement.  The first round draws a
-    little more than the expected number of draws needed; (sim, group) pairs
-    still short of ``sample_size`` get further rounds until none is short, so
-    there is no cap and no row is dropped.  Work per round is bounded by
-    sims x groups x candidates, never by sims x members.
-    """
-    import math
+    simulation and group.
 
+    Draw d of a simulation is the image of d under a permutation of the arm's
+    indexes keyed by (seed, sim, group): distinct by construction, so there is
+    no candidate round, window or shuffle before the member join."""
     indexed, sizes = _members_and_sizes(spark, members, group_col, value_col, groups, buckets)
     n_by_group = {r[group_col]: r["n"] for r in sizes.collect()}   # one row per arm
     short = [g for g in groups if n_by_group.get(g, 0) < sample_size]
     if short:
         raise ValueError(f"groups {short} have fewer than {sample_size} members")
-    n_min = min(n_by_group[g] for g in groups)
-    expected = n_min * math.log(n_min / (n_min - sample_size)) if n_min > sample_size \
-        else sample_size * (1 + math.log(sample_size))
-    count = int(math.ceil(expected * 1.1)) + 32
-
-    keep = Window.partitionBy("sim", group_col).orderBy("first_draw")
-    first, cand = 0, None
-    while True:
-        new = _candidates(spark, sizes, group_col, groups, sims, first, count, seed)
-        cand = new if cand is None else cand.unionByName(new)
-        distinct = cand.groupBy("sim", group_col, "idx").agg(F.min("draw").alias("first_draw"))
-        ranked = distinct.withColumn("_r", F.row_number().over(keep)) \
-            .filter(F.col("_r") <= sample_size)
-        ranked = ranked.checkpoint(eager=True)
-        short_pairs = ranked.groupBy("sim", group_col).count() \
-            .filter(F.col("count") < sample_size).count()
-        if short_pairs == 0:
-            break
-        first += count
-    return ranked.join(indexed, [group_col, "idx"]).select("sim", group_col, value_col)
+    small = sum(n_by_group.values()) * _MEMBER_ROW_BYTES <= broadcast_limit_bytes(spark)
+    draws = _draws(spark, sizes, group_col, groups, sims, sample_size)
+    draws = with_permuted_index(draws, seed, ["sim", group_col], "draw").select("sim", group_col, "idx")
+    side = F.broadcast(indexed) if small else indexed
+    return draws.join(side, [group_col, "idx"]).select("sim", group_col, value_col)

@@ -9,7 +9,7 @@ original (10,000 iterations in one thread) is one distributed join and one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import time_in_days
@@ -97,19 +97,75 @@ def linearized_likes(users: DataFrame, control, group_col: str = "exp_group") ->
     return users.withColumn("linearized_likes", F.col("likes") - ctr_c * F.col("views"))
 
 
+def _pair_moments(users: DataFrame, keys: list[str], group_col: str = "exp_group") -> DataFrame:
+    """One row per ``keys`` (which hold group_a and group_b) with the moments
+    of likes, views and CTR in both arms: one aggregate, no second look at the
+    users."""
+    aggs = []
+    for arm in "ab":
+        here = F.col(group_col) == F.col(f"group_{arm}")
+        likes, views = F.when(here, F.col("likes")), F.when(here, F.col("views"))
+        ctr = F.when(here, F.col("ctr"))
+        for name, c in {"n": F.count(likes), "l": F.avg(likes), "v": F.avg(views), "ll": F.var_samp(likes),
+                        "vv": F.var_samp(views), "lv": F.covar_samp(likes, views), "sl": F.sum(likes),
+                        "sv": F.sum(views), "cn": F.count(ctr), "cm": F.avg(ctr), "cv": F.var_samp(ctr)}.items():
+            aggs.append(c.alias(f"{name}_{arm}"))
+    return users.groupBy(*keys).agg(*aggs)
+
+
+def _linearized_arms() -> list[Column]:
+    """n, mean and variance of ``likes - r * views`` in both arms from their
+    moments (r: control CTR, arm a): var = var(l) + r^2 var(v) - 2 r cov(l, v)."""
+    r, out = F.try_divide(F.col("sl_a"), F.col("sv_a")), []
+    for arm in "ab":
+        c = lambda name: F.col(f"{name}_{arm}")  # noqa: E731, B023
+        out += [F.when(r.isNotNull(), c("n")).otherwise(0).alias(f"n_{arm}"),
+                (c("l") - r * c("v")).alias(f"mean_{arm}"),
+                F.greatest(c("ll") + r * r * c("vv") - 2 * r * c("lv"), F.lit(0.0)).alias(f"var_{arm}")]
+    return out
+
+
+def _ctr_arms() -> list[Column]:
+    return [F.col(f"{c}_{arm}").alias(f"{name}_{arm}") for arm in "ab" for c, name in
+            (("cn", "n"), ("cm", "mean"), ("cv", "var"))]
+
+
+def linearized_tests(tagged: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """``welch_tests`` on linearized likes of user rows tagged by ``tag_test``
+    (group_a is the control), from per-arm moments alone."""
+    keys = ["test", "group_a", "group_b"]
+    m = _pair_moments(tagged, keys).select(*keys, *_linearized_arms())
+    return with_welch(m).select(
+        "test", F.lit("linearized_likes").alias("metric"), "group_a", "group_b",
+        "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b", "t", "df", "p",
+        (F.col("p") < alpha).alias("reject"))
+
+
 def ab_test(feed: DataFrame, first, last, control, treatment, alpha: float = ALPHA) -> DataFrame:
     """Welch tests of per-user CTR and of linearized likes for one pair of
     groups; ``linearized_more_sensitive`` tells whether the linearized
     metric gave the lower p-value (by ``log10_p``, which also tells apart what
-    underflows).  The per-user table is materialized once
-    (checkpoint) and read by every test and subquery."""
-    users = materialize(
-        linearized_likes(materialize(user_ctr(feed, first, last, [control, treatment])), control))
-    tests = welch_test(users, "ctr", control, treatment, alpha).unionByName(
-        welch_test(users, "linearized_likes", control, treatment, alpha))
-    p_of = lambda m: F.max(F.when(F.col("metric") == m, F.col("log10_p")))
-    sensitive = tests.agg((p_of("linearized_likes") < p_of("ctr"))).scalar()
-    return tests.withColumn("linearized_more_sensitive", sensitive)
+    underflows).
+
+    One scan and one aggregate over per-user rows: the linearized metric is a
+    combination of likes and views, so its mean and variance follow from their
+    moments and the control CTR (delta method for a fixed ratio), without a
+    second pass over the users and without a job while the plan is built.  An
+    empty week gives both rows with counts 0 and NULL statistics."""
+    users = user_ctr(feed, first, last, [control, treatment])
+    arms = users.select("*", F.lit(control).alias("group_a"), F.lit(treatment).alias("group_b"))
+    # no grouping key: one row also without events
+    m = _pair_moments(arms, [])
+    both = F.array(F.struct(F.lit("ctr").alias("metric"), *_ctr_arms()),
+                   F.struct(F.lit("linearized_likes").alias("metric"), *_linearized_arms()))
+    tests = with_welch(m.select(F.inline(both)))
+    p_of = lambda name: F.max(F.when(F.col("metric") == name, F.col("log10_p"))).over(
+        Window.partitionBy())       # two rows
+    return tests.select(
+        "metric", F.lit(control).alias("group_a"), F.lit(treatment).alias("group_b"),
+        "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b", "t", "df", "p",
+        (F.col("p") < alpha).alias("reject"), "log10_p",
+        (p_of("linearized_likes") < p_of("ctr")).alias("linearized_more_sensitive"))
 
 
 def group_sizes(users: DataFrame, group_a, group_b, group_col: str = "exp_group") -> DataFrame:
@@ -143,18 +199,26 @@ def histogram(df: DataFrame, value_col: str, bins: int, group_col: str | None =
               lo=None, hi=None) -> DataFrame:
     """Counts per equal-width bin (1..bins) of ``value_col``, per group.
 
-    The range defaults to [min, max] of the column over all groups (two
-    scalar subqueries); only non-empty bins appear."""
-    x = F.col(value_col)
-    lo_c = F.lit(float(lo)) if lo is not None else df.agg(F.min(x).cast("double")).scalar()
-    hi_c = F.lit(float(hi)) if hi is not None else df.agg(F.max(x).cast("double")).scalar()
-    keys = ([group_col] if group_col else []) + ["bin"]
-    g = (df.filter(x.isNotNull())
-         .select(*([F.col(group_col)] if group_col else []),
-                 equal_width_bin(x, lo_c, hi_c, bins).alias("bin"))
-         .groupBy(*keys).agg(F.count("*").alias("n")))
+    The rows are first counted per (group, value).  The range defaults to
+    [min, max] of the column over all groups, taken from those counts in one
+    subquery; it and the bins read the same shuffle, so the source is scanned
+    once.  NULL values leave; only non-empty bins appear."""
+    keys = [group_col] if group_col else []
+    x = F.col("_x")
+    values = (df.select(*keys, F.col(value_col).alias("_x"))
+              .groupBy(*keys, "_x").agg(F.count("_x").alias("_n")))
+    if lo is None or hi is None:
+        # every column of the counts is used, so that both readers plan the same exchange
+        seen = values.agg(F.struct(F.min(x).cast("double").alias("lo"), F.max(x).cast("double").alias("hi"),
+                                   F.sum("_n").alias("n"), *[F.count(k).alias("k") for k in keys])).scalar()
+    lo_c = F.lit(float(lo)) if lo is not None else seen["lo"]
+    hi_c = F.lit(float(hi)) if hi is not None else seen["hi"]
+    # the NULL value has count 0: no filter on the value, which the optimizer
+    # would push below the count and evaluate twice
+    g = (values.select(*keys, equal_width_bin(x, lo_c, hi_c, bins).alias("bin"), "_n")
+         .groupBy(*keys, "bin").agg(F.sum("_n").alias("n")).filter("n > 0"))
     width = (hi_c - lo_c) / bins
-    return g.select(*keys, (lo_c + (F.col("bin") - 1) * width).alias("bin_lo"),
+    return g.select(*keys, "bin", (lo_c + (F.col("bin") - 1) * width).alias("bin_lo"),
                     (lo_c + F.col("bin") * width).alias("bin_hi"), "n")
 
 

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from ..functions.dates import last_full_days, time_in_days, time_last_full_days, yesterday
 from ..operators import cohorts, experiments, metrics, slices, users
 from ..sources import fixtures
-from ..session import materialize
 from ..streaming import realtime
 from . import reports
 
@@ -29,6 +28,7 @@ AA_GROUPS = (2, 3)
 AB_WEEK = (_dt.date(2024, 1, 15), _dt.date(2024, 1, 21))
 AB_PAIRS = {"03": (0, 3), "12": (1, 2)}
 SIMS, SAMPLE_SIZE, SEED = 10_000, 500, 42
+DISTINCT_SIMS, DISTINCT_SIZE = 2_000, 20   # the smallest test table has few users an arm
 HIST_BINS = 20
 PVALUE_BINS = 50
 CAMPAIGN_DAY = _dt.date(2024, 1, 2)
@@ -205,11 +205,19 @@ def _aa_users(spark, d):
 
 
 def _ab_base(spark, d):
-    """Per-user CTR of the A/B week for every group of every pair,
-    materialized once per query: each pair, its control CTR, histogram
-    ranges and tests read it instead of rescanning the week of events."""
+    """Per-user CTR of the A/B week for every group of every pair."""
     groups = sorted({g for pair in AB_PAIRS.values() for g in pair})
-    return materialize(experiments.user_ctr(_feed(spark, d), *AB_WEEK, groups))
+    return experiments.user_ctr(_feed(spark, d), *AB_WEEK, groups)
+
+
+def _ab_tagged(base):
+    """User rows of every A/B pair, tagged with their test: one pass over the
+    base, a row per pair its group belongs to."""
+    pairs = F.array(*[F.struct(F.lit(p).alias("test"), F.lit(c).alias("group_a"), F.lit(t).alias("group_b"))
+                      for p, (c, t) in AB_PAIRS.items()])
+    group = F.col("exp_group")
+    mine = F.filter(pairs, lambda x: (x["group_a"] == group) | (x["group_b"] == group))
+    return base.select("*", F.inline(mine))
 
 
 def _ab_users(base, pair):
@@ -242,12 +250,11 @@ def _duplicate_rows(spark, d):
 
 @query("control_ctr")
 def _control_ctr(spark, d):
-    out, base = None, _ab_base(spark, d)
-    for pair, (c, t) in AB_PAIRS.items():
-        one = experiments.control_ctr(base.filter(F.col("exp_group").isin(c, t)), c)
-        one = one.select(F.lit(pair).alias("test"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """CTR of each pair's control group: one grouped aggregate."""
+    tagged = _ab_tagged(_ab_base(spark, d)).filter(F.col("exp_group") == F.col("group_a"))
+    return (tagged.groupBy("test", F.col("group_a").alias("control_group"))
+            .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"))
+            .withColumn("control_ctr", F.try_divide(F.col("likes"), F.col("views"))))
 
 
 @query("linearized_likes")
@@ -261,8 +268,7 @@ def _linearized_likes(spark, d):
 
 @query("ctr_histogram")
 def _ctr_histogram(spark, d):
-    return experiments.histogram(materialize(_aa_users(spark, d)), "ctr", HIST_BINS,
-                                 group_col="exp_group")
+    return experiments.histogram(_aa_users(spark, d), "ctr", HIST_BINS, group_col="exp_group")
 
 
 @query("linearized_histogram")
@@ -280,22 +286,15 @@ def _linearized_histogram(spark, d):
 def _welch_ctr(spark, d):
     """Welch tests of per-user CTR: the A/A pair and both A/B pairs, in one
     grouped aggregate."""
-    base = _ab_base(spark, d)
     tagged = experiments.tag_test(_aa_users(spark, d), "aa", *AA_GROUPS)
-    for pair, (c, t) in AB_PAIRS.items():
-        tagged = tagged.unionByName(experiments.tag_test(base, pair, c, t))
-    return experiments.welch_tests(tagged, "ctr")
+    return experiments.welch_tests(tagged.unionByName(_ab_tagged(_ab_base(spark, d))), "ctr")
 
 
 @query("welch_linearized")
 def _welch_linearized(spark, d):
-    """Welch tests of linearized likes for both A/B pairs, in one grouped
-    aggregate."""
-    base, tagged = _ab_base(spark, d), None
-    for pair, (c, t) in AB_PAIRS.items():
-        one = experiments.tag_test(_ab_users(base, pair), pair, c, t)
-        tagged = one if tagged is None else tagged.unionByName(one)
-    return experiments.welch_tests(tagged, "linearized_likes")
+    """Welch tests of linearized likes for both A/B pairs, from the moments of
+    one aggregate."""
+    return experiments.linearized_tests(_ab_tagged(_ab_base(spark, d)))
 
 
 @query("ab_test_03")
@@ -318,6 +317,13 @@ def _aa_resample(spark, d):
     return _aa_sims(spark, d)
 
 
+@query("aa_resample_distinct")
+def _aa_resample_distinct(spark, d):
+    """Simulated A/A tests on samples of distinct users."""
+    return experiments.aa_resample(spark, _aa_users(spark, d), *AA_GROUPS, sims=DISTINCT_SIMS,
+                                   sample_size=DISTINCT_SIZE, seed=SEED, replace=False)
+
+
 @query("aa_pvalue_histogram")
 def _aa_pvalue_histogram(spark, d):
     return experiments.pvalue_histogram(_aa_sims(spark, d), PVALUE_BINS)

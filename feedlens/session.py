@@ -64,7 +64,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all "
                                "executors (a machine-local folder cannot be read back)")
         configured = tempfile.mkdtemp(prefix="feedlens-ckpt-")   # local mode only (tests)
-        spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
