@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, mixing, near_dedup, quality, secrets, sharding, token_counts, warc
-from .common import table
+from . import chat, decontaminate, html_text, mixing, near_dedup, prefix_trie, quality, secrets, sharding, token_counts, warc
+from .common import save, table
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,11 +87,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.conversations(chat.chain(rows)))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the prefixes of all conversations, rebuilt to share beginnings."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("conv"), "turn", "role", "text")
+    turns = save(prefix_trie.positions(rows), "turns")
+    convs = turns.select("conv").distinct()
+    return prefix_trie.trie(prefix_trie.branched(turns), convs)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     found = [op1_near_dedup, op2_warc, op3_html_text, op4_mixing, op5_sharding, op6_secrets, op7_quality,
-             op8_token_counts, op9_decontamination, op10_chat]
+             op8_token_counts, op9_decontamination, op10_chat, op13_prefix_trie]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
@@ -132,5 +140,54 @@ FROM r
 """
 
 
+#: DuckDB SQL.  Prefixes by growing digests, subtrees by membership: a node
+#: lies below every prefix of its smallest member that is not longer than it.
+TRIE_SQL = """
+WITH tab AS (  -- CRC-32 of each byte
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+t AS (
+  SELECT conv_id AS conv, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv, count(*) AS n FROM t GROUP BY conv),
+c AS (
+  SELECT conv, conv - conv % 5 AS base, conv::VARCHAR AS s,
+         xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(conv::VARCHAR) + 1), lambda k: ascii(substr(conv::VARCHAR, k, 1)))),
+                         lambda a, b: xor(tab[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 9 AS h
+  FROM n, tab),
+p AS (SELECT c.conv, base, h, least(h, coalesce(n.n, 0)) AS taken FROM c LEFT JOIN n ON n.conv = c.base),
+rb AS (
+  SELECT p.conv, t.pos, r, x FROM p JOIN t ON t.conv = p.base AND t.pos < p.h
+  UNION ALL
+  SELECT p.conv, t.pos - h + taken, r, x FROM p JOIN t ON t.conv = p.conv AND t.pos >= p.h),
+k AS (
+  SELECT conv, pos + 1 AS depth, strlen(x)::BIGINT AS bytes,
+         md5(string_agg(md5(strlen(r)::VARCHAR || ':' || r || x), '') OVER (PARTITION BY conv ORDER BY pos)) AS key FROM rb
+  UNION ALL SELECT conv, 0, 0, '' FROM n),
+nodes AS (SELECT depth, key, min(conv) AS rep, count(*) AS n_convs, max(bytes) AS bytes FROM k GROUP BY depth, key),
+par AS (SELECT m.depth, m.key, k.key AS up FROM nodes m JOIN k ON k.conv = m.rep AND k.depth = m.depth - 1),
+kids AS (SELECT depth - 1 AS depth, up AS key, count(*) AS n FROM par GROUP BY 1, 2),
+full_nodes AS (
+  SELECT m.*, coalesce(kids.n, 0) AS n_children FROM nodes m LEFT JOIN kids ON kids.depth = m.depth AND kids.key = m.key),
+sub AS (
+  SELECT a.depth, a.key, count(*) FILTER (d.n_children = 0) AS n_leaves, sum((d.n_convs - 1) * d.bytes) AS saved
+  FROM full_nodes d JOIN k a ON a.conv = d.rep AND a.depth <= d.depth GROUP BY a.depth, a.key),
+last AS (
+  SELECT k.depth, k.key, sha256(string_agg(k.conv::VARCHAR, ',' ORDER BY k.conv)) AS sha
+  FROM k JOIN (SELECT conv, max(depth) AS depth FROM k GROUP BY conv) e ON e.conv = k.conv AND e.depth = k.depth
+  GROUP BY k.depth, k.key)
+SELECT m.rep::BIGINT AS conv_id, m.depth::BIGINT AS depth, q.rep::BIGINT AS parent_conv_id, m.n_convs::BIGINT AS n_convs,
+       m.n_children::BIGINT AS n_children, sub.n_leaves::BIGINT AS n_leaves, sub.saved::BIGINT AS saved_tokens,
+       coalesce(last.sha, sha256('')) AS ends_sha256
+FROM full_nodes m JOIN sub ON sub.depth = m.depth AND sub.key = m.key
+LEFT JOIN par ON par.depth = m.depth AND par.key = m.key
+LEFT JOIN nodes q ON q.depth = m.depth - 1 AND q.key = par.up
+LEFT JOIN last ON last.depth = m.depth AND last.key = m.key
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": MIXING_SQL}
+    return {"op4_mixing": MIXING_SQL, "op13_prefix_trie": TRIE_SQL}
