@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, mixing, near_dedup, prefix_trie, quality, secrets, sharding, token_counts, warc
+from . import chat, decontaminate, hard_negatives, html_text, mixing, near_dedup, prefix_trie, quality, secrets, sharding, token_counts, toxicity, warc
 from .common import save, table
 
 
@@ -87,6 +87,23 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.conversations(chat.chain(rows)))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "toxic")
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels))
+    return toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector among all vectors."""
+    e = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = e.select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    out = hard_negatives.mine(rows, F.col("id") % 50 == 0)
+    return out.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trie of the prefixes of all conversations, rebuilt to share beginnings."""
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("conv"), "turn", "role", "text")
@@ -99,7 +116,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     found = [op1_near_dedup, op2_warc, op3_html_text, op4_mixing, op5_sharding, op6_secrets, op7_quality,
-             op8_token_counts, op9_decontamination, op10_chat, op13_prefix_trie]
+             op8_token_counts, op9_decontamination, op10_chat, op11_toxicity, op12_hard_negatives,
+             op13_prefix_trie]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
@@ -140,6 +158,29 @@ FROM r
 """
 
 
+#: DuckDB SQL.  All scores of all anchors, ranked twice.
+NEGATIVES_SQL = """
+WITH e AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, a.label = b.label AS same, b.id,
+         list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+  FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 50 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+       AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 #: DuckDB SQL.  Prefixes by growing digests, subtrees by membership: a node
 #: lies below every prefix of its smallest member that is not longer than it.
 TRIE_SQL = """
@@ -190,4 +231,4 @@ LEFT JOIN last ON last.depth = m.depth AND last.key = m.key
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": MIXING_SQL, "op13_prefix_trie": TRIE_SQL}
+    return {"op4_mixing": MIXING_SQL, "op12_hard_negatives": NEGATIVES_SQL, "op13_prefix_trie": TRIE_SQL}
