@@ -9,7 +9,7 @@ its exact gradient (forward-backward), so weights spread to features the seeds d
 not name and neighbours count.  Scoring takes the forward-backward marginal of
 every token; expected number, density and largest marginal of a document go
 through a logistic regression fitted on labelled documents the field has not
-seen, and tokens of at least one half are reported with their offsets.
+seen (near copies of the sample count once), and tokens of at least one half are reported with their offsets.
 
 The labelled sample is bounded: ``TOXIC`` and ``CLEAN`` documents of at most
 ``LONGEST`` characters, chosen by a hash of the id.  Everything else covers whole
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -107,6 +108,27 @@ def summary(probabilities: list[float]) -> tuple[float, ...]:
 # ---- fitting ---------------------------------------------------------------------
 
 
+def without_copies(texts: list[tuple[list[str], int]], minima: int = 16) -> list[tuple[list[str], int]]:
+    """The sample without near copies: a text that has half of its word minima
+    in common with an earlier one is left out.  Otherwise the chance words of a
+    text that was copied many times would pass for evidence."""
+    rng = np.random.default_rng(7)
+    times = rng.integers(1, 2 ** 32, (minima, 1), dtype=np.uint64) | np.uint64(1)
+    seen: dict[tuple[int, int], list[int]] = {}
+    kept = []
+    for words, label in texts:
+        codes = np.array([zlib.crc32(w.encode()) for w in set(words)], dtype=np.uint64)
+        if len(codes):
+            least = [*enumerate(((times * codes) & np.uint64(0xFFFFFFFF)).min(axis=1).tolist())]
+            common = Counter(i for key in least for i in seen.get(key, ()))
+            if common and max(common.values()) >= minima // 2:
+                continue
+            for key in least:
+                seen.setdefault(key, []).append(len(kept))
+        kept.append((words, label))
+    return kept
+
+
 def _feature_counts(documents: list[list[str]]) -> Counter:
     counts: Counter = Counter()
     for words in documents:
@@ -224,6 +246,7 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     document regression."""
     texts = [([w.lower() for w in _TOKEN.findall(t or "")], y) for t, y in sample]
     prior = sum(y for _, y in texts) / len(texts) if texts else 0.0
+    texts = without_copies(texts)
     halves: dict[int, list[list[list[str]]]] = {0: [[], []], 1: [[], []]}
     for k in (0, 1):
         for i, words in enumerate(w for w, y in texts if y == k):
