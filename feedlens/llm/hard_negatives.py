@@ -128,10 +128,13 @@ def _tiles(anchors: pa.Table, candidates: pa.Table):
 
 
 _HEAP = "anchor long, place long, score long, id long"
+_EMPTY = pa.schema([(c, pa.int64()) for c in ("anchor", "place", "score", "id")]).empty_table()
 
 
 def _positives(count: int):
     def best(anchors: pa.Table, candidates: pa.Table) -> pa.Table:
+        if not len(anchors) or not len(candidates):     # a block may be empty
+            return _EMPTY
         heaps = Heaps(len(anchors), count)
         tiles, ids, labels, rows = _tiles(anchors, candidates)
         own, mine = anchors["label"].to_numpy(), anchors["row"].to_numpy()
@@ -144,6 +147,8 @@ def _positives(count: int):
 
 def _negatives(count: int, low: tuple[int, int], high: tuple[int, int]):
     def best(anchors: pa.Table, candidates: pa.Table) -> pa.Table:
+        if not len(anchors) or not len(candidates):
+            return _EMPTY
         known = _sizes(anchors["positives"])
         bounds = matrix(anchors["positives"], int(known.max(initial=1)))
         heaps = [Heaps(len(anchors), count) for _ in range(bounds.shape[1])]
@@ -200,7 +205,9 @@ def mine(vectors: DataFrame, is_anchor, *, positives: int = 5, negatives: int =
     n_a = max(1, -(-n_anchors // anchor_block))
     dealt = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    candidates = rows.withColumn("c", dealt(n_c)).withColumn("a", every(n_a)).groupBy("a", "c")
+    # columns of their own: two sides that share columns of one table lose some
+    others = rows.select(*[F.col(c).alias(c) for c in rows.columns])
+    candidates = others.withColumn("c", dealt(n_c)).withColumn("a", every(n_a)).groupBy("a", "c")
 
     def tiled(anchors: DataFrame, best) -> DataFrame:
         sides = anchors.withColumn("a", dealt(n_a)).withColumn("c", every(n_c)).groupBy("a", "c")

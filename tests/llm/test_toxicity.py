@@ -54,7 +54,8 @@ def invented(n, seed):
         toxic = i % 4 == 0
         if toxic:
             for _ in range(3):
-                words.insert(rng.randrange(len(words)), rng.choice(["Zukwit", "ZUKWAN", "zukwor", "grumb"]))
+                words.insert(rng.randrange(len(words)), rng.choice(["Zukw", "ZUKW", "zukw"]) + rng.choice("aeiou") + rng.choice("bdgklnprst"))
+            words.insert(rng.randrange(len(words)), "grumb")
         rows.append((i, " ".join(words), int(toxic)))
     return rows
 
