@@ -9,6 +9,7 @@ compare exactly with an independent SQL engine.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import last_full_days, time_in_days, time_last_full_days, yesterday
-from ..operators import cohorts, experiments, metrics, slices, users
+from ..operators import activity, cohorts, experiments, metrics, slices, users
+from ..session import shared_path
 from ..sources import fixtures
 from ..streaming import realtime
 from . import reports
@@ -390,6 +392,64 @@ def _service_overlap(spark, d):
     return cohorts.service_overlap(_feed(spark, d), _msgs(spark, d))
 
 
+# ---- dashboards from activity bitmaps ------------------------------------------
+
+def _activity(spark, events):
+    """Activity state of all days of ``events``, loaded out of order: the
+    later half, the earlier half, then one day again."""
+    lo, hi = (t.date() for t in events.agg(F.min("time"), F.max("time")).first())
+    mid = lo + (hi - lo) // 2
+    path = shared_path(spark, f"activity/{uuid.uuid4().hex}")
+    for first, last in ((mid, hi), (lo, mid - _dt.timedelta(days=1)), (mid, mid)):
+        if first <= last:
+            activity.update(spark, events, first, last, path)
+    return activity.load(spark, path)
+
+
+@query("retention_feed_incremental")
+def _retention_feed_incremental(spark, d):
+    return activity.retention(_activity(spark, _feed(spark, d)))
+
+
+@query("retention_messages_incremental")
+def _retention_messages_incremental(spark, d):
+    return activity.retention(_activity(spark, _msgs(spark, d)))
+
+
+@query("retention_feed_weekly")
+def _retention_feed_weekly(spark, d):
+    return activity.retention(_activity(spark, _feed(spark, d)), "week")
+
+
+@query("new_users_incremental")
+def _new_users_incremental(spark, d):
+    f = activity.new_users(_activity(spark, _feed(spark, d))).select(F.lit("feed").alias("service"), "*")
+    m = activity.new_users(_activity(spark, _msgs(spark, d))).select(F.lit("messenger").alias("service"), "*")
+    return f.unionByName(m)
+
+
+@query("weekly_audience_feed")
+def _weekly_audience_feed(spark, d):
+    return activity.weekly_audience(_activity(spark, _feed(spark, d)))
+
+
+@query("weekly_audience_messages")
+def _weekly_audience_messages(spark, d):
+    return activity.weekly_audience(_activity(spark, _msgs(spark, d)))
+
+
+@query("weekly_audience_incremental")
+def _weekly_audience_incremental(spark, d):
+    """The order log's weekly audience from its activity state (years of blocks)."""
+    return activity.weekly_audience(_activity(spark, fixtures.order_activity(spark, d)))
+
+
+@query("active_users_7d")
+def _active_users_7d(spark, d):
+    """Distinct feed users of each day and the six days before it."""
+    return activity.active_users(_activity(spark, _feed(spark, d)), 7)
+
+
 # ---- live metrics (batch twins of the streams) -------------------------------
 
 @query("realtime_feed")
