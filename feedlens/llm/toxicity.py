@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the labelled sample.
-TOXIC, CLEAN, LONGEST = 2000, 4000, 20_000
+TOXIC, CLEAN, LONGEST = 1500, 3000, 10_000
 #: A seed: held by this many toxic documents, this many times as often as by
 #: clean ones, with this many standard errors between the shares.
 SEED_DOCS, SEED_RATIO, SEED_Z = 5, 6.0, 5.0
