@@ -97,6 +97,40 @@ def first_seen(state: DataFrame, grain: str = "day") -> DataFrame:
     return one.select("user_id", _date(F.col("x.n")).alias("first"), F.col("x.source").alias("source"))
 
 
+def known_users(state: DataFrame) -> DataFrame:
+    """user_id of everybody the state has seen: for the messenger's state, the
+    users who ever sent a message."""
+    return state.select("user_id").distinct()
+
+
+def days_of(state: DataFrame, first, last) -> DataFrame:
+    """dt, user_id of the active days in [first, last]."""
+    users = _users(state)
+    spelled = users.select("user_id", "block", F.explode(_positions(F.col("bits"), DAYS)).alias("i"))
+    dt = _date(F.col("block") * DAYS + F.col("i"))
+    return spelled.select(dt.alias("dt"), "user_id").filter(F.col("dt").between(F.lit(as_date(first)), F.lit(as_date(last))))
+
+
+def overlap_by_day(state: DataFrame, others: DataFrame, first, last) -> DataFrame:
+    """dt, users_with, users_without: the state's users of each day in [first,
+    last] who are, or are not, among ``others`` (user_id, distinct).  Bits outside
+    the range are cut first; users are counted by bits and membership, and the
+    patterns spelled out."""
+    a, b = ((as_date(d) - ORIGIN).days for d in (first, last))
+    bits = F.lit(0).cast("bigint")
+    for k in range(a // DAYS, b // DAYS + 1):
+        mask = sum(1 << i for i in range(DAYS) if a <= k * DAYS + i <= b)
+        bits = F.when(F.col("block") == k, F.col("bits").bitwiseAND(F.lit(mask))).otherwise(bits)
+    users = _users(state.filter(F.col("block").between(a // DAYS, b // DAYS))).withColumn("bits", bits).filter("bits != 0")
+    known = others.select(F.col("user_id").alias("_o"), F.lit(True).alias("_with"))
+    j = users.join(known, F.col("user_id") == F.col("_o"), "left")
+    patterns = j.groupBy("block", "bits", F.col("_with").isNotNull().alias("with")).agg(F.count("*").alias("users"))
+    spelled = patterns.select("block", "with", "users", F.explode(_positions(F.col("bits"), DAYS)).alias("i"))
+    return spelled.groupBy(_date(F.col("block") * DAYS + F.col("i")).alias("dt")).agg(
+        F.sum(F.when(F.col("with"), F.col("users")).otherwise(0)).alias("users_with"),
+        F.sum(F.when(~F.col("with"), F.col("users")).otherwise(0)).alias("users_without"))
+
+
 def _positions(bits: Column, n: int) -> Column:
     return F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.call_function("getbit", bits, i) == 1)
 
@@ -128,6 +162,24 @@ def new_users(state: DataFrame, grain: str = "day") -> DataFrame:
             .agg(F.count("*").alias("new_users")))
 
 
+def campaign_retention(state: DataFrame, cohort_day, horizons=(1, 14)) -> DataFrame:
+    """The rows of ``cohorts.campaign_retention``: users first seen on
+    ``cohort_day`` and how many were active ``horizons`` days later, from the
+    blocks up to the last horizon."""
+    d = as_date(cohort_day)
+    at = {h: (d - ORIGIN).days + h for h in (0, *horizons)}
+    users = _users(state.filter(F.col("block") <= max(at.values()) // DAYS))
+    on = lambda n: F.bool_or((F.col("block") == n // DAYS) & (F.call_function("getbit", F.col("bits"), F.lit(n % DAYS)) == 1))
+    first = F.min(F.expr(f"block * {DAYS} + {_lowest('bits')}"))
+    per_user = users.groupBy("user_id").agg(first.alias("first"), *[on(at[h]).alias(f"on_{h}") for h in horizons])
+    one = per_user.filter(F.col("first") == at[0]).agg(
+        F.count("*").alias("cohort_size"), *[F.count_if(f"on_{h}").alias(f"n_{h}") for h in horizons])
+    rows = F.array(*[F.struct(F.lit(h).alias("day_n"), F.col(f"n_{h}").alias("active_users")) for h in horizons])
+    return (one.filter("cohort_size > 0").select("cohort_size", F.inline(rows))
+            .select(F.lit(d).alias("cohort"), "day_n", "cohort_size", "active_users",
+                    (F.col("active_users") / F.col("cohort_size")).alias("share")))
+
+
 def _week_word(bits: str) -> str:
     """SQL: bit w says that the user was active in week w of the block."""
     weeks = [f"CASE WHEN shiftright({bits}, {7 * w}) & 127L != 0 THEN {1 << w} ELSE 0 END" for w in range(WEEKS)]
@@ -165,6 +217,30 @@ def weekly_audience(state: DataFrame) -> DataFrame:
     return out.withColumn("_last", last).filter(F.col("week") <= F.col("_last")).drop("_last")
 
 
+def users_by_source(state: DataFrame) -> DataFrame:
+    """dt, source, users: the rows of ``cohorts.audience_by_source`` of one service."""
+    patterns = state.groupBy("block", "source", "bits").agg(F.count("*").alias("users"))
+    return (patterns.select("block", "source", "users", F.explode(_positions(F.col("bits"), DAYS)).alias("i"))
+            .groupBy(_date(F.col("block") * DAYS + F.col("i")).alias("dt"), "source").agg(F.sum("users").alias("users")))
+
+
+def service_overlap(feed_state: DataFrame, message_state: DataFrame) -> DataFrame:
+    """The rows of ``cohorts.service_overlap``: one aggregate by user and block
+    over both states, then counts of bit pairs."""
+    none = F.lit(0).cast("bigint")
+    f = feed_state.select("block", "user_id", F.col("bits").alias("f"), none.alias("m"))
+    m = message_state.select("block", "user_id", none.alias("f"), F.col("bits").alias("m"))
+    pairs = (f.unionByName(m).groupBy("block", "user_id").agg(F.bit_or("f").alias("f"), F.bit_or("m").alias("m"))
+             .groupBy("block", "f", "m").agg(F.count("*").alias("users")))
+    spelled = pairs.select("block", "f", "m", "users", F.explode(_positions(F.expr("f | m"), DAYS)).alias("i"))
+    on = lambda c: F.call_function("getbit", F.col(c), F.col("i")) == 1
+    count = lambda cond: F.sum(F.when(cond, F.col("users")).otherwise(0))
+    return spelled.groupBy(_date(F.col("block") * DAYS + F.col("i")).alias("dt")).agg(
+        count(on("f")).alias("feed_users"), count(on("m")).alias("messenger_users"),
+        count(on("f") & on("m")).alias("both_users"), count(on("f") & ~on("m")).alias("feed_only_users"),
+        count(~on("f") & on("m")).alias("messenger_only_users"))
+
+
 def active_users(state: DataFrame, days: int = 7) -> DataFrame:
     """dt, users: distinct users of the ``days`` days up to and including dt, for
     every day from the first to the last observed one.

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from ..functions.dates import last_full_days, time_in_days, time_last_full_days, yesterday
 from ..operators import activity, cohorts, experiments, metrics, slices, users
 from ..session import shared_path
-from ..sources import fixtures
+from ..sources import fixtures, readers, sinks
 from ..streaming import realtime
-from . import reports
+from . import daily_store, reports
 
 # fixed parameters of the checks (FIXTURES.md section 2)
 AS_OF = _dt.date(2024, 1, 31)
@@ -30,7 +30,7 @@ AA_GROUPS = (2, 3)
 AB_WEEK = (_dt.date(2024, 1, 15), _dt.date(2024, 1, 21))
 AB_PAIRS = {"03": (0, 3), "12": (1, 2)}
 SIMS, SAMPLE_SIZE, SEED = 10_000, 500, 42
-DISTINCT_SIMS, DISTINCT_SIZE = 2_000, 20   # the smallest test table has few users an arm
+DISTINCT_SIMS, DISTINCT_SIZE = 2_000, 10   # the smallest test table has few users an arm
 HIST_BINS = 20
 PVALUE_BINS = 50
 CAMPAIGN_DAY = _dt.date(2024, 1, 2)
@@ -166,6 +166,48 @@ def _daily_slices(spark, d):
     return slices.daily_slices(_feed(spark, d), _msgs(spark, d), AS_OF)
 
 
+@query("user_message_totals_full")
+def _user_message_totals_full(spark, d):
+    """Also users who only sent or only received."""
+    return users.user_message_totals(_msgs(spark, d), AS_OF, how="full")
+
+
+@query("daily_slices_published")
+def _daily_slices_published(spark, d):
+    """The day's slices through the published table: a first version, then the
+    corrected one, read back."""
+    f, m = _feed(spark, d), _msgs(spark, d)
+    path, day = shared_path(spark, f"slices/{uuid.uuid4().hex}"), AS_OF - _dt.timedelta(days=1)
+    sinks.publish_slices(slices.daily_slices(f, m, AS_OF, how="full"), path, day)
+    sinks.publish_slices(slices.daily_slices(f, m, AS_OF), path, day)
+    return sinks.read_slices(spark, path, day, day)
+
+
+#: Day by source: the audience and traffic of both services, as SQL text.
+SOURCE_REPORT = """
+WITH f AS (
+  SELECT to_date(time) AS dt, source, count(DISTINCT user_id) AS feed_users,
+         count_if(action = 'view') AS views, count_if(action = 'like') AS likes
+  FROM {feed} WHERE time >= CAST(:first AS TIMESTAMP_NTZ) AND time < CAST(:until AS TIMESTAMP_NTZ)
+  GROUP BY 1, 2),
+m AS (
+  SELECT to_date(time) AS dt, source, count(DISTINCT user_id) AS senders, count(reciever_id) AS messages
+  FROM {messages} WHERE time >= CAST(:first AS TIMESTAMP_NTZ) AND time < CAST(:until AS TIMESTAMP_NTZ)
+  GROUP BY 1, 2)
+SELECT dt, source, coalesce(feed_users, 0) AS feed_users, coalesce(views, 0) AS views, coalesce(likes, 0) AS likes,
+       coalesce(senders, 0) AS senders, coalesce(messages, 0) AS messages,
+       round(coalesce(messages, 0) / nullif(senders, 0), 6) AS messages_per_sender
+FROM f FULL JOIN m USING (dt, source)
+"""
+
+
+@query("source_report_sql")
+def _source_report_sql(spark, d):
+    """SQL text with parameters over the two event tables."""
+    return readers.sql_frame(spark, SOURCE_REPORT, {"feed": _feed(spark, d), "messages": _msgs(spark, d)},
+                             first=AS_OF - _dt.timedelta(days=7), until=AS_OF)
+
+
 # ---- reports -----------------------------------------------------------------
 
 @query("main_metric_report")
@@ -450,6 +492,83 @@ def _active_users_7d(spark, d):
     return activity.active_users(_activity(spark, _feed(spark, d)), 7)
 
 
+@query("campaign_retention_incremental")
+def _campaign_retention_incremental(spark, d):
+    return activity.campaign_retention(_activity(spark, _feed(spark, d)), CAMPAIGN_DAY, CAMPAIGN_HORIZONS)
+
+
+@query("service_overlap_incremental")
+def _service_overlap_incremental(spark, d):
+    return activity.service_overlap(_activity(spark, _feed(spark, d)), _activity(spark, _msgs(spark, d)))
+
+
+@query("audience_by_source_incremental")
+def _audience_by_source_incremental(spark, d):
+    f = activity.users_by_source(_activity(spark, _feed(spark, d))).select(F.lit("feed").alias("service"), "*")
+    m = activity.users_by_source(_activity(spark, _msgs(spark, d))).select(F.lit("messenger").alias("service"), "*")
+    return f.unionByName(m)
+
+
+@query("users_both_services_state")
+def _both_state(spark, d):
+    """Users of both services per day: the senders from the messenger's
+    activity state, a Bloom filter of them at the feed scan."""
+    senders = activity.known_users(_activity(spark, _msgs(spark, d)))
+    return reports.users_both_services(_feed(spark, d), None, senders, senders.count())
+
+
+@query("users_feed_only_state")
+def _feed_only_state(spark, d):
+    return reports.users_feed_only(_feed(spark, d), None, activity.known_users(_activity(spark, _msgs(spark, d))))
+
+
+# ---- reports from the daily store ----------------------------------------------
+
+def _store(spark, d):
+    """A store of all days of both event tables, the later half loaded first."""
+    f, m = _feed(spark, d), _msgs(spark, d)
+    lo, hi = (t.date() for t in f.select("time").union(m.select("time")).agg(F.min("time"), F.max("time")).first())
+    mid = lo + (hi - lo) // 2
+    store = shared_path(spark, f"store/{uuid.uuid4().hex}")
+    for first, last in ((mid, hi), (lo, mid - _dt.timedelta(days=1))):
+        if first <= last:
+            daily_store.load(spark, f, m, first, last, store)
+    return store
+
+
+@query("main_metric_report_store")
+def _main_metric_report_store(spark, d):
+    return daily_store.main_metric_report(spark, _store(spark, d), AS_OF)
+
+
+@query("full_report_store")
+def _full_report_store(spark, d):
+    return daily_store.full_report(spark, _store(spark, d), AS_OF)
+
+
+@query("feed_traffic_store")
+def _feed_traffic_store(spark, d):
+    return daily_store.feed_traffic(spark, _store(spark, d), AS_OF)
+
+
+@query("message_traffic_store")
+def _message_traffic_store(spark, d):
+    return daily_store.message_traffic(spark, _store(spark, d), AS_OF)
+
+
+@query("main_metrics_store")
+def _main_metrics_store(spark, d):
+    return daily_store.main_metrics(spark, _store(spark, d))
+
+
+@query("active_users_sketch")
+def _active_users_sketch(spark, d):
+    """Rolling seven-day users, exact, and whether the union of the daily
+    sketches is within 2 percent of them."""
+    r = daily_store.rolling_users(spark, _store(spark, d), 7)
+    return r.select("dt", "users", (F.col("error_pct") <= 2).alias("within_2_pct"))
+
+
 # ---- live metrics (batch twins of the streams) -------------------------------
 
 @query("realtime_feed")
@@ -457,6 +576,17 @@ def _realtime_feed(spark, d):
     return realtime.feed_window_metrics(_feed(spark, d))
 
 
+@query("realtime_feed_buckets")
+def _realtime_feed_buckets(spark, d):
+    """Windows from the bucketed totals that the live stream stores."""
+    path = shared_path(spark, f"live/{uuid.uuid4().hex}")
+    changed = realtime.window_buckets(_feed(spark, d).withColumn("time", F.col("time").cast("timestamp")), "feed")
+    realtime.upsert_windows(changed, path, "feed")
+    out = realtime.live_windows(spark, path, "feed")
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")],
+                      *[c for c in out.columns if not c.startswith("window_")])
+
+
 @query("realtime_messages")
 def _realtime_messages(spark, d):
     return realtime.message_window_metrics(_msgs(spark, d))

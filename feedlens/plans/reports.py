@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, last_full_days, time_last_full_days
+from ..operators import bloom
 from ..operators.metrics import (SLICES, ctr_percent, feed_daily, feed_role_days,
                                  flag_count, message_user_days, messages_by_day, slice_flag,
                                  with_day)
@@ -40,22 +41,36 @@ def prev_day_metrics(daily: DataFrame, metrics=KEY_METRICS) -> DataFrame:
     return out
 
 
-def main_metric_report(feed: DataFrame, as_of, n_days: int = 7) -> DataFrame:
+def _midnight(d: _dt.date):
+    return F.lit(d.isoformat()).cast("timestamp_ntz")
+
+
+def last_day_before(feed: DataFrame, day) -> _dt.date | None:
+    """The latest day with an event before ``day``: one maximum."""
+    found = feed.filter(F.col("time") < _midnight(as_date(day))).agg(F.max("time")).first()[0]
+    return found.date() if found else None
+
+
+def main_metric_report(feed: DataFrame, as_of, n_days: int = 7, before: _dt.date | None = None) -> DataFrame:
     """DAU, views, likes, CTR of the last ``n_days`` full days with the
     previous day's values and the change (newest first).
 
     "Previous" is the previous existing day, which for the first day of the
-    window may lie any time before it.  That day is ``max(time)`` before the
-    window, looked for in the week before it and, if that is empty, in all
-    history; only it and later days are aggregated."""
-    midnight = lambda d: F.lit(d.isoformat()).cast("timestamp_ntz")
-    time = F.col("time")
+    window may lie any time before it.  That day (``before`` if the caller
+    knows it) is the latest one before the window, looked for in the week before
+    it and, if that is empty, in all history; only it and later days are
+    aggregated."""
     first = as_date(as_of) - _dt.timedelta(days=n_days)
-    older = feed.filter(time < midnight(first))
-    latest = lambda df: df.agg(F.max("time")).first()[0]
-    before = latest(older.filter(time >= midnight(first - _dt.timedelta(days=7)))) or latest(older)
-    src = feed.filter(time >= midnight(before.date() if before else first))
-    report = prev_day_metrics(feed_daily(src)).filter(last_full_days(as_of, n_days))
+    if before is None:
+        week = feed.filter(F.col("time") >= _midnight(first - _dt.timedelta(days=7)))
+        before = last_day_before(week, first) or last_day_before(feed, first)
+    src = feed.filter(F.col("time") >= _midnight(before or first))
+    return key_metrics(feed_daily(src), as_of, n_days)
+
+
+def key_metrics(daily: DataFrame, as_of, n_days: int = 7) -> DataFrame:
+    """The key-metric report from one row per day (dt, dau, views, likes, ctr)."""
+    report = prev_day_metrics(daily).filter(last_full_days(as_of, n_days))
     return report.select("dt", *KEY_METRICS, *[f"prev_{m}" for m in KEY_METRICS],
                          *[f"dev_{m}" for m in KEY_METRICS]).orderBy(F.desc("dt"))
 
@@ -65,11 +80,16 @@ def senders(messages: DataFrame) -> DataFrame:
     return messages.select("user_id").filter(F.col("user_id").isNotNull()).distinct()
 
 
-def full_report(feed: DataFrame, messages: DataFrame, as_of, n_days: int = 7) -> DataFrame:
+def full_report(feed: DataFrame, messages: DataFrame, as_of, n_days: int = 7,
+                known_senders: DataFrame | None = None) -> DataFrame:
     """Whole-app report per day: feed and messenger audience, posts,
     messages, feed-only users against users of both services, users by OS
     and by source.  A day is kept only when it has messages, feed-only users
-    and both-service users (the original's inner joins)."""
+    and both-service users (the original's inner joins).
+
+    ``known_senders`` (user_id, distinct) is the maintained sender set, e.g.
+    ``activity.known_users`` of the messenger's state; without it the message
+    table is read over all history for it."""
     feed_w = feed.filter(time_last_full_days(as_of, n_days))
     msgs_w = messages.filter(time_last_full_days(as_of, n_days))
 
@@ -77,7 +97,7 @@ def full_report(feed: DataFrame, messages: DataFrame, as_of, n_days: int = 7) ->
     # aggregate; the sender flag joins only user rows (condition in the ON
     # clause, so nothing is pushed below the shared aggregate)
     g = feed_role_days(feed_w)
-    snd = senders(messages).select(F.col("user_id").alias("_sender"), F.lit(True).alias("sends"))
+    snd = (senders(messages) if known_senders is None else known_senders).select(F.col("user_id").alias("_sender"), F.lit(True).alias("sends"))
     j = g.join(snd, (F.col("role") == "u") & (F.col("key") == F.col("_sender")), "left")
     user = (F.col("role") == "u") & F.col("key").isNotNull()
     feed_day = j.groupBy("dt").agg(
@@ -149,18 +169,27 @@ def _feed_user_days(feed: DataFrame) -> DataFrame:
         .distinct()
 
 
-def users_feed_only(feed: DataFrame, messages: DataFrame) -> DataFrame:
+def users_feed_only(feed: DataFrame, messages: DataFrame | None,
+                    known_senders: DataFrame | None = None) -> DataFrame:
     """dt, feed_users: distinct feed users per day who never sent a message
     (anti join of distinct user-days to the sender set; NULL-safe unlike
-    SQL ``NOT IN``)."""
-    return (_feed_user_days(feed).join(senders(messages), "user_id", "left_anti")
+    SQL ``NOT IN``).  ``known_senders``: see ``full_report``."""
+    snd = senders(messages) if known_senders is None else known_senders
+    return (_feed_user_days(feed).join(snd, "user_id", "left_anti")
             .groupBy("dt").agg(F.count("user_id").alias("feed_users")))
 
 
-def users_both_services(feed: DataFrame, messages: DataFrame) -> DataFrame:
+def users_both_services(feed: DataFrame, messages: DataFrame | None,
+                        known_senders: DataFrame | None = None, n_senders: int | None = None) -> DataFrame:
     """dt, all_app_users: distinct feed users per day who ever sent a
-    message (semi join of distinct user-days to the sender set)."""
-    return (_feed_user_days(feed).join(senders(messages), "user_id", "left_semi")
+    message (semi join of distinct user-days to the sender set).
+
+    With the maintained sender set and an upper bound of its size, a Bloom
+    filter of the senders thins the feed at the scan, before its aggregate."""
+    snd = senders(messages) if known_senders is None else known_senders
+    if known_senders is not None and n_senders is not None:
+        feed = bloom.prefilter(feed, snd, "user_id", n_senders)
+    return (_feed_user_days(feed).join(snd, "user_id", "left_semi")
             .groupBy("dt").agg(F.count("user_id").alias("all_app_users")))
 
 

@@ -40,10 +40,33 @@ def read_message_actions(spark: SparkSession, path: str, day_column: str | None
     return _read(spark, MESSAGE_ACTIONS, path, day_column, days)
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, **options) -> DataFrame:
-    """Run SQL text on a remote database and get a DataFrame (the
-    reference's "query to frame").  Credentials come from ``options``."""
-    reader = spark.read.format("jdbc").option("url", url).option("query", query)
-    for k, v in options.items():
+def jdbc_options(query: str, partition_column: str | None = None, lower=None, upper=None,
+                 partitions: int | None = None) -> dict[str, str]:
+    """Reader options of a remote query.  With a partition column (numeric, date
+    or timestamp) and its bounds the query is read by ``partitions`` tasks, each
+    with a range predicate of its own; rows outside the bounds go to the first
+    and the last task, none is lost."""
+    if partition_column is None:
+        return {"query": query}
+    if lower is None or upper is None or not partitions:
+        raise ValueError("a partitioned read needs lower, upper and partitions")
+    return {"dbtable": f"({query}) part_source", "partitionColumn": partition_column, "lowerBound": str(lower),
+            "upperBound": str(upper), "numPartitions": str(partitions)}
+
+
+def read_jdbc(spark: SparkSession, url: str, query: str, *, partition_column: str | None = None, lower=None,
+              upper=None, partitions: int | None = None, **options) -> DataFrame:
+    """Run SQL text on a remote database and get a DataFrame, by one task or, see
+    ``jdbc_options``, by several.  Credentials come from ``options``."""
+    reader = spark.read.format("jdbc").option("url", url)
+    for k, v in (jdbc_options(query, partition_column, lower, upper, partitions) | options).items():
         reader = reader.option(k, v)
     return reader.load()
+
+
+def sql_frame(spark: SparkSession, text: str, tables: dict[str, DataFrame], **params) -> DataFrame:
+    """Run SQL text over DataFrames: every ``{name}`` of the text stands for
+    ``tables[name]`` and every ``:name`` for a parameter, bound as a value and never
+    pasted into the text.  Nothing is registered in the catalog, so queries with
+    different tables under one name do not disturb each other."""
+    return spark.sql(text, args=params, **tables)

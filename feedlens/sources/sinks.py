@@ -4,6 +4,11 @@ The original creates the table if absent and appends each day.  Appending
 is not safe under retries (a task retried after a partial write appends
 twice), so a day is written as its own partition: re-running a day replaces
 exactly that partition, and a day without rows empties it.
+
+``write_slices`` and ``insert_slices`` keep a plain partitioned layout that any
+tool reads; while such a day is being replaced, readers may find it half
+written.  ``publish_slices`` makes the replacement one visible step (see
+``sources.published``); the ETL job uses it.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
+from . import published
 from .schema import DAILY_SLICES
 
 
@@ -45,3 +51,17 @@ def insert_slices(df: DataFrame, table: str, day) -> None:
     cols = [f.name for f in DAILY_SLICES.fields if f.name != "event_date"]
     df.sparkSession.sql(f"INSERT OVERWRITE {table} PARTITION (event_date = DATE'{as_date(day).isoformat()}') "
                         "SELECT * FROM {rows}", rows=_only(df, day).select(cols))
+
+
+def publish_slices(df: DataFrame, path: str, day) -> None:
+    """Replace the slices of ``day`` in the published table at ``path``: readers
+    see the old day or the new one, also if the job dies half way."""
+    rows = df.select([F.col(f.name).cast(f.dataType) for f in DAILY_SLICES.fields])
+    published.publish(_only(rows, day), path, F.col("event_date"), [as_date(day)])
+
+
+def read_slices(spark: SparkSession, path: str, first=None, last=None) -> DataFrame:
+    """Published slices, of all days or of [first, last]; only folders of those
+    days are opened."""
+    a, b = (as_date(d).isoformat() if d is not None else None for d in (first, last))
+    return published.read(spark, path, DAILY_SLICES, lambda v: (a is None or v >= a) and (b is None or v <= b))

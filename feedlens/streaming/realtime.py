@@ -6,6 +6,12 @@ chained aggregations: ``groupBy(window, user_id)`` then ``groupBy(window of
 window_time)``; in a stream both are stateful and run in append mode with
 the watermark propagated between them, so no approximate sketch is needed.
 
+Open windows: ``start_live`` runs in update mode.  Users are dealt into buckets
+by a hash, so a window's state is many small keys instead of one; each batch
+gives the new totals of the (window, bucket) keys it changed, and they replace
+the stored ones in a published table, so ``live_windows`` shows a window from its
+first event on and its final numbers in the end.  State lives in RocksDB.
+
 Streams read Parquet files with a fixed schema (TIMESTAMP event time, since
 watermarks refuse TIMESTAMP_NTZ); the checkpoint goes under the session's
 shared checkpoint folder.
@@ -13,12 +19,13 @@ shared checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.metrics import ctr_percent
 from ..session import shared_path
+from ..sources import published
 from ..sources.schema import FEED_ACTIONS_STREAM, MESSAGE_ACTIONS_STREAM
 
 WINDOW = "5 minutes"
@@ -104,11 +111,90 @@ def realtime_messages(stream: DataFrame, window: str = WINDOW, watermark: str =
     return message_window_metrics(stream.withWatermark("time", watermark), window, exact)
 
 
+#: Parts of a window's users, each a key of the state.
+BUCKETS = 32
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _totals(kind: str) -> list:
+    if kind == "feed":
+        return [F.count_if(F.col("action") == "view").alias("views"), F.count_if(F.col("action") == "like").alias("likes")]
+    return [F.count("reciever_id").alias("messages")]
+
+
+def window_buckets(events: DataFrame, kind: str, window: str = WINDOW, buckets: int = BUCKETS) -> DataFrame:
+    """window_start, window_end, bucket, users and totals: exact distinct users of
+    one bucket of a window (``kind``: 'feed' or 'messages').  A user is in one
+    bucket, so buckets add up.  Works on batch and streaming events; in update
+    mode a stream gives the keys that changed."""
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+    g = events.groupBy(F.window("time", window).alias("w"), bucket.alias("bucket")).agg(
+        F.size(F.collect_set("user_id")).cast("bigint").alias("users"), *_totals(kind))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    *[c for c in g.columns if c != "w"])
+
+
+def _live_schema(kind: str) -> str:
+    totals = ("views", "likes") if kind == "feed" else ("messages",)
+    return ("window_start timestamp, window_end timestamp, bucket int, users bigint, "
+            + ", ".join(f"{c} bigint" for c in totals))
+
+
+def _hour() -> Column:
+    return F.date_format("window_start", "yyyy-MM-dd-HH")
+
+
+def upsert_windows(changed: DataFrame, path: str, kind: str) -> None:
+    """Replace the stored totals of the keys in ``changed``; only the hours they
+    fall into are rewritten.  The same batch again leaves the same rows."""
+    spark = changed.sparkSession
+    changed = changed.persist()
+    try:
+        hours = [r[0] for r in changed.select(_hour().alias("h")).distinct().collect()]   # hours touched by one batch
+        if not hours:
+            return
+        old = published.read(spark, path, _live_schema(kind), lambda v: v in set(hours))
+        keys = ["window_start", "bucket"]
+        kept = old.join(changed.select(*keys), keys, "left_anti").select(changed.columns)
+        published.publish(kept.unionByName(changed), path, _hour(), hours)
+    finally:
+        changed.unpersist()
+
+
+def live_windows(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The windows stored so far, open ones included: the columns of
+    ``feed_window_metrics`` or ``message_window_metrics``."""
+    rows = published.read(spark, path, _live_schema(kind))
+    users = "active_users" if kind == "feed" else "active_senders"
+    totals = [c for c in rows.columns if c not in ("window_start", "window_end", "bucket", "users")]
+    out = rows.groupBy("window_start", "window_end").agg(
+        F.sum("users").alias(users), *[F.sum(c).alias(c) for c in totals])
+    return out.withColumn("ctr", ctr_percent()) if kind == "feed" else out
+
+
+def start_live(stream: DataFrame, kind: str, path: str, once: bool = False, window: str = WINDOW,
+               watermark: str = WATERMARK, buckets: int = BUCKETS, checkpoint: str | None = None) -> StreamingQuery:
+    """Start a stream of live windows into the published table at ``path``.
+
+    Update mode: a window is stored after the first batch that saw it and
+    replaced by every later one; the watermark only bounds the state.  ``once``
+    works through what has arrived and stops."""
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    changed = window_buckets(stream.withWatermark("time", watermark), kind, window, buckets)
+    w = (changed.writeStream.outputMode("update")
+         .option("checkpointLocation", checkpoint or f"{path}/checkpoint")
+         .foreachBatch(lambda batch, _: upsert_windows(batch, path, kind)))
+    return (w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")).start()
+
+
 def start(df: DataFrame, name: str, sink_path: str | None = None,
-          checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Start a metrics stream in append mode.  Output goes to Parquet at
-    ``sink_path`` (exactly-once with the checkpoint) or, without a path, to
-    an in-memory table named ``name``."""
+          checkpoint: str | None = None, available_now: bool = True, in_memory: bool = False) -> StreamingQuery:
+    """Start a metrics stream in append mode: closed windows as Parquet at
+    ``sink_path`` (exactly-once with the checkpoint).  ``in_memory`` keeps them in
+    a table ``name`` of the driver instead, for tests and small looks only."""
+    if not sink_path and not in_memory:
+        raise ValueError("name a sink_path, or ask for in_memory")
     spark = df.sparkSession
     ckpt = checkpoint or shared_path(spark, f"streams/{name}")
     w = df.writeStream.outputMode("append").option("checkpointLocation", ckpt)

@@ -41,3 +41,25 @@ def test_catalog_table_insert_is_idempotent(spark):
     sinks.insert_slices(day.filter("false"), "slices_test", "2024-01-29")
     assert spark.table("slices_test").count() == 0
     spark.sql("DROP TABLE slices_test")
+
+
+def test_a_failed_publish_leaves_the_old_day(spark, monkeypatch):
+    from feedlens.sources import published
+
+    path = os.path.join(tempfile.mkdtemp(prefix="feedlens-sink-"), "slices")
+    f, m = fixtures.feed_actions(spark, SF_SMALL), fixtures.message_actions(spark, SF_SMALL)
+    day = slices.daily_slices(f, m, "2024-01-30")
+    sinks.publish_slices(day, path, "2024-01-29")
+    first = sorted(map(tuple, sinks.read_slices(spark, path).collect()))
+    assert len(first) == day.count() > 0
+    with monkeypatch.context() as mp:
+        mp.setattr(published, "_commit", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            sinks.publish_slices(day.limit(1), path, "2024-01-29")
+    assert sorted(map(tuple, sinks.read_slices(spark, path).collect())) == first
+    sinks.publish_slices(slices.daily_slices(f, m, "2024-01-29"), path, "2024-01-28")
+    assert sorted(map(tuple, sinks.read_slices(spark, path, "2024-01-29").collect())) == first
+    with pytest.raises(Exception, match="another day"):
+        sinks.publish_slices(day, path, "2024-01-28")
+    sinks.publish_slices(day.limit(0), path, "2024-01-29")
+    assert sinks.read_slices(spark, path, "2024-01-29", "2024-01-29").count() == 0
