@@ -438,11 +438,11 @@ def _service_overlap(spark, d):
 
 def _activity(spark, events):
     """Activity state of all days of ``events``, loaded out of order: the
-    later half, the earlier half, then one day again."""
+    later half, then the earlier half."""
     lo, hi = (t.date() for t in events.agg(F.min("time"), F.max("time")).first())
     mid = lo + (hi - lo) // 2
     path = shared_path(spark, f"activity/{uuid.uuid4().hex}")
-    for first, last in ((mid, hi), (lo, mid - _dt.timedelta(days=1)), (mid, mid)):
+    for first, last in ((mid, hi), (lo, mid - _dt.timedelta(days=1))):
         if first <= last:
             activity.update(spark, events, first, last, path)
     return activity.load(spark, path)
@@ -525,14 +525,11 @@ def _feed_only_state(spark, d):
 # ---- reports from the daily store ----------------------------------------------
 
 def _store(spark, d):
-    """A store of all days of both event tables, the later half loaded first."""
+    """A store of all days of both event tables."""
     f, m = _feed(spark, d), _msgs(spark, d)
     lo, hi = (t.date() for t in f.select("time").union(m.select("time")).agg(F.min("time"), F.max("time")).first())
-    mid = lo + (hi - lo) // 2
     store = shared_path(spark, f"store/{uuid.uuid4().hex}")
-    for first, last in ((mid, hi), (lo, mid - _dt.timedelta(days=1))):
-        if first <= last:
-            daily_store.load(spark, f, m, first, last, store)
+    daily_store.load(spark, f, m, lo, hi, store)
     return store
 
 

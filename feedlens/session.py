@@ -17,6 +17,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     * AQE on: small per-day aggregates are broadcast at runtime, skewed
       shuffle partitions are split, tiny partitions are coalesced.
     * No UI server.
+    * Checkpoint files of a DataFrame go when nothing refers to it any more.
 
     On a cluster leave ``master`` and ``shuffle_partitions`` unset and let the
     cluster configuration decide.
@@ -26,6 +27,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true"))

@@ -95,7 +95,8 @@ def publish(df: DataFrame, path: str, part: Column, values: list) -> None:
     other = F.raise_error(F.concat(F.lit("a row belongs to another part: "), F.coalesce(own, F.lit("NULL")))).cast("string")
     folder = f"{path}/data/{uuid.uuid4().hex}"
     rows = df.withColumn(_PART, F.when(own.isin(*names), own).otherwise(other))
-    rows.write.partitionBy(_PART).parquet(folder)
+    # few files a part, and no part of any size in one task
+    rows.hint("rebalance", _PART).write.partitionBy(_PART).parquet(folder)
     jvm, fs = _fs(spark, path)
     full = {v: f"{folder}/{_PART}={v}" for v in names}
     written = {v: f for v, f in full.items() if fs.exists(jvm.org.apache.hadoop.fs.Path(f))}

@@ -140,23 +140,23 @@ def _live_schema(kind: str) -> str:
             + ", ".join(f"{c} bigint" for c in totals))
 
 
-def _hour() -> Column:
-    return F.date_format("window_start", "yyyy-MM-dd-HH")
+def _day() -> Column:
+    return F.date_format("window_start", "yyyy-MM-dd")
 
 
 def upsert_windows(changed: DataFrame, path: str, kind: str) -> None:
-    """Replace the stored totals of the keys in ``changed``; only the hours they
+    """Replace the stored totals of the keys in ``changed``; only the days they
     fall into are rewritten.  The same batch again leaves the same rows."""
     spark = changed.sparkSession
     changed = changed.persist()
     try:
-        hours = [r[0] for r in changed.select(_hour().alias("h")).distinct().collect()]   # hours touched by one batch
-        if not hours:
+        days = [r[0] for r in changed.select(_day().alias("d")).distinct().collect()]   # days touched by one batch
+        if not days:
             return
-        old = published.read(spark, path, _live_schema(kind), lambda v: v in set(hours))
+        old = published.read(spark, path, _live_schema(kind), lambda v: v in set(days))
         keys = ["window_start", "bucket"]
         kept = old.join(changed.select(*keys), keys, "left_anti").select(changed.columns)
-        published.publish(kept.unionByName(changed), path, _hour(), hours)
+        published.publish(kept.unionByName(changed), path, _day(), days)
     finally:
         changed.unpersist()
 
