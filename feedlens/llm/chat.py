@@ -56,64 +56,97 @@ def _key(c: Column) -> Column:
     return F.when(c.isNull(), "n").otherwise(F.concat(F.lit("v"), c.cast("string")))
 
 
-def best_paths(messages: DataFrame, *, branches: int = 1) -> DataFrame:
-    """``conv, leaf, place, id`` of the chosen root-to-leaf paths.
-
-    ``messages`` has ``conv``, ``id``, ``parent``, ``score``.  A message without a
-    parent, or whose parent is missing, is a root.  Of every root the ``branches``
-    leaves with the highest sum of scores stay (NULL: 0; ties: the longer
-    branch, then the smaller leaf id).  Messages whose parents run in a circle
-    have no root and are on no path.  Of rows with one (conv, id) the smallest
-    parent and score stands.
-    """
-    nodes = messages.groupBy("conv", "id").agg(F.min(F.struct("parent", F.coalesce("score", F.lit(0.0)).alias("score"))).alias("x"))
-    nodes = save(nodes.select("conv", "id", "x.parent", "x.score"), "nodes")
-    known = nodes.select(F.col("conv").alias("c"), F.col("id").alias("p"))
-    first = save(nodes.join(known, (F.col("conv") == F.col("c")) & (F.col("parent") == F.col("p")), "left")
-                 .select("conv", "id", F.col("p").alias("up"), F.col("p").isNotNull().cast("long").alias("depth"),
-                         "score", F.coalesce("p", "id").alias("root")), "jump")
+def nodes_of(messages: DataFrame) -> DataFrame:
+    """``conv, node, id, up, role, text, score``: every differing row is a node of
+    its own, also with a NULL id or one that other rows carry; ``up`` is its
+    parent's node (of several rows with the parent's id the one with the least
+    hash), NULL for a root.  ``conv``, ``id`` and ``parent`` are keys of ``_key``."""
+    given = ["conv", "id", "parent", "role", "text", "score"]
+    node = F.xxhash64("id", *[x for c in given[2:] for x in (c, F.col(c).isNull())])
+    rows = save(messages.select(*given, node.alias("node")).groupBy("conv", "node")
+                .agg(*[F.min(c).alias(c) for c in given[1:]]), "nodes")
+    known = rows.groupBy(F.col("conv").alias("c"), F.col("id").alias("p")).agg(F.min("node").alias("up"))
+    return save(rows.join(known, (F.col("conv") == F.col("c")) & (F.col("parent") == F.col("p")), "left")
+                .select("conv", "node", "id", "up", "role", "text", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
+
+
+def _climbed(nodes: DataFrame, rounds: int) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+    """Every node's depth, branch score and root by doubled jumps: the settled
+    nodes, the jump tables, and what is still climbing after ``rounds`` (nodes
+    whose parents run in a circle) with ``least``, the smallest (id, node) that
+    they have passed."""
+    first = save(nodes.select("conv", "node", "id", "up", F.col("up").isNotNull().cast("long").alias("depth"), "score",
+                              F.coalesce("up", "node").alias("root"), F.struct("id", "node").alias("least")), "jump")
     # depth, score and root so far cover the messages up to `up`; messages that
     # have reached their root leave the joins
     done, climbing, jumps = first.filter("up IS NULL"), first.filter("up IS NOT NULL"), []
-    rounds = max(1, nodes.count()).bit_length()
     for _ in range(rounds):
         if climbing.isEmpty():
             break
         jumps.append(climbing)
-        far = done.union(climbing).select(F.col("conv").alias("c"), F.col("id").alias("i"), F.col("up").alias("up2"),
-                                          F.col("depth").alias("d2"), F.col("score").alias("s2"), F.col("root").alias("r2"))
+        far = done.union(climbing).select(
+            F.col("conv").alias("c"), F.col("node").alias("i"), F.col("up").alias("up2"), F.col("depth").alias("d2"),
+            F.col("score").alias("s2"), F.col("root").alias("r2"), F.col("least").alias("l2"))
         step = save(climbing.join(far, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("i")))
-                    .select("conv", "id", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"),
-                            (F.col("score") + F.col("s2")).alias("score"), F.col("r2").alias("root")), "jump")
+                    .select("conv", "node", "id", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"),
+                            (F.col("score") + F.col("s2")).alias("score"), F.col("r2").alias("root"),
+                            F.least("least", "l2").alias("least")), "jump")
         done, climbing = done.union(step.filter("up IS NULL")), step.filter("up IS NOT NULL")
-    parents = first.filter("up IS NOT NULL").select("conv", F.col("up").alias("id")).distinct()
-    leaves = done.join(parents, ["conv", "id"], "left_anti")
-    order = Window.partitionBy("conv", "root").orderBy(F.desc("score"), F.desc("depth"), "id")
+    return done, jumps, climbing
+
+
+def without_circles(nodes: DataFrame, stuck: DataFrame) -> DataFrame:
+    """``nodes`` with every circle opened at its smallest (id, node), which becomes
+    a root.  ``stuck`` climbed further than any circle is long, so the nodes that
+    its jumps reach are those on circles, and ``least`` is a circle's smallest."""
+    on = stuck.select(F.col("conv").alias("c"), F.col("up").alias("i")).distinct()
+    tops = (stuck.join(on, (F.col("conv") == F.col("c")) & (F.col("node") == F.col("i")))
+            .filter(F.col("least.node") == F.col("node")).select(F.col("conv").alias("top_conv"), F.col("node").alias("top")))
+    joined = nodes.join(tops, (F.col("conv") == F.col("top_conv")) & (F.col("node") == F.col("top")), "left")
+    return save(joined.select("conv", "node", "id", F.when(F.col("top").isNull(), F.col("up")).alias("up"),
+                              "role", "text", "score"), "nodes")
+
+
+def best_paths(nodes: DataFrame, *, branches: int = 1) -> DataFrame:
+    """``conv, leaf, leaf_node, place, node`` of the chosen root-to-leaf paths.
+
+    A node without a parent, or whose parent is missing, is a root, and so is
+    the smallest id of a circle of parents.  Of every root the ``branches``
+    leaves with the highest sum of scores stay (NULL: 0; ties: the longer
+    branch, then the smaller leaf id)."""
+    longest = nodes.groupBy("conv").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    done, jumps, stuck = _climbed(nodes, longest.bit_length() + 1)
+    if not stuck.isEmpty():
+        nodes = without_circles(nodes, stuck)
+        done, jumps, _ = _climbed(nodes, longest.bit_length() + 1)
+    parents = nodes.filter("up IS NOT NULL").select("conv", F.col("up").alias("node")).distinct()
+    leaves = done.join(parents, ["conv", "node"], "left_anti")
+    order = Window.partitionBy("conv", "root").orderBy(F.desc("score"), F.desc("depth"), "id", "node")
     chosen = leaves.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= branches)
-    path = chosen.select("conv", F.col("id").alias("leaf"), "id", F.col("depth").alias("place"))
+    path = chosen.select("conv", F.col("id").alias("leaf"), F.col("node").alias("leaf_node"), "node", F.col("depth").alias("place"))
     for k, step in enumerate(jumps):
-        up = step.select(F.col("conv").alias("c"), F.col("id").alias("i"), "up")
-        above = (path.join(up, (F.col("conv") == F.col("c")) & (F.col("id") == F.col("i")))
-                 .select("conv", "leaf", F.col("up").alias("id"), (F.col("place") - 2 ** k).alias("place")))
+        up = step.select(F.col("conv").alias("c"), F.col("node").alias("i"), "up")
+        above = (path.join(up, (F.col("conv") == F.col("c")) & (F.col("node") == F.col("i")))
+                 .select("conv", "leaf", "leaf_node", F.col("up").alias("node"), (F.col("place") - 2 ** k).alias("place")))
         path = save(path.union(above), "path")
     return path
 
 
-def format_paths(messages: DataFrame, paths: DataFrame, loss_role: str = "assistant") -> DataFrame:
+def format_paths(nodes: DataFrame, paths: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """``conv, leaf, formatted, loss`` (array of start, end in code points of the
     formatted text: the escaped texts of ``loss_role``)."""
-    # of rows with one (conv, id) the smallest stands, as for the paths
-    rows = messages.groupBy("conv", "id").agg(F.min(F.struct("parent", "score", "role", "text")).alias("x"))
-    t = paths.join(rows, ["conv", "id"]).select(
-        "conv", "leaf", "place", F.col("x.role").alias("role"),
-        F.concat(F.lit(OPEN), escape_role(F.coalesce("x.role", F.lit(""))), F.lit(AFTER_ROLE)).alias("head"),
-        escape(F.coalesce("x.text", F.lit(""))).alias("body"))
+    own = nodes.select("conv", "node", "role", "text")
+    t = paths.join(own, ["conv", "node"]).select(
+        "conv", "leaf", "leaf_node", "place", "role",
+        F.concat(F.lit(OPEN), escape_role(F.coalesce("role", F.lit(""))), F.lit(AFTER_ROLE)).alias("head"),
+        escape(F.coalesce("text", F.lit(""))).alias("body"))
     t = t.withColumn("turn", F.concat("head", "body", F.lit(CLOSE)))
-    run = Window.partitionBy("conv", "leaf").orderBy("place")
+    by = ["conv", "leaf", "leaf_node"]
+    run = Window.partitionBy(*by).orderBy("place")
     t = t.withColumn("start", F.sum(F.length("turn").cast("long")).over(run) - F.length("turn") + F.length("head"))
     loss = F.when(F.col("role") == loss_role, F.struct("start", (F.col("start") + F.length("body")).alias("end")))
-    t = t.select("conv", "leaf", F.struct("place", "turn", loss.alias("loss")).alias("t"))
-    return (t.groupBy("conv", "leaf").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    t = t.select(*by, F.struct("place", "turn", loss.alias("loss")).alias("t"))
+    return (t.groupBy(*by).agg(F.sort_array(F.collect_list("t")).alias("turns"))
             .select("conv", "leaf", F.array_join("turns.turn", "").alias("formatted"),
                     F.filter("turns.loss", lambda x: x.isNotNull()).alias("loss")))
 
@@ -123,16 +156,20 @@ def conversations(messages: DataFrame, *, branches: int = 1, loss_role: str = "a
     score): ``conv, leaf, formatted, loss``, one row per chosen path.
 
     NULL texts and roles count as empty; a NULL conv is a conversation of its
-    own, a NULL id an id of its own; other columns are not read; very long
-    threads take log n joins; an empty table gives no rows.  ``conv`` keeps its
-    type, ``leaf`` is a string.
+    own; rows with a NULL id, and differing rows of one id, are messages of
+    their own (replies to that id go to one of them); rows equal in all these
+    columns are one message; parents that run in a circle start at its
+    smallest id; other columns are not read; very long threads take log n
+    joins; an empty table gives no rows.  ``conv`` keeps its type, ``leaf`` is a
+    string.
     """
     m = messages.select(_key(F.col("conv")).alias("conv"), F.col("conv").alias("given"), _key(F.col("id")).alias("id"),
                         F.when(F.col("parent").isNotNull(), _key(F.col("parent"))).alias("parent"),
                         F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
                         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     kind = m.schema["given"].dataType
-    out = format_paths(m, best_paths(m, branches=branches), loss_role)
+    nodes = nodes_of(m)
+    out = format_paths(nodes, best_paths(nodes, branches=branches), loss_role)
     return out.withColumn("conv", F.when(F.substring("conv", 1, 1) == "v", F.expr("substring(conv, 2)")).cast(kind))
 
 

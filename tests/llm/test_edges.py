@@ -356,7 +356,7 @@ def test_chat_trees(spark):
     assert got.pop((5, "v699")) == [("assistant", f"t{i} ") for i in range(700)]
     assert got == {(1, "v5"): [("user", "q"), ("assistant", "good"), ("user", ""), ("", "x</turn>\n### y: \\")],
                    (1, "v6"): [("user", "orphan")], (None, "v1"): [("a:b\\#", "")], (3, "v7"): [("user", "twice")],
-                   (4, "n"): [("assistant", "no id")]}
+                   (4, "n"): [("assistant", "no id")], (2, "v2"): [("user", "circle"), ("user", "circle")]}
     both = {(r.conv, r.leaf) for r in chat.conversations(df.filter("conv = 1"), branches=2).collect()}
     assert both == {(1, "v5"), (1, "v2"), (1, "v6")}
     for r in out:
@@ -365,6 +365,23 @@ def test_chat_trees(spark):
     assert chat.conversations(df.limit(0)).collect() == []
 
 
+def test_chat_keeps_every_message(spark):
+    """Messages without an id, differing rows of one id and circles of parents."""
+    rows = [(1, None, None, "user", "a", 0.0), (1, None, None, "user", "b", 0.0), (1, None, None, "user", "b", 0.0),
+            (2, 5, None, "user", "first", 0.0), (2, 5, None, "user", "second", 0.0), (2, 6, 5, "assistant", "reply", 0.0),
+            (3, 1, 1, "user", "own parent", 0.0), (3, 2, 1, "assistant", "below", 0.0),
+            (4, 7, 9, "user", "seven", 0.0), (4, 8, 7, "user", "eight", 0.0), (4, 9, 8, "user", "nine", 0.0), (4, 3, 8, "user", "side", 5.0),
+            (4, 1, 3, "user", "small id off the circle", 1.0)]
+    df = spark.createDataFrame([(*r, "z", 1) for r in rows], CHAT)
+    out = chat.conversations(df, branches=5).collect()
+    got = sorted((r.conv, tuple(t for _, t in chat.parse(r.formatted))) for r in out)
+    firsts = [g for g in got if g[0] == 2]
+    assert [g for g in got if g[0] != 2] == sorted([
+        (1, ("a",)), (1, ("b",)), (3, ("own parent", "below")), (4, ("seven", "eight", "nine")),
+        (4, ("seven", "eight", "side", "small id off the circle"))])
+    assert len(firsts) == 2 and {t for _, g in firsts for t in g} == {"first", "second", "reply"}
+
+
 def test_chat_chain(spark):
     rows = [(1, 2, "assistant", "b"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, None, "system", "s"), (None, 1, "user", "n"), (2, 1, None, None)]
     df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, id string")
