@@ -2,10 +2,13 @@
 
 Two histograms of a document are compared with the reference of its language
 by the Jensen-Shannon distance: character classes, and the most common words
-of the language.  The reference is the mean histogram of all documents of the
-language that are long enough, taken a second time without those far from the
-first mean.  DataFrame operations only; everything a
-document needs is computed in its own row, so no text and no word is shuffled.
+of the language.  A language's reference is the mean histogram of labelled good
+documents (``labelled_references``: a bounded sample), so that a verdict does not
+depend on the other documents that are judged.  Without labels the corpus gives
+its own references: the mean of all documents of the language that are long
+enough, taken a second time without those far from the first mean.  DataFrame
+operations only; everything a document needs is computed in its own row, so no
+text and no word is shuffled.
 """
 
 from __future__ import annotations
@@ -39,8 +42,9 @@ MIN_CHARS = 300
 MIN_WORDS = 50
 #: Documents farther than this from the first reference don't count in the second.
 TRIM_DISTANCE = 0.3
-#: Documents a reference rests on at least; rarer languages are not judged.
-MIN_REFERENCE = 20
+#: Labelled good documents that references are made of: the first by a hash of
+#: the id.
+LABELLED = 6000
 
 
 def _repeat_words(words: Column) -> Column:
@@ -110,45 +114,77 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
-def _references(measured: DataFrame) -> DataFrame:
-    """Mean histograms by language (one row each)."""
+def _references(measured: DataFrame, by: Column | None = None) -> DataFrame:
+    """Mean histograms by language (one row each), or by ``by``."""
+    by = F.col("lang") if by is None else by
     mean = lambda c, n: F.array(*[F.round(F.avg(F.get(F.col(c), F.lit(i))), 9) for i in range(n)])
-    return (measured.groupBy("lang").agg(F.count("*").alias("n_ref"), mean("class_shares", len(CLASSES)).alias("class_ref"),
-                                         mean("word_shares", N_COMMON + 1).alias("word_ref"))
-            .filter(F.col("n_ref") >= MIN_REFERENCE)
-            .select(F.col("lang").alias("ref_lang"), "class_ref", "word_ref"))
+    return (measured.groupBy(by.alias("ref_lang"))
+            .agg(mean("class_shares", len(CLASSES)).alias("class_ref"), mean("word_shares", N_COMMON + 1).alias("word_ref")))
+
+
+def _with_shares(m: DataFrame) -> DataFrame:
+    return m.withColumns({"class_shares": _shares(F.col("classes")), "word_shares": _shares(F.col("commons"))})
+
+
+def _long_enough(m: DataFrame) -> DataFrame:
+    return m.filter((F.col("n_chars") >= MIN_CHARS) & (F.col("n_words") >= LONG_WORDS))
+
+
+def labelled_references(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        lang_col: str = "lang", label_col: str = "quality", *, limit: int = LABELLED) -> DataFrame:
+    """``ref_lang, class_ref, word_ref`` of the documents that ``labels``
+    (``id_col``, ``label_col``) call good (1), at most ``limit`` of them, and one
+    row with ``anything`` true over all of them, for languages without a row.
+    Contradicting labels of one id are left out."""
+    known = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("good_id"))
+             .agg(F.min(label_col).alias("least")).filter("least = 1").select("good_id"))
+    order = lambda c: (F.xxhash64(F.col(c).cast("string")), F.col(c))
+    good = known.orderBy(*order("good_id")).limit(limit)         # bounded, so it is broadcast
+    rows = (docs.select(id_col, text_col, lang_col).join(F.broadcast(good), F.col(id_col) == F.col("good_id"))
+            .orderBy(*order("good_id"), text_col).limit(limit))
+    m = save(_with_shares(_long_enough(measures(rows, id_col, text_col, lang_col))), "labelled")
+    every = _references(m, F.lit(None).cast("string")).withColumn("anything", F.lit(True))
+    return save(_references(m).withColumn("anything", F.lit(False)).unionByName(every), "references")
 
 
 def _joined(measured: DataFrame, refs: DataFrame) -> DataFrame:
-    return measured.join(refs, measured["lang"].eqNullSafe(refs["ref_lang"]), "left")
+    """``measured`` with its language's reference; without one, with that over
+    all languages, if there is any.  One row a language: small."""
+    own = refs.filter(~F.col("anything")).drop("anything")
+    every = refs.filter("anything").agg(F.max(F.struct("class_ref", "word_ref"))).scalar()
+    j = measured.join(own, measured["lang"].eqNullSafe(own["ref_lang"]), "left")
+    return j.withColumn("own_reference", F.col("class_ref").isNotNull()).withColumns(
+        {c: F.coalesce(c, every[c]) for c in ("class_ref", "word_ref")})
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
-          max_class: float = MAX_CLASS_DISTANCE, max_joint: float = MAX_JOINT_DISTANCE,
+          references: DataFrame | None = None, max_class: float = MAX_CLASS_DISTANCE, max_joint: float = MAX_JOINT_DISTANCE,
           max_short_joint: float = MAX_SHORT_JOINT_DISTANCE) -> DataFrame:
     """One row per input row: ``id``, ``n_words``, ``word_chars``,
     ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``class_distance``, ``word_distance`` (NULL where a guard holds), ``kept``.
 
-    NULL and empty texts have zero counts and fail the base rule.  A NULL or
-    unlisted language is judged by its characters only, against documents of
-    the same (or no) language.  A NULL id stays NULL; repeated rows are judged
+    ``references`` are those of ``labelled_references``; without them the corpus
+    gives its own, also from a single document.  NULL and empty texts have zero
+    counts and fail the base rule.  A NULL or unlisted language is judged by
+    its characters only; a language without a reference by its characters
+    against the reference over all languages.  A NULL id stays NULL; repeated rows are judged
     each; texts are read whole; other columns are not read; an empty table
     gives no rows.
     """
-    m = save(measures(docs, id_col, text_col, lang_col), "measures")
-    m = m.withColumns({"class_shares": _shares(F.col("classes")), "word_shares": _shares(F.col("commons"))})
-    fit = m.filter((F.col("n_chars") >= MIN_CHARS) & (F.col("n_words") >= LONG_WORDS))
-    refs = save(_references(fit), "references")
-    # once more without the documents that are far from the first reference
-    near = _joined(fit, refs).filter((js_distance(F.col("class_shares"), F.col("class_ref")) <= TRIM_DISTANCE)
-                                     & (js_distance(F.col("word_shares"), F.col("word_ref")) <= TRIM_DISTANCE))
-    refs = save(_references(near), "references")
-    out = _joined(m, refs)
+    m = _with_shares(save(measures(docs, id_col, text_col, lang_col), "measures"))
+    if references is None:
+        fit = _long_enough(m)
+        first = save(_references(fit).withColumn("anything", F.lit(False)), "references")
+        # once more without the documents that are far from the first reference
+        near = _joined(fit, first).filter((js_distance(F.col("class_shares"), F.col("class_ref")) <= TRIM_DISTANCE)
+                                          & (js_distance(F.col("word_shares"), F.col("word_ref")) <= TRIM_DISTANCE))
+        references = save(_references(near).withColumn("anything", F.lit(False)), "references")
+    out = _joined(m, references)
     out = out.withColumns({
         "class_distance": F.when(((F.col("n_chars") >= MIN_CHARS) | (F.col("n_words") >= MIN_WORDS)) & F.col("class_ref").isNotNull(),
                                  js_distance(F.col("class_shares"), F.col("class_ref"))),
-        "word_distance": F.when((F.col("n_words") >= MIN_WORDS) & F.col("listed") & F.col("word_ref").isNotNull(),
+        "word_distance": F.when((F.col("n_words") >= MIN_WORDS) & F.col("listed") & F.col("own_reference"),
                                 js_distance(F.col("word_shares"), F.col("word_ref"))),
         "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))})
     joint = F.sqrt((F.pow("class_distance", F.lit(2)) + F.pow("word_distance", F.lit(2))) / 2)

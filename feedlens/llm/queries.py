@@ -59,8 +59,9 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality verdict on all documents."""
-    out = quality.judge(table(spark, sf_dir, "documents"))
+    """Quality verdict on all documents, against references of labelled good ones."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality.judge(docs, references=quality.labelled_references(docs, table(spark, sf_dir, "labels")))
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 

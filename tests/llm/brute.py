@@ -5,6 +5,7 @@ import base64
 import hashlib
 import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
@@ -131,6 +132,19 @@ def js_distance(p, q):
     return math.sqrt(max(0.0, (kl(p) + kl(q)) / 2))
 
 
+def histograms(text, common):
+    """Shares of the character classes and of the common words."""
+    counts, marks = [0] * 7, ".,;:!?'\"()-"
+    for c in text:
+        kind = unicodedata.category(c)
+        counts[0 if kind == "Ll" else 2 if c in " \t\n\v\f\r" else 1 if kind == "Lu" else 3 if kind == "Nd" else 4 if c in marks
+               else 5 if "!" <= c <= "~" else 6] += 1
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    places = Counter(common.index(w) if w in common else len(common) for w in words) if common else Counter()
+    share = lambda v: [x / sum(v) if sum(v) else 0.0 for x in v]
+    return share(counts), share([places[j] for j in range(13)]) if common else [0.0] * 13, len(words)
+
+
 def passage_words(text):
     return re.sub(r"[!-/:-@\[-`{-~\x09-\x0D\x20]+", " ", (text or "").lower()).split(" ")
 

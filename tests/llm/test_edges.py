@@ -11,6 +11,8 @@ from feedlens.llm import (chat, components, decontaminate, html_text, mixing, ne
                           shingles, token_counts, warc)
 from tests.llm import brute
 
+SMALL = "/root/testdata/sf0.01"
+
 # names that the operators use inside
 EXTRA = ["id", "n", "key", "comp", "rep", "digest", "size", "hash", "shard", "slot", "kept", "lo", "left", "words", "row", "bucket"]
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in EXTRA)
@@ -203,6 +205,28 @@ def test_quality_rejects_short_junk(spark):
     assert all(r.class_distance < 0.25 and not r.base_failed for r in got if 200 <= r.id < 300)
 
 
+def test_quality_references(spark):
+    """A verdict does not change with the other documents that are judged; a rare
+    language is judged from its first document on, an unknown one against all."""
+    full = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    refs = quality.labelled_references(full, labels)
+    kinds = {(r.ref_lang, r.anything) for r in refs.collect()}
+    assert kinds == {("en", False), ("de", False), ("fr", False), ("es", False), (None, True)}
+    junk = " ".join(["&&&%%% ###*** $$$"] * 40) + " x"
+    rows = [(1, text(80, 2), "en", "a"), (2, junk, "xx", "a"), (3, junk + " é", None, "a")]
+    alone = {r.id: r for r in quality.judge(docs(spark, rows[1:]), references=refs).collect()}
+    assert alone[2].class_distance > 0.25 < alone[3].class_distance and not alone[2].kept and alone[2].word_distance is None
+    some = full.select("doc_id", "text", "lang").filter("doc_id % 10 = 3")
+    by = lambda df: {r.id: (r.kept, r.class_distance) for r in df.collect()}
+    whole = by(quality.judge(full, references=refs))
+    assert all(whole[i] == v for i, v in by(quality.judge(some, references=refs)).items())
+    none = quality.labelled_references(full, labels.filter("quality > 5"))
+    assert by(quality.judge(docs(spark, rows), references=none))[2][1] is None
+    own = by(quality.judge(docs(spark, rows)))          # the corpus's own, from one document each
+    assert own[2][1] == 0.0
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
     p, q = [0.5, 0.25, 0.25, 0.0], [0.1, 0.2, 0.3, 0.4]
@@ -437,6 +461,8 @@ def test_pipeline_mix_by_row(spark):
 def test_pipeline_stages(spark, edge, none, tmp_path):
     import corpus_pipeline as p
     spark.createDataFrame([(1, text(30, 2)), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for t in ("documents", "labels"):
+        spark.read.parquet(f"{SMALL}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
     for name, stage in p.STAGES:
         for df in (edge, none):
             out = stage(spark, df, str(tmp_path))
@@ -455,9 +481,12 @@ def test_pipeline_quality_by_row(spark):
     """A clean row stays although a rejected row shares its id; junk with a
     NULL id goes."""
     import corpus_pipeline as p
-    rows = [(1, text(80, 2), "en", "a"), (1, "two words", "en", "a"), (None, "two words", "en", "a"), (None, text(80, 3), "en", "a")]
-    out = p.quality_rules(spark, docs(spark, rows), "").collect()
-    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(1, text(80, 2)), (0, text(80, 3))])
+    good = spark.read.parquet(f"{SMALL}/labels.parquet").filter("quality = 1")
+    a, b = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").join(good, "doc_id")
+            .filter("lang = 'en' AND length(text) > 2000").orderBy("doc_id").limit(2).collect()]
+    rows = [(1, a, "en", "a"), (1, "two words", "en", "a"), (None, "two words", "en", "a"), (None, b, "en", "a")]
+    out = p.quality_rules(spark, docs(spark, rows), SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(1, a), (0, b)])
 
 
 def test_pipeline_decontamination_by_row(spark, tmp_path):

@@ -121,6 +121,29 @@ def test_quality(spark, docs):
     assert sum(ok) / len(ok) > 0.9
 
 
+def test_quality_distances(spark):
+    """Both distances and the verdict of every document, references included."""
+    from feedlens.llm import quality as q
+    got = {r.doc_id: r for r in REG["op7_quality"](spark, SF).collect()}
+    rows_ = rows("documents", "doc_id, text, lang")
+    own = {i: (lang, brute.histograms(t or "", q.COMMON.get(lang)), len(t or "")) for i, t, lang in rows_}
+    good = [own[i] for i, y in rows("labels", "doc_id, quality") if y == 1 and i in own]
+    good = [(lang, h) for lang, h, n in good if n >= q.MIN_CHARS and h[2] >= q.LONG_WORDS]
+    mean = lambda k, lang: [sum(x) / len(x) for x in zip(*(h[k] for la, h in good if la == lang))]
+    refs = {lang: (mean(0, lang), mean(1, lang)) for lang in {la for la, _ in good}}
+    assert set(refs) == {"en", "de", "fr", "es"}
+    for i, (lang, (chars, words, n), size) in own.items():
+        r, limit = got[i], q.MAX_SHORT_JOINT_DISTANCE if n < q.LONG_WORDS else q.MAX_JOINT_DISTANCE
+        c = brute.js_distance(chars, refs[lang][0]) if size >= q.MIN_CHARS or n >= q.MIN_WORDS else None
+        w = brute.js_distance(words, refs[lang][1]) if n >= q.MIN_WORDS else None
+        assert r.class_distance == (c if c is None else pytest.approx(c, abs=1e-6)), i
+        assert r.word_distance == (w if w is None else pytest.approx(w, abs=1e-6)), i
+        joint = None if c is None or w is None else math.sqrt((c * c + w * w) / 2)
+        if all(x is None or abs(x - y) > 1e-6 for x, y in ((c, q.MAX_CLASS_DISTANCE), (joint, limit))):
+            far = c is not None and c > q.MAX_CLASS_DISTANCE or joint is not None and joint > limit
+            assert r.kept == (not r.base_failed and not far), i
+
+
 def test_token_counts(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
