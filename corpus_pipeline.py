@@ -40,10 +40,12 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the divergence test.  NULL and empty
+    """Documents that pass the base rules and the divergence test, whose
+    references come from the labelled documents of ``sf_dir``.  NULL and empty
     texts fail the base rules; repeated rows share their verdict."""
     keyed, key = _keyed(docs)
-    good = quality.judge(keyed, key).filter("kept").select(F.col("id").alias("good")).distinct()
+    known = quality.labelled_references(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    good = quality.judge(keyed, key, references=known).filter("kept").select(F.col("id").alias("good")).distinct()
     return keyed.join(good, keyed[key] == good["good"], "left_semi").drop(key)
 
 
