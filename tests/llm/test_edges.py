@@ -275,13 +275,47 @@ def test_decontamination(spark, none):
     assert decontaminate.contained_items(docs(spark, rows), bench.limit(0)).collect() == []
 
 
-def test_decontamination_in_blocks(spark, monkeypatch):
-    """A benchmark larger than a block gives the same rows."""
-    items = spark.createDataFrame([(i, text(20 + i, 500 + i)) for i in range(40)], "item_id long, text string")
-    rows = docs(spark, [(i, text(30, i) + " " + text(20 + i % 40, 500 + i % 40), "", "") for i in range(60)])
-    whole = {tuple(r) for r in decontaminate.contained_items(rows, items).collect()}
-    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 100)
-    assert {tuple(r) for r in decontaminate.contained_items(rows, items).collect()} == whole and len(whole) >= 60
+def test_decontamination_with_a_full_bitmap(spark, monkeypatch):
+    """A benchmark too large for its bitmap, so that most shingles pass it, gives
+    the same rows; items of every size partition, equal items and copies too."""
+    items = spark.createDataFrame([(i, text(5 + 6 * i, 500 + i)) for i in range(40)] + [(99, text(5 + 6 * 9, 509))],
+                                  "item_id long, text string")
+    rows = [(i, text(30, i) + " " + text(5 + 6 * (i % 40), 500 + i % 40) + " " + text(9, i), "", "") for i in range(60)]
+    rows += [(100 + i, rows[9][1], "", "") for i in range(20)]
+    whole = {tuple(r) for r in decontaminate.contained_items(docs(spark, rows), items).collect()}
+    want = brute.contained([r[:2] for r in rows], [(r.item_id, r.text) for r in items.collect()])
+    assert {(d, i): (n, k) for d, i, n, k in whole} == want and len(want) >= 60
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 1 << 15)
+    monkeypatch.setattr(decontaminate, "PROBES", 1)
+    assert {tuple(r) for r in decontaminate.contained_items(docs(spark, rows), items).collect()} == whole
+
+
+def test_size_partitions():
+    """Each partition has its own anchors and limit; nothing similar is missed, and
+    the limits leave out what shares little."""
+    plans = {n: decontaminate.plan_of(n, 0.8) for n in (1, 5, 15, 16, 31, 32, 63, 64, 1000)}
+    assert plans[1] == (0, 1) and plans[5] == (0, 4) and plans[15] == (0, 12)
+    assert plans[16] == plans[31] and plans[32] == plans[63] != plans[31] and plans[64][0] > plans[63][0]
+    drawn = sorted({p for p in plans.values() if p[0]})
+    assert all(a < b and m < n for (a, m), (b, n) in zip(drawn, drawn[1:]))
+    rng = random.Random(3)
+    for n in (20, 50, 300):
+        anchors, needed = decontaminate.plan_of(n, 0.8)
+        tries = lambda share: [sum(rng.random() < share for _ in range(anchors)) >= needed for _ in range(2000)]
+        assert all(tries(0.8)) and sum(tries(0.2)) < 200
+
+
+def test_bitmap(spark):
+    """No shingle of an item is missed, few others pass."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 2 ** 64, 300, dtype=np.uint64)) for _ in range(20)]
+    frame = spark.createDataFrame([(s.tobytes(),) for s in sets], "shingles binary")
+    bitmap, bits = decontaminate.bitmap_of(frame, sum(map(len, sets)))
+    holds = lambda v: np.all([(bitmap[p >> 3] >> (p & 7)) & 1 for p in (decontaminate.place(v, k, bits)
+                              for k in range(decontaminate.PROBES))], axis=0)
+    assert all(holds(s).all() for s in sets)
+    assert holds(rng.integers(0, 2 ** 64, 100_000, dtype=np.uint64)).mean() < 0.005
 
 
 def test_warc(spark):
