@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_path
@@ -39,3 +39,26 @@ def let(value: Column, body) -> Column:
 def n_words(text: Column) -> Column:
     """Number of words of a text, 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def with_sums_before(df: DataFrame, by: list[str], order: list, values: list[str]) -> DataFrame:
+    """Adds ``<value>_before``: the sum of ``value`` over the rows that come earlier
+    in ``order`` (unique within ``by``), 0 for the first.
+
+    No window holds a whole group: rows are dealt into ranges of (by, order), the
+    sums of earlier ranges are added to the running sum inside each.  The ranges
+    are written once, so every reader sees the same."""
+    ranges = df.repartitionByRange(*[F.col(c) for c in by], *order).withColumn("_range", F.spark_partition_id())
+    ranges = save(ranges, "ranges")
+    place = [*by, "_range"]
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranges.groupBy(*place).agg(*[F.sum(v).alias(f"_s{i}") for i, v in enumerate(values)])
+    sums = sums.select(*[F.col(c).alias(f"_p_{c}") for c in place],
+                       *[F.coalesce(F.sum(f"_s{i}").over(earlier), F.lit(0)).alias(f"_b{i}") for i in range(len(values))])
+    inside = Window.partitionBy(*place).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    here = ranges.select("*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_i{i}") for i, v in enumerate(values)])
+    same = F.lit(True)
+    for c in place:
+        same = same & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+    return here.join(sums, same).select(
+        *df.columns, *[(F.col(f"_i{i}") + F.col(f"_b{i}")).alias(f"{v}_before") for i, v in enumerate(values)])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, save
+from .common import n_words, save, with_sums_before
 
 #: The hash has 60 bits; each refinement fixes as many.
 HASH_BITS, STEP_BITS = 60, 12
@@ -34,25 +34,24 @@ def targets(sizes: DataFrame) -> DataFrame:
 
     The capped shares are min(MOST * size, level * weight) for one level.
     Sources fill up in the order of MOST * size / weight, so the level follows
-    from running sums over one row per source (no row of the data is in this
-    window)."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    w = (sizes.withColumn("rank", F.row_number().over(order) - 1)
-         .withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)),
-                                            (F.col("rank") % len(WEIGHTS) + 1).cast("int")))
+    from running sums over the sources.  There may be a source per web site:
+    ranks and sums are taken range by range, never over all sources in a task."""
+    named = sizes.withColumn("one", F.lit(1).cast("long"))
+    w = with_sums_before(named, [], [F.col("source").asc_nulls_last()], ["one"])
+    w = (w.withColumn("rank", F.col("one_before"))
+         .withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("rank") % len(WEIGHTS) + 1).cast("int")))
          .withColumn("full_at", MOST * F.col("source_size") / F.col("weight")))
-    before = Window.orderBy("full_at", "rank").rowsBetween(Window.unboundedPreceding, -1)
-    rest = Window.orderBy("full_at", "rank").rowsBetween(0, Window.unboundedFollowing)
-    every = Window.partitionBy()
-    w = (w.withColumn("total", F.sum("source_size").over(every))
-         .withColumn("level", (F.col("total") - F.coalesce(MOST * F.sum("source_size").over(before), F.lit(0)))
-                     / F.sum("weight").over(rest))
-         # the level of the first source that does not fill up holds for all
-         .withColumn("open", F.when(F.col("level") <= F.col("full_at"), F.col("level")))
-         .withColumn("common", F.min(F.struct(F.col("open").isNull(), "full_at", "rank", "open")).over(every)["open"]))
+    w = with_sums_before(w.select("source", "source_size", "rank", "weight", "full_at"), [],
+                         [F.col("full_at"), F.col("rank")], ["source_size", "weight"])
+    w = save(w, "targets")
+    total, weights = w.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = (F.lit(total) - MOST * F.col("source_size_before")) / (F.lit(weights) - F.col("weight_before"))
+    # the level of the first source that does not fill up holds for all
+    common = (w.withColumn("level", level).filter(F.col("level") <= F.col("full_at"))
+              .agg(F.min(F.struct("full_at", "rank", "level"))["level"]).first()[0])
     return w.select("source", "source_size", F.least(
         (MOST * F.col("source_size")).cast("double"),
-        F.col("weight") * F.coalesce("common", F.lit(float("inf")))).alias("target"))
+        F.col("weight") * F.lit(float("inf") if common is None else common)).alias("target"))
 
 
 def _thresholds(words: DataFrame, budgets: DataFrame) -> DataFrame:
