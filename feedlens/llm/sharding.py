@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, with_sums_before
 
 #: Hash buckets of movers per target shard, the grain of the quotas.
 QUOTA_BUCKETS = 1024
@@ -27,24 +27,13 @@ FULL = 64
 SLACK = 0.5
 #: A key is large if it has more than this share of a shard's rows.
 LARGE = 1 / 8
-#: Rows numbered in one window.
-NUMBER_GRAIN = 20_000
-
-
-def _number(df: DataFrame, by: str, order: list[str], n_rows: int) -> DataFrame:
-    """Adds ``slot``: gapless from 0 within each ``by``, without putting a
-    whole group into one window: rows are numbered within hash buckets of
-    about ``NUMBER_GRAIN`` rows, counts of the buckets before give the offset."""
-    n = max(1, -(-n_rows // NUMBER_GRAIN))
-    df = df.withColumn("cell", F.pmod(F.xxhash64("key_hash"), F.lit(n)).cast("int"))
-    counts = df.groupBy(by, "cell").agg(F.count("*").alias("c"))
-    run = Window.partitionBy(by).orderBy("cell")
-    offsets = counts.select(F.col(by).alias("b"), F.col("cell").alias("k"), (F.sum("c").over(run) - F.col("c")).alias("offset"))
-    within = Window.partitionBy(by, "cell").orderBy(*order)
-    return (df.withColumn("i", F.row_number().over(within) - 1)
-            .join(offsets, (F.col(by) == F.col("b")) & (F.col("cell") == F.col("k")))
-            .withColumn("slot", (F.col("i") + F.col("offset")).cast("long"))
-            .drop("b", "k", "offset", "i", "cell"))
+
+
+def _number(df: DataFrame, by: str, order: list[str]) -> DataFrame:
+    """Adds ``slot``: gapless from 0 within each ``by`` in ``order``, range by
+    range, so that no key, copy or shard is one window."""
+    counted = with_sums_before(df.withColumn("_one", F.lit(1).cast("long")), [by], [F.col(c) for c in order], ["_one"])
+    return counted.withColumn("slot", F.col("_one_before")).drop("_one", "_one_before")
 
 
 def _pick(values: list[int], at: Column) -> Column:
@@ -91,7 +80,7 @@ def _propagate(linked: DataFrame, quota: list[int], rounds: int, slack: float) -
         big = F.col("here") > F.greatest(F.lit(1), (_pick(free, F.col("target")) / 8).cast("long"))
         state = (linked.join(wish.withColumn("big", big).drop("here"), ["key", "shard"], "left")
                  .withColumn("bucket", F.when(F.col("target").isNotNull(), F.pmod(
-                     F.when(F.col("big"), F.xxhash64("key", "row_hash")).otherwise(F.xxhash64("key")),
+                     F.when(F.col("big"), F.xxhash64("key", "row_number")).otherwise(F.xxhash64("key")),
                      F.lit(QUOTA_BUCKETS)))))
         state = save(state.drop("big"), "moves")
         run = Window.partitionBy("target").orderBy("bucket")
@@ -131,11 +120,15 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         (F.sha2(text, 256) if link is None else link).alias("key"),
         F.xxhash64(F.col(id_col).cast("string"), text).alias("row_hash"))
-    src = save(src.withColumn("shard", F.pmod(F.xxhash64("row_hash"), F.lit(n_shards)).cast("int")), "rows")
+    # a number of its own tells equal rows apart
+    src = save(src.withColumn("row_number", F.monotonically_increasing_id())
+               .withColumn("shard", F.pmod(F.xxhash64("row_hash"), F.lit(n_shards)).cast("int")), "rows")
     n_rows = src.count()
     quota = [n_rows // n_shards + (k < n_rows % n_shards) for k in range(n_shards)]
     several = src.filter(F.col("key").isNotNull()).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    parted = save(src.join(several, "key", "left"), "parted")
+    # rows without a key stay out of the join, where they would meet at NULL
+    keyed, free = src.filter(F.col("key").isNotNull()), src.filter(F.col("key").isNull())
+    parted = save(keyed.join(several, "key", "left").unionByName(free.withColumn("n", F.lit(None).cast("long"))), "parted")
     # large keys first, each row for itself; the rest then fits around them
     large = F.col("n") > max(1, int(LARGE * n_rows / n_shards))
     first = _propagate(parted.filter(large), quota, rounds, 0.0)
@@ -147,15 +140,15 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     linked = linked.withColumn("key_hash", F.when(large, F.col("row_hash")).otherwise(F.xxhash64("key"))).drop("n")
     single = parted.filter(F.col("n").isNull() | (F.col("n") < 2)).drop("n").withColumn("key_hash", F.col("row_hash"))
 
-    order = ["key_hash", "id", "text_crc32", "size"]
-    placed = save(_number(linked, "shard", order, n_rows), "placed")
+    order = ["key_hash", "id", "text_crc32", "row_number"]
+    placed = save(_number(linked, "shard", order), "placed")
     over = F.col("slot") >= _pick(quota, F.col("shard"))
     # rows over the quota (rare: more linked rows than places) join the filler
     pool = (placed.filter(over).drop("slot").unionByName(single)
             .withColumn("one", F.lit(0)))
     used = _used(placed.filter(~over), n_shards)
     room = [q - u for q, u in zip(quota, used)]
-    filler = _number(pool, "one", order, n_rows)
+    filler = _number(pool, "one", order)
     # place i of all free places is in the shard that holds it, behind its linked rows
     first_slot = [used[k] - sum(room[:k]) for k in range(n_shards)]
     filler = (filler.withColumn("shard", _by_room(room, F.col("slot")))
