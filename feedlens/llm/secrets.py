@@ -135,27 +135,70 @@ def _random(token: Column, model: list[float], threshold: float) -> Column:
             & (score(F.when(capitals, F.lower(token)).otherwise(token), model) > limit))
 
 
+_SPANS = "array<struct<k:int,s:int,e:int,t:string>>"
+#: Matches whose places are summed in one go.
+PLACES = 256
+
+
 def _spans(text: Column, pattern: str, kind: str) -> Column:
     """array<struct<kind, start, end, found>> of the leftmost non-overlapping
     matches; starts and ends in code points, from the lengths of the pieces
-    between the matches."""
+    between the matches.
+
+    Places are running sums over blocks of ``PLACES`` matches and then inside each
+    block: a sum over all matches at once would copy the array once per match,
+    which is quadratic in a long text."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
+    pieces = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, f: F.struct(
+        F.length(g).alias("gap"), F.length(f).alias("own"), f.alias("t")))
 
-    def place(both):
+    def inside(block, first):
+        """Spans of one block's pieces; the first piece begins at ``first``."""
         return F.aggregate(
-            F.sequence(F.lit(0), F.size(both["f"]) - 1),
-            F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<k:int,s:int,e:int,t:string>>").alias("out")),
-            lambda acc, i: let(acc["at"] + F.length(both["g"][i]), lambda s: F.struct(
-                (s + F.length(both["f"][i])).alias("at"),
-                F.concat(F.coalesce(acc["out"], F.array().cast("array<struct<k:int,s:int,e:int,t:string>>")), F.array(F.struct(
-                    F.lit(KINDS.index(kind)).alias("k"), s.alias("s"),
-                    (s + F.length(both["f"][i])).alias("e"), both["f"][i].alias("t")))).alias("out"))),
+            block, F.struct(first.alias("at"), F.array().cast(_SPANS).alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + x["own"]).alias("at"),
+                F.concat(acc["out"], F.array(F.struct(
+                    F.lit(KINDS.index(kind)).alias("k"), (acc["at"] + x["gap"]).alias("s"),
+                    (acc["at"] + x["gap"] + x["own"]).alias("e"), x["t"].alias("t")))).alias("out")),
             lambda acc: acc["out"])
 
-    empty = F.array().cast("array<struct<k:int,s:int,e:int,t:string>>")
+    def place(p):
+        blocks = F.sequence(F.lit(0), F.floor((F.size(p) - 1) / PLACES).cast("int"))
+        cut = F.transform(blocks, lambda b: F.slice(p, b * PLACES + 1, F.lit(PLACES)))
+
+        def put(parts):
+            long = F.transform(parts, lambda x: F.aggregate(x, F.lit(0), lambda acc, y: acc + y["gap"] + y["own"]))
+            # where each block begins: one number a block
+            starts = F.aggregate(long, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+            return let(starts, lambda at: F.flatten(F.transform(parts, lambda x, i: inside(x, at[i]))))
+        return let(cut, put)
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), let(pieces, place)).otherwise(F.array().cast(_SPANS))
+
+
+#: Characters of one piece of a mask.
+MASK_PIECE = 512
+
+
+def _mask(text: Column, pattern: str, counts) -> Column:
+    """The text as pieces of ``MASK_PIECE`` characters, 1 inside the matches that
+    ``counts`` accepts and 0 elsewhere; NULL without a match."""
+    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    bits = F.zip_with(gaps, found, lambda g, f: F.concat(
+        F.repeat(F.lit("0"), F.length(g)), F.coalesce(F.repeat(F.when(counts(f), F.lit("1")).otherwise(F.lit("0")), F.length(f)), F.lit(""))))
     return F.when(F.regexp_like(text, F.lit(pattern)),
-                  let(F.struct(found.alias("f"), gaps.alias("g")), place)).otherwise(empty)
+                  F.regexp_extract_all(F.array_join(bits, ""), F.lit(".{1,%d}" % MASK_PIECE), F.lit(0)))
+
+
+def _covered(mask: Column, span: Column) -> Column:
+    """Whether a span overlaps the mask: only the pieces that it touches are read."""
+    first = F.floor(span["s"] / MASK_PIECE).cast("int")
+    last = F.floor((span["e"] - 1) / MASK_PIECE).cast("int")
+    near = F.array_join(F.slice(mask, first + 1, last - first + 1), "")
+    own = F.substr(near, span["s"] - first * MASK_PIECE + 1, span["e"] - span["s"])
+    return F.coalesce(F.contains(own, F.lit("1")), F.lit(False))
 
 
 def _joined(spans: Column) -> Column:
@@ -179,17 +222,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     if model is None:
         model = train(labelled_samples(docs.sparkSession))
     df = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    assign = F.filter(_spans(F.col("text"), ASSIGN, "assign"),
-                      lambda x: F.length(F.regexp_extract(x["t"], ASSIGN, 1)) >= 12)
-    access = F.filter(_spans(F.col("text"), ACCESS, "access"), lambda x: F.length(x["t"]) >= 18)
-    df = df.withColumns({"assign": assign, "access": access, "hex": _spans(F.col("text"), HEX, "hex"),
-                         "tokens": _spans(F.col("text"), TOKEN, "markov")})
+    text = F.col("text")
+    counts = {"assign": (ASSIGN, lambda f: F.length(F.regexp_extract(f, ASSIGN, 1)) >= 12),
+              "access": (ACCESS, lambda f: F.length(f) >= 18), "hex": (HEX, lambda f: F.lit(True))}
+    spans_of = lambda kind: F.filter(_spans(text, counts[kind][0], kind), lambda x: counts[kind][1](x["t"]))
+    df = df.withColumns({**{kind: spans_of(kind) for kind in counts}, "tokens": _spans(text, TOKEN, "markov"),
+                         **{f"{kind}_mask": _mask(text, *counts[kind]) for kind in counts}})
     df = df.select("id", F.concat("assign", "access", "hex").alias("known"),
                    F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
-                   F.size("hex").cast("long").alias("n_hex"), "tokens")
+                   F.size("hex").cast("long").alias("n_hex"), "tokens", *[f"{kind}_mask" for kind in counts])
     known = F.col("known")
     extra = F.filter("tokens", lambda t: _random(t["t"], model, threshold)
-                     & ~F.exists(known, lambda k: (k["s"] < t["e"]) & (t["s"] < k["e"])))
+                     & ~(_covered(F.col("assign_mask"), t) | _covered(F.col("access_mask"), t) | _covered(F.col("hex_mask"), t)))
     df = df.withColumn("markov", extra)
     every = F.concat("known", "markov")
     kinds = F.array(*map(F.lit, KINDS))
