@@ -39,16 +39,6 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
 P_SCOPE = {"table", "td", "th", "button", "caption", "html"}
 
-#: Words in class, id, role and label attributes that hint at a part of a page.
-BAD_HINTS = {"nav", "navbar", "navigation", "menu", "header", "masthead", "footer", "sidebar", "side", "aside", "ad", "ads",
-             "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "promotion", "cookie",
-             "cookies", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "newsletter", "subscribe",
-             "subscription", "signup", "login", "comment", "comments", "respond", "reply", "replies", "disqus", "share",
-             "sharing", "social", "related", "recommended", "breadcrumb", "breadcrumbs", "pagination", "pager",
-             "widget", "search", "toolbar", "skip", "legal", "copyright", "contentinfo", "complementary", "form",
-             "discussion", "taboola", "outbrain", "tags", "toc", "hidden", "warning", "message", "feedback", "topbar"}
-GOOD_HINTS = {"article", "content", "main", "post", "entry", "story", "text", "articlebody", "body", "page"}
-
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?>[^"'>]|"[^"]*"|'[^']*'|["'])*+)(>|$)""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|aria-label|itemprop|style|aria-hidden|type)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden)\b(?!\s*=)""", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -57,29 +47,34 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|$)[^>]*(?:>|$)", re.I) for t in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "hints", "words", "link_words", "sentences")
+    __slots__ = ("tag", "parent", "names", "words", "link_words", "sentences")
 
-    def __init__(self, tag: str, parent: int, hints: str) -> None:
-        self.tag, self.parent, self.hints = tag, parent, hints
+    def __init__(self, tag: str, parent: int, names: tuple[str, ...]) -> None:
+        self.tag, self.parent, self.names = tag, parent, names
         self.words = self.link_words = self.sentences = 0
 
 
-def _hints(attrs: str) -> str:
-    bad = good = False
+HIDDEN = "!hidden"
+
+
+def _names(attrs: str) -> tuple[str, ...]:
+    """The distinct words of the class, id, role and label attributes, and
+    ``HIDDEN`` for an element that is not shown."""
+    found = set()
     for m in _ATTR.finditer(attrs):
         if m[3]:
-            bad = True
+            found.add(HIDDEN)
             continue
         name, value = m[1].lower(), m[2].strip("\"'")
         if name == "style":
-            bad |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+                found.add(HIDDEN)
         elif name == "aria-hidden":
-            bad |= value.lower() == "true"
+            if value.lower() == "true":
+                found.add(HIDDEN)
         elif name != "type":
-            found = set(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
-            bad |= bool(found & BAD_HINTS)
-            good |= bool(found & GOOD_HINTS)
-    return "bad" if bad else "good" if good else "none"
+            found.update(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
+    return tuple(sorted(found))
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
@@ -89,7 +84,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     Tags that a page leaves open or cut off are closed as HTML closes them: a
     block start ends an open paragraph, a list item the item before, the end
     of the page everything."""
-    nodes = [Node("html", -1, "none")]
+    nodes = [Node("html", -1, ())]
     stack: list[tuple[str, int]] = [("html", 0)]      # open elements: tag, block node
     segments: list[tuple[int, str]] = []
     pending: list[str] = []                           # text of the segment being read
@@ -184,7 +179,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 close(lowest)
         if tag in BLOCK:
             flush()
-            nodes.append(Node(tag, stack[-1][1], _hints(m[3]) if m[3] else "none"))
+            nodes.append(Node(tag, stack[-1][1], _names(m[3]) if m[3] else ()))
             stack.append((tag, len(nodes) - 1))
         else:
             links += tag == "a"
@@ -193,34 +188,52 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, segments
 
 
-def features(nodes: list[Node]) -> list[tuple[str, ...]]:
+#: Elements that hold the whole article; words in their attributes tell of the
+#: article (its tags, whether comments are open), not of a part of the page.
+HOLDERS = {"article", "main", "body", "html"}
+
+
+def _places(nodes: list[Node], words: list[int]) -> list[str]:
+    """Where each node is: inside the page's article or main element, in another
+    one, outside of them, or on a page without any.  Of several such elements
+    those with at least half of the longest one's words are the page's; one that
+    is not shown is not.  If the longest holds less than a quarter of the page's
+    words (teasers, comments), the page counts as one without."""
+    top: list[int] = []                               # outermost article or main element, -1 for none
+    for i, n in enumerate(nodes):
+        above = top[n.parent] if n.parent >= 0 else -1
+        top.append(above if above >= 0 else i if n.tag in ("article", "main") and HIDDEN not in n.names else -1)
+    longest = max((words[i] for i, t in enumerate(top) if t == i), default=-1)
+    if longest < 0 or 4 * longest < words[0]:
+        return ["unknown"] * len(nodes)
+    return ["outside" if t < 0 else "inside" if 2 * words[t] >= longest else "other" for t in top]
+
+
+def features(nodes: list[Node]) -> list[tuple[tuple, ...]]:
     """Discrete features of each node: element with its share of link words,
-    hints, length with sentence ends, and place (inside an article or main
-    element, outside of the one that the page has, or on a page without)."""
+    length with sentence ends, place, and every word of its attributes as a
+    feature of its own."""
     words, link_words = [n.words for n in nodes], [n.link_words for n in nodes]
     for i in range(len(nodes) - 1, 0, -1):            # sums over the subtree
         words[nodes[i].parent] += words[i]
         link_words[nodes[i].parent] += link_words[i]
-    inside = [False] * len(nodes)
-    for i, n in enumerate(nodes):                     # from the root down
-        inside[i] = n.parent >= 0 and (inside[n.parent] or n.tag in ("article", "main") and n.hints != "bad")
-    marked = any(inside)
     out = []
-    for i, n in enumerate(nodes):
-        density = "no text" if not words[i] else ("low", "some", "high")[
-            (link_words[i] * 4 > words[i]) + (link_words[i] * 4 > 3 * words[i])]
+    for n, place, w, links in zip(nodes, _places(nodes, words), words, link_words):
+        density = "no text" if not w else ("low", "some", "high")[(links * 4 > w) + (links * 4 > 3 * w)]
         size = "none" if not n.words else "short" if n.words < 5 else "middle" if n.words < 25 else "long"
-        place = "inside" if inside[i] else "outside" if marked else "unknown"
         tag = "h" if n.tag in HEADINGS else n.tag
-        out.append((("links", tag, density), ("hint", n.hints), ("size", size, n.sentences > 0), ("place", tag, place)))
+        kind = "holder" if n.tag in HOLDERS else "element"
+        out.append((("links", tag, density), ("size", size, n.sentences > 0), ("place", tag, place if place != "unknown" else density),
+                    *[("word", kind, x) for x in n.names or ("",)]))
     return out
 
 
 class Model:
-    """Log potentials: root, parent-child, and each feature by label."""
+    """Log potentials: root, parent-child, and each feature by label.  A word of
+    an attribute that no labelled page holds says nothing."""
 
-    def __init__(self, pages: list[tuple[list[Node], list[int]]], smooth: float = 0.2) -> None:
-        root, pair, feature, total = Counter(), Counter(), Counter(), Counter()
+    def __init__(self, pages: list[tuple[list[Node], list[int]]], smooth: float = 0.2, smooth_word: float = 1.0) -> None:
+        root, pair, feature, total, kinds = Counter(), Counter(), Counter(), Counter(), Counter()
         seen: dict[str, set] = {}
         for nodes, labels in pages:
             for n, y, fs in zip(nodes, labels, features(nodes)):
@@ -229,13 +242,17 @@ class Model:
                 else:
                     pair[labels[n.parent], y] += 1
                 total[y] += 1
+                kinds[fs[-1][1], y] += 1
                 for f in fs:
                     feature[f, y] += 1
                     seen.setdefault(f[0], set()).add(f)
         self.root = [math.log((root[y] + smooth) / (sum(root.values()) + 2 * smooth)) for y in (0, 1)]
         self.pair = [[math.log((pair[x, y] + smooth) / (pair[x, 0] + pair[x, 1] + 2 * smooth)) for y in (0, 1)] for x in (0, 1)]
+        # one value each of the first features, any number of words of the last
         self.feature = {f: [math.log((feature[f, y] + smooth) / (total[y] + smooth * len(fs))) for y in (0, 1)]
-                        for fs in seen.values() for f in fs}
+                        for name, fs in seen.items() if name != "word" for f in fs}
+        self.feature |= {f: [math.log((feature[f, y] + smooth_word) / (kinds[f[1], y] + 2 * smooth_word)) for y in (0, 1)]
+                         for f in seen.get("word", ())}
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """Probability that each node is content: sum-product on the tree."""
@@ -288,6 +305,45 @@ def _short(rng: random.Random) -> str:
                        _words(rng, 12).replace(" ", " | "), _words(rng, 9).replace(" ", "*** "), _words(rng, 2).upper() + "!!"])
 
 
+#: Words of class and id attributes on the labelled pages.
+PARTS = ("nav", "navbar", "menu", "header", "footer", "sidebar", "ad", "ads", "advert", "banner", "sponsored", "promo",
+         "cookie", "consent", "notice", "alert", "popup", "modal", "newsletter", "subscribe", "signup", "login", "comment",
+         "comments", "respond", "reply", "share", "social", "related", "recommended", "breadcrumb", "pagination", "search",
+         "toolbar", "copyright", "form")
+EITHER = ("message", "widget", "tags", "warning", "feedback", "legal", "topic", "toc", "page", "box", "panel", "block", "row",
+          "col", "wrap", "inner", "container", "section", "item", "list", "text", "title", "summary", "body", "module", "card")
+OF_ARTICLES = ("post", "entry", "article", "content", "main", "story", "hentry", "type", "status", "publish", "format",
+               "standard", "category", "has", "thumbnail", "single", "full", "width", "articlebody", "prose")
+OF_CONTENT = ("lead", "intro", "paragraph", "highlight", "quote", "caption", "figure", "entry", "content", "text", "story",
+              "article", "dropcap", "code", "table", "note")
+
+
+def _article_names(rng: random.Random) -> str:
+    """Attributes of the element that holds an article, as content systems write
+    them: what it is, its tags and categories, what is switched on."""
+    words = [rng.choice(OF_ARTICLES) for _ in range(rng.randint(1, 4))]
+    about = lambda: rng.choice(PARTS + EITHER)
+    words += [f'{rng.choice(["tag", "tags", "category", "has", "no", "with"])}-{about()}' for _ in range(rng.randint(0, 3))]
+    words += [f'{about()}-{rng.choice(["open", "closed", "on", "off", "enabled"])}'] * (rng.random() < 0.4)
+    rng.shuffle(words)
+    return f' class="{" ".join(words)}"' + (f' id="post-{rng.randint(1, 999)}"' if rng.random() < 0.3 else "")
+
+
+def _block_names(rng: random.Random) -> str:
+    """Attributes of a content block: mostly none."""
+    if rng.random() < 0.7:
+        return ""
+    return f' class="{" ".join(rng.choice(OF_CONTENT + EITHER) for _ in range(rng.randint(1, 2)))}"'
+
+
+def _other(rng: random.Random) -> str:
+    """A part beside the article whose names may also stand on content."""
+    names = " ".join([rng.choice(EITHER), *([rng.choice(PARTS)] if rng.random() < 0.5 else [])])
+    inner = rng.choice([f"<p>{_prose(rng)}</p>", f"<h4>{_words(rng, 2)}</h4><ul><li><a href='/'>{_words(rng, 3)}</a></li></ul>",
+                        f"<span>{_words(rng, 5)}</span>"])
+    return f'<{(t := rng.choice(["div", "section", "aside"]))} class="{names}" y0>{inner}</{t}>'
+
+
 def labelled_page(rng: random.Random) -> str:
     """One training page: layouts of article pages put together by rule.  An
     element with the attribute ``y1`` is content, one with ``y0`` boilerplate;
@@ -317,9 +373,10 @@ def labelled_page(rng: random.Random) -> str:
         x = rng.random()
         if x < 0.58:
             t = "p" if rng.random() < 0.85 else "div"
-            body.append(f"<{t}>{_prose(rng)}</{t}>")
+            body.append(f"<{t}{_block_names(rng)}>{_prose(rng)}</{t}>" if rng.random() < 0.85 else
+                        f"<div{_block_names(rng)}><p>{_prose(rng)}</p><p>{_prose(rng)}</p></div>")
         elif x < 0.76:
-            body.append(f"<p>{_short(rng)}</p>")
+            body.append(f"<p{_block_names(rng)}>{_short(rng)}</p>")
         elif x < 0.82:
             body.append(f"<h{rng.randint(2, 4)}>{_words(rng, 4)}</h2>")
         elif x < 0.88:
@@ -336,12 +393,16 @@ def labelled_page(rng: random.Random) -> str:
             body.append(f"<div>{_prose(rng)}</div>")
         else:
             body.append(rng.choice([ad, form]))       # boilerplate inside the article
-    tag = rng.choice(["<article>", "<article>", "<main>", "<main><article>", '<div class="content">', '<div id="main">',
+    named = _article_names(rng)
+    tag = rng.choice(["<article>", f"<article{named}>", f"<article{named}>", "<main>", f"<main{named}>", "<main><article>",
+                      f"<main><article{named}>", '<div class="content">', '<div id="main">',
                       '<div class="post-body">', "<section>", "<div>", ""])
-    ends = "".join(f"</{t}>" for t in re.findall(r"\w+(?=>| )", tag)[::-1][:2])
-    inner = some(ad, form) if rng.random() < 0.2 else ""
-    return (f"<html><head><title>x</title></head><body y1>{some(notice, header)}{nav if rng.random() < 0.9 else ''}{some(ad)}"
-            f"{tag}{''.join(body)}{inner}{ends}{some(aside, comments, ad, form)}{footer if rng.random() < 0.9 else ''}{some(notice)}</body></html>")
+    ends = "".join(f"</{t}>" for t in re.findall(r"<(\w+)", tag)[::-1])
+    inner = some(ad, form, notice) if rng.random() < 0.2 else ""
+    teasers = "".join(f'<article class="{rng.choice(["teaser", "related", "card", "item"])}" y0><h3><a href="/">{_words(rng, 4)}</a></h3>'
+                      f"<p>{_words(rng, 8)}</p></article>" for _ in range(rng.randint(1, 3)))
+    return (f"<html><head><title>x</title></head><body y1>{some(notice, header)}{nav if rng.random() < 0.9 else ''}{some(ad)}{_other(rng) if rng.random() < 0.3 else ''}"
+            f"{tag}{''.join(body)}{inner}{ends}{some(aside, comments, ad, form, _other(rng))}{teasers if rng.random() < 0.2 else ''}{footer if rng.random() < 0.9 else ''}{some(notice)}</body></html>")
 
 
 def _labels(page: str) -> tuple[list[Node], list[int]]:
@@ -355,7 +416,7 @@ def _labels(page: str) -> tuple[list[Node], list[int]]:
     return nodes, labels
 
 
-def train(n_pages: int = 600, seed: int = 5) -> Model:
+def train(n_pages: int = 900, seed: int = 5) -> Model:
     """A model fitted on ``n_pages`` labelled pages (a bounded, fixed set)."""
     rng = random.Random(seed)
     return Model([_labels(labelled_page(rng)) for _ in range(n_pages)])

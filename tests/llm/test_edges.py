@@ -2,6 +2,7 @@
 clashing extra columns, for every operator and pipeline stage."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -428,6 +429,76 @@ def test_html_model_held_out():
     assert model.marginals(nodes) == pytest.approx([x / whole for x in weight])
 
 
+def test_html_class_words_do_not_decide():
+    """Everyday class names on the article and on its blocks keep their text; the
+    parts around it go."""
+    model = html_text.train()
+    rng = random.Random(8)
+    nav = "<nav><ul><li><a href=x>Home</a></li><li><a href=y>About us</a></li></ul></nav>"
+    foot = "<footer><p>&copy; 2024 Some Company. All rights reserved.</p></footer>"
+    for names in ("post tags-food comments-open", "entry has-sidebar no-footer", "hentry category-ads newsletter-off", "post widget",
+                  "single message-enabled menu-open share-on", "comments-open", "article cookie-consent-on"):
+        for tag in ("article", "main"):
+            a, b = html_text._prose(rng), html_text._prose(rng)
+            page = f'<body>{nav}<{tag} class="{names}"><p>{a}</p><p>{b}</p></{tag}>{foot}</body>'
+            assert html_text.main_text(page, model) == f"{a}\n\n{b}", names
+    for name in ("message", "widget", "tags", "comments-open tags", "warning", "feedback topic"):
+        a, b = html_text._prose(rng), html_text._prose(rng)
+        page = f'<body>{nav}<article><p>{a}</p><div class="{name}"><p>{b}</p></div></article>{foot}</body>'
+        assert html_text.main_text(page, model) == f"{a}\n\n{b}", name
+    a, b = html_text._prose(rng), html_text._prose(rng)
+    page = (f'<body>{nav}<article class="post"><p>{a}</p><div class="ad banner"><p>Buy now.</p></div><p>{b}</p></article>'
+            f'<section class="comments"><article class="comment"><p>I like it.</p></article></section>{foot}</body>')
+    assert html_text.main_text(page, model) == f"{a}\n\n{b}"
+
+
+def other_page(rng):
+    """Pages of another making than the training ones: other elements, other class
+    names.  Blocks and whether they are content."""
+    prose = lambda k=3: " ".join(f"{w.capitalize()} {rng.choice(['runs', 'sees', 'holds'])} the {rng.choice(['house', 'river', 'old book'])} and more words."
+                                 for w in rng.sample(["he", "she", "the child", "a man", "this town"], k))
+    blocks, out = [], []
+
+    def put(html, *texts, keep):
+        out.append(html.format(*texts))
+        blocks.extend((t, keep) for t in texts)
+
+    put('<div id="masthead" role="banner"><div class="site-title">{}</div></div>', f"Site {rng.random():.3f}", keep=False)
+    put('<div role="navigation" class="main-navigation"><ul><li><a href="/a">{}</a></li><li><a href="/b">{}</a></li></ul></div>',
+        f"Front {rng.random():.3f}", f"World {rng.random():.3f}", keep=False)
+    if rng.random() < 0.5:
+        put('<div class="gdpr-cookie-consent"><p>{}</p><button>{}</button></div>', "We use cookies. " + prose(1), f"Fine {rng.random():.2f}", keep=False)
+    start = rng.choice(['<main id="primary" class="site-main"><article id="post-7" class="post-7 post type-post tag-menu comments-open">',
+                        '<article class="story has-ads">', '<main><div class="entry-content">'])
+    out.append(start)
+    put("<h1 class='entry-title'>{}</h1>", f"Headline {rng.random():.4f}", keep=True)
+    for _ in range(rng.randint(2, 6)):
+        put(rng.choice(["<p>{}</p>", "<p class='has-text-align-left'>{}</p>", "<div class='wp-block-group message'><p>{}</p></div>",
+                        "<blockquote><p>{}</p></blockquote>"]), prose(), keep=True)
+    if rng.random() < 0.4:
+        put("<ul class='list'><li>{}</li><li>{}</li></ul>", prose(1), prose(2), keep=True)
+    out.append("".join(f"</{t}>" for t in re.findall(r"<(\w+)", start)[::-1]))
+    if rng.random() < 0.6:
+        put('<div id="comments" class="comments-area"><h2>{}</h2><ol class="comment-list"><li class="comment"><p>{}</p></li></ol></div>',
+            f"{rng.randint(2, 9)} thoughts", prose(), keep=False)
+    put('<div id="secondary" class="sidebar widget-area"><h3>{}</h3><ul><li><a href="/x">{}</a></li></ul></div>',
+        f"Latest {rng.random():.3f}", f"Other story {rng.random():.3f}", keep=False)
+    put('<div id="colophon" class="site-footer" role="contentinfo"><p>{}</p></div>', f"Copyright {rng.random():.3f}", keep=False)
+    return "<html><body>" + "".join(out) + "</body></html>", blocks
+
+
+def test_html_pages_of_another_generator():
+    model, rng = html_text.train(), random.Random(12)
+    right = total = 0
+    for _ in range(200):
+        page, blocks = other_page(rng)
+        got = Counter(html_text.main_text(page, model).split("\n\n"))
+        for t, keep in blocks:
+            right += (got[" ".join(t.split())] > 0) == keep
+            total += 1
+    assert right / total > 0.97, right / total
+
+
 CHAT = "conv long, id long, parent long, role string, text string, score double, leaf string, place long"
 
 
