@@ -37,6 +37,9 @@ SEED = 20240229
 FIRST_BANDS = 4
 #: Hubs a bucket gains from one round to the next.
 GROWTH = 8
+#: Members of a bucket that meet its hubs in one task: a larger bucket is dealt
+#: into so many parts, and its hubs go to each of them.
+PART_MEMBERS = 1000
 
 
 def band_rows(similarity: float, n_hashes: int, miss: float = 1e-6) -> int:
@@ -199,18 +202,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return save(labels.join(roots.withColumnRenamed("node", "comp"), "comp", "left")
                     .select("id", F.coalesce("root", "comp").alias("comp")), "labels")
 
+    bucket_parts = F.greatest(F.lit(1), F.ceil(F.col("size") / PART_MEMBERS)).cast("int")
+
     def hubs_of(members: DataFrame, *columns: str) -> DataFrame:
-        return members.select(*[F.col(c).alias(f"hub_{c}") for c in ("key", "id", "comp", "n", "s", *columns)])
+        return members.select(*[F.col(c).alias(f"hub_{c}") for c in ("key", "id", "comp", "n", "s", *columns)],
+                              F.explode(F.sequence(F.lit(0), bucket_parts - 1)).alias("hub_part"))
+
+    def dealt(members: DataFrame) -> DataFrame:
+        return members.withColumn("part", F.pmod(F.xxhash64("id"), bucket_parts).cast("int"))
 
     # the member with the least of its own is likely to be near to most; ties
     # fall alike in all buckets, so that their hubs are few
     central = F.min(F.struct(~F.col("one"), (1 - F.col("s") / F.col("n")).alias("own"), F.xxhash64("id").alias("tie"), "id",
                              "one", "n", "s")).alias("h")
-    apart = (F.col("key") == F.col("hub_key")) & (F.col("comp") != F.col("hub_comp"))
+    apart = ((F.col("key") == F.col("hub_key")) & (F.col("part") == F.col("hub_part"))
+             & (F.col("comp") != F.col("hub_comp")))
     for bands in (F.col("band") < FIRST_BANDS, F.lit(True)):
         m = buckets.filter(bands).join(labels, "id")
-        hubs = m.groupBy("key").agg(central).select("key", "h.*").join(labels, "id")
-        labels = linked(m.join(hubs_of(hubs), apart & possible(F.least("s", "hub_s"), F.col("n"), F.col("hub_n"))))
+        hubs = m.groupBy("key").agg(central, F.max("size").alias("size")).select("key", "size", "h.*").join(labels, "id")
+        labels = linked(dealt(m).join(hubs_of(hubs), apart & possible(F.least("s", "hub_s"), F.col("n"), F.col("hub_n"))))
 
     def split(members: DataFrame) -> DataFrame:
         """Keys of the buckets that hold several components."""
@@ -247,7 +257,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         earlier = bound / GROWTH if step > 1 else F.lit(0.0)
         hubs = hubs_of(m.filter((F.col("place") < bound) & (F.col("place") >= earlier)).join(open_keys, "key", "left_semi"),
                        "p", "rest", "place", "keys")
-        labels = linked(m.join(hubs, apart & later & possible(most, F.col("n"), F.col("hub_n")) & meet))
+        labels = linked(dealt(m).join(hubs, apart & later & possible(most, F.col("n"), F.col("hub_n")) & meet))
 
     found = (classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
              .select("digest", F.coalesce("comp", "rep").alias("comp")))

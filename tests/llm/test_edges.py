@@ -54,7 +54,7 @@ def test_near_dedup(edge, none):
     assert near_dedup.near_duplicates(none).collect() == []
 
 
-def test_near_dedup_chain_and_large_group(spark):
+def test_near_dedup_chain_and_large_group(spark, monkeypatch):
     """A chain whose ends are unlike, and a group of many near copies."""
     base = text(200, 9).split()
     rows, words = [], list(base)
@@ -65,8 +65,10 @@ def test_near_dedup_chain_and_large_group(spark):
         w = list(base[::-1])
         w[k % 200] = f"own{k}"
         rows.append((1000 + k, " ".join(w)))
-    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, part=85).collect()
-    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows, 3, 85, 100)
+    df, want = spark.createDataFrame(rows, "doc_id long, text string"), brute.near_duplicates(rows, 3, 85, 100)
+    assert {r.id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df, width=3, part=85).collect()} == want
+    monkeypatch.setattr(near_dedup, "PART_MEMBERS", 2)           # every bucket of three and more in parts
+    assert {r.id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df, width=3, part=85).collect()} == want
 
 
 def test_components(spark):
