@@ -23,7 +23,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     a revisit gets its payload's size from the response with its digest."""
     folder = warc.archive_folder(spark)
     index = warc.write_archives(table(spark, sf_dir, "pages"), folder)
-    back = warc.read_records(index, folder).withColumn("sha", F.to_binary(F.sha1("payload"), F.lit("hex")))
+    back = warc.read_records(index, folder)          # checks each response's digests
     number = lambda c: F.regexp_extract(c, "([0-9-]+)>$", 1).try_cast("long")
     # one response stands for a digest; sizes of 0 are equal payloads too
     back = back.select(number("record_id").alias("page_id"), "record_type", F.col("digest").alias("payload_digest"),

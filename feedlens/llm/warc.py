@@ -71,13 +71,15 @@ def record(row_id: int | None, url: str | None, payload: bytes, digest: str, ref
     if revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                  f"WARC-Refers-To: {record_id(refers_to)}"]
+        if refers_url is not None:
+            head.append(f"WARC-Refers-To-Target-URI: {_clean(refers_url)}")
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (lower-case names) and HTTP body of one record; the block
-    digest is checked."""
+    """Headers (lower-case names) and HTTP body of one record; the block digest
+    is checked, and of a response the payload digest."""
     head, rest = data.split(b"\r\n\r\n", 1)
     lines = head.decode("utf-8", "surrogatepass").split("\r\n")
     if not lines[0].startswith("WARC/"):
@@ -86,7 +88,10 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     block = rest[:int(fields["content-length"])]
     if "sha1:" + base32_sha1(block) != fields["warc-block-digest"]:
         raise ValueError(f"damaged record {fields['warc-record-id']}")
-    return fields, block.split(b"\r\n\r\n", 1)[1]
+    body = block.split(b"\r\n\r\n", 1)[1]
+    if fields["warc-type"] == "response" and "sha1:" + base32_sha1(body) != fields["warc-payload-digest"]:
+        raise ValueError(f"wrong payload digest in {fields['warc-record-id']}")
+    return fields, body
 
 
 def _write(folder: str):
@@ -105,7 +110,7 @@ def _write(folder: str):
                     payload = (r["html"] or "").encode("utf-8", "surrogatepass")
                     digest = base32_sha1(payload)
                     gz = zlib.compressobj(6, zlib.DEFLATED, 31)
-                    data = record(r["id"], r["url"], payload, digest, r["refers_to"])
+                    data = record(r["id"], r["url"], payload, digest, r["refers_to"], r["refers_url"])
                     data = gz.compress(data) + gz.flush()
                     out.write(data)
                     rows.append((name, offset, len(data), r["id"], r["url"], digest,
@@ -144,11 +149,12 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     src = src.withColumns({"sha": F.sha1(F.col("html").cast("binary")), "bytes": F.octet_length("html")})
     # one row per payload that occurs more than once
     again = (src.filter(F.col("bytes") >= min_revisit).groupBy("sha", "bytes")
-             .agg(F.max("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-             .select(F.col("sha").alias("s"), F.col("bytes").alias("b"), "first"))
+             .agg(F.max("id").alias("first"), F.max_by("url", "id").alias("first_url"), F.count("*").alias("n")).filter("n > 1")
+             .select(F.col("sha").alias("s"), F.col("bytes").alias("b"), "first", "first_url"))
     rows = (src.join(again, (F.col("sha") == F.col("s")) & (F.col("bytes") == F.col("b")), "left")
-            .select("id", "url", "html", F.when(F.col("id").isNull() | (F.col("id") != F.col("first")),
-                                                F.col("first")).alias("refers_to")))
+            .withColumn("again", F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") != F.col("first"))))
+            .select("id", "url", "html", *[F.when(F.col("again"), F.col(c)).alias(name) for c, name in
+                                           (("first", "refers_to"), ("first_url", "refers_url"))]))
     return save(rows.mapInArrow(_write(folder), INDEX), "warc-index")
 
 
