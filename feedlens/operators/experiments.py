@@ -141,6 +141,47 @@ def linearized_tests(tagged: DataFrame, alpha: float = ALPHA) -> DataFrame:
         (F.col("p") < alpha).alias("reject"))
 
 
+def control_ratios(rows: DataFrame, weight: str | None = None) -> DataFrame:
+    """``ratio_test, control_ctr``: CTR of each test's control (group_a) from tagged
+    user rows, or from rows that stand for ``weight`` users each."""
+    w = F.lit(1) if weight is None else F.col(weight)
+    control = F.col("exp_group") == F.col("group_a")
+    return rows.groupBy(F.col("test").alias("ratio_test")).agg(F.try_divide(
+        F.sum(F.when(control, F.col("likes") * w)), F.sum(F.when(control, F.col("views") * w))).alias("control_ctr"))
+
+
+def linearized(rows: DataFrame, weight: str | None = None) -> DataFrame:
+    """Tagged user rows with ``linearized_likes`` by their test's control CTR: a join
+    with one row per test, which reads the same shuffle as the rows."""
+    r = control_ratios(rows, weight)
+    return (rows.join(r, F.col("test") == F.col("ratio_test"))
+            .withColumn("linearized_likes", F.col("likes") - F.col("control_ctr") * F.col("views"))
+            .drop("ratio_test", "control_ctr"))
+
+
+def linearized_histograms(tagged: DataFrame, bins: int) -> DataFrame:
+    """test, exp_group, bin, bin_lo, bin_hi, n: histograms of linearized likes over
+    each test's range.
+
+    Users are first counted by their likes and views, which are few pairs; the
+    control CTR, the range and the bins all come from these counts, so the events
+    are read once whatever the number of tests."""
+    pairs = (tagged.groupBy("test", "group_a", "exp_group", "likes", "views")
+             .agg(F.count("*").alias("users")))
+    rows = linearized(pairs, "users").filter(F.col("linearized_likes").isNotNull())
+    x = F.col("linearized_likes")
+    # the counts are used here too: both sides of the join plan the same shuffle
+    seen = F.when(F.col("users") > 0, x)
+    ranges = rows.groupBy(F.col("test").alias("range_test")).agg(
+        F.min(seen).cast("double").alias("lo"), F.max(seen).cast("double").alias("hi"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    return (rows.join(ranges, F.col("test") == F.col("range_test"))
+            .groupBy("test", "exp_group", equal_width_bin(x, F.col("lo"), F.col("hi"), bins).alias("bin"), "lo", "hi")
+            .agg(F.sum("users").alias("n"))
+            .select("test", "exp_group", "bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
+                    (F.col("lo") + F.col("bin") * width).alias("bin_hi"), "n"))
+
+
 def ab_test(feed: DataFrame, first, last, control, treatment, alpha: float = ALPHA) -> DataFrame:
     """Welch tests of per-user CTR and of linearized likes for one pair of
     groups; ``linearized_more_sensitive`` tells whether the linearized

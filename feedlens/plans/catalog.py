@@ -264,12 +264,6 @@ def _ab_tagged(base):
     return base.select("*", F.inline(mine))
 
 
-def _ab_users(base, pair):
-    """Users of one A/B pair with linearized likes."""
-    c, t = AB_PAIRS[pair]
-    return experiments.linearized_likes(base.filter(F.col("exp_group").isin(c, t)), c)
-
-
 @query("user_ctr")
 def _user_ctr(spark, d):
     return _aa_users(spark, d)
@@ -303,11 +297,7 @@ def _control_ctr(spark, d):
 
 @query("linearized_likes")
 def _linearized_likes(spark, d):
-    out, base = None, _ab_base(spark, d)
-    for pair in AB_PAIRS:
-        one = _ab_users(base, pair).select(F.lit(pair).alias("test"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return experiments.linearized(_ab_tagged(_ab_base(spark, d))).drop("group_a", "group_b")
 
 
 @query("ctr_histogram")
@@ -317,13 +307,7 @@ def _ctr_histogram(spark, d):
 
 @query("linearized_histogram")
 def _linearized_histogram(spark, d):
-    out, base = None, _ab_base(spark, d)
-    for pair in AB_PAIRS:
-        h = experiments.histogram(_ab_users(base, pair), "linearized_likes", HIST_BINS,
-                                  group_col="exp_group")
-        one = h.select(F.lit(pair).alias("test"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return experiments.linearized_histograms(_ab_tagged(_ab_base(spark, d)), HIST_BINS)
 
 
 @query("welch_ctr")

@@ -89,6 +89,17 @@ def test_a_histogram_reads_its_source_once(spark):
     assert final.count("ReusedExchange") + final.count("ReusedQueryStage") >= 1 or final.count("FileScan") == 1
 
 
+@pytest.mark.parametrize("name", ["linearized_likes", "linearized_histogram", "ctr_histogram", "control_ctr"])
+def test_linearized_metrics_scan_the_events_once(spark, name):
+    """Also with a control CTR and a range: the other readers reuse the shuffle."""
+    df = catalog.registry()[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    nodes = [line for line in plan.splitlines() if "FileScan parquet" in line and "event_type" in line]
+    # the subquery of a single histogram runs first, and the main plan reuses its shuffle
+    assert len(nodes) == (0 if name == "ctr_histogram" else 1) and ("Reused" in plan or name == "control_ctr"), name
+
+
 def test_no_filter_holds_the_p_value_integral(spark):
     for name in ("aa_pvalue_histogram", "aa_false_positive_rate"):
         plan = _plan(catalog.registry()[name](spark, SF_SMALL))
