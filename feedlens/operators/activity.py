@@ -52,19 +52,22 @@ def activity_bits(events: DataFrame) -> DataFrame:
 
 def update(spark: SparkSession, events: DataFrame, first, last, path: str) -> None:
     """Load the days [first, last] of ``events`` into the state at ``path``,
-    replacing what it held of them.  Only blocks with such days are touched."""
+    replacing what it held of them.  Only blocks with such days are touched; loads
+    of different days of one block may run at once."""
     a, b = ((as_date(d) - ORIGIN).days for d in (first, last))
     blocks = list(range(a // DAYS, b // DAYS + 1))
     mask = lambda k: sum(1 << i for i in range(DAYS) if a <= k * DAYS + i <= b)
     keep = {k: ~mask(k) for k in blocks}
-    old = published.read(spark, path, SCHEMA, lambda v: int(v) in keep)
     cleared = F.col("bits")
     for k, m in keep.items():
         cleared = F.when(F.col("block") == k, F.col("bits").bitwiseAND(F.lit(m))).otherwise(cleared)
     new = activity_bits(events.filter(time_in_days(first, last)))
-    both = old.withColumn("bits", cleared).unionByName(new)
-    state = both.groupBy("block", "user_id", "source").agg(F.bit_or("bits").alias("bits")).filter("bits != 0")
-    published.publish(state, path, F.col("block"), blocks)
+
+    def merged(old: DataFrame) -> DataFrame:
+        return (old.withColumn("bits", cleared).unionByName(new).groupBy("block", "user_id", "source")
+                .agg(F.bit_or("bits").alias("bits")).filter("bits != 0"))
+
+    published.rewrite(spark, path, SCHEMA, F.col("block"), blocks, merged)
 
 
 def load(spark: SparkSession, path: str, first=None, last=None) -> DataFrame:

@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 _PART = "__part"
 
 
+class Conflict(RuntimeError):
+    """A part changed between reading it and publishing what was made of it."""
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -64,12 +68,16 @@ def parts(spark: SparkSession, path: str) -> dict[str, str]:
     return {}
 
 
-def _commit(spark: SparkSession, path: str, changes: dict[str, str | None]) -> None:
-    """Publish ``changes`` (None takes a part away) on top of the newest manifest."""
+def _commit(spark: SparkSession, path: str, changes: dict[str, str | None], seen: dict[str, str] | None = None) -> None:
+    """Publish ``changes`` (None takes a part away) on top of the newest manifest.
+    With ``seen``, only if the changed parts are still those."""
     jvm, fs = _fs(spark, path)
     while True:
         numbers = _numbers(spark, path)
-        now = {k: v for k, v in (parts(spark, path) | changes).items() if v is not None}
+        old = parts(spark, path)
+        if seen is not None and any(old.get(k) != seen.get(k) for k in changes):
+            raise Conflict(f"{path} was changed meanwhile")
+        now = {k: v for k, v in (old | changes).items() if v is not None}
         target = jvm.org.apache.hadoop.fs.Path(f"{path}/manifests/{(numbers[-1] if numbers else 0) + 1:012d}.json")
         try:
             out = fs.create(target, False)
@@ -85,10 +93,12 @@ def _commit(spark: SparkSession, path: str, changes: dict[str, str | None]) -> N
         return
 
 
-def publish(df: DataFrame, path: str, part: Column, values: list) -> None:
+def publish(df: DataFrame, path: str, part: Column, values: list, seen: dict[str, str] | None = None) -> None:
     """Replace the parts ``values`` of the table at ``path`` by the rows of
     ``df``; ``part`` gives a row's part.  A value without rows becomes an empty
-    part, a row of another part is an error.  ``df`` may read the same table."""
+    part, a row of another part is an error.  ``df`` may read the same table; what
+    is made of a part's old rows goes with ``seen``, the ``parts`` that were read,
+    and raises ``Conflict`` if another writer has replaced them since."""
     spark = df.sparkSession
     names = [str(v) for v in values]
     own = part.cast("string")
@@ -100,13 +110,15 @@ def publish(df: DataFrame, path: str, part: Column, values: list) -> None:
     jvm, fs = _fs(spark, path)
     full = {v: f"{folder}/{_PART}={v}" for v in names}
     written = {v: f for v, f in full.items() if fs.exists(jvm.org.apache.hadoop.fs.Path(f))}
-    _commit(spark, path, {v: written.get(v) for v in names})
+    _commit(spark, path, {v: written.get(v) for v in names}, seen)
 
 
-def read(spark: SparkSession, path: str, schema, keep=None) -> DataFrame:
+def read(spark: SparkSession, path: str, schema, keep=None, seen: dict[str, str] | None = None) -> DataFrame:
     """The published rows; ``keep(value)`` chooses parts by name before any file
-    is opened.  No table, or no part that is kept, gives no rows."""
-    folders = [f for v, f in sorted(parts(spark, path).items()) if keep is None or keep(v)]
+    is opened; ``seen`` are the ``parts`` of an earlier moment.  No table, or no
+    part that is kept, gives no rows."""
+    now = parts(spark, path) if seen is None else seen
+    folders = [f for v, f in sorted(now.items()) if keep is None or keep(v)]
     if not folders:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*folders)
@@ -133,3 +145,16 @@ def vacuum(spark: SparkSession, path: str) -> int:
     for number in _numbers(spark, path)[:-1]:
         fs.delete(P(f"{path}/manifests/{number:012d}.json"), False)
     return gone
+
+
+def rewrite(spark: SparkSession, path: str, schema, part: Column, values: list, change, tries: int = 5) -> None:
+    """Replace the parts ``values`` by ``change(old rows of them)``; done again on
+    the new rows if another writer replaced them meanwhile."""
+    names = {str(v) for v in values}
+    for left in range(tries - 1, -1, -1):
+        seen = parts(spark, path)
+        try:
+            return publish(change(read(spark, path, schema, names.__contains__, seen)), path, part, values, seen)
+        except Conflict:
+            if not left:
+                raise

@@ -153,10 +153,12 @@ def upsert_windows(changed: DataFrame, path: str, kind: str) -> None:
         days = [r[0] for r in changed.select(_day().alias("d")).distinct().collect()]   # days touched by one batch
         if not days:
             return
-        old = published.read(spark, path, _live_schema(kind), lambda v: v in set(days))
         keys = ["window_start", "bucket"]
-        kept = old.join(changed.select(*keys), keys, "left_anti").select(changed.columns)
-        published.publish(kept.unionByName(changed), path, _day(), days)
+
+        def merged(old: DataFrame) -> DataFrame:
+            return old.join(changed.select(*keys), keys, "left_anti").select(changed.columns).unionByName(changed)
+
+        published.rewrite(spark, path, _live_schema(kind), _day(), days, merged)
     finally:
         changed.unpersist()
 

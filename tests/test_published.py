@@ -86,3 +86,24 @@ def test_a_table_may_be_rewritten_from_itself(spark, path):
     assert seen(spark, path) == [("a", 2), ("b", 2)]
     gone = published.vacuum(spark, path)
     assert gone == 1 and seen(spark, path) == [("a", 2), ("b", 2)]
+
+
+def test_a_rewrite_is_done_again_when_the_part_changed(spark, path, monkeypatch):
+    put(spark, path, [("a", 1)], ["a"])
+    real, raced = published.publish, []
+
+    def publish(df, *args):
+        if not raced:                       # another writer replaces the part after it was read
+            raced.append(True)
+            real(spark.createDataFrame([("a", 100)], SCHEMA), path, F.col("dt"), ["a"])
+        return real(df, *args)
+
+    monkeypatch.setattr(published, "publish", publish)
+    published.rewrite(spark, path, SCHEMA, F.col("dt"), ["a"], lambda old: old.withColumn("n", F.col("n") + 1))
+    monkeypatch.undo()
+    assert seen(spark, path) == [("a", 101)]
+    old = published.parts(spark, path)
+    put(spark, path, [("a", 5)], ["a"])
+    with pytest.raises(published.Conflict):
+        published.publish(spark.createDataFrame([("a", 6)], SCHEMA), path, F.col("dt"), ["a"], old)
+    assert seen(spark, path) == [("a", 5)]
