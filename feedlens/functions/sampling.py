@@ -184,18 +184,15 @@ def resample_without_replacement(spark, members: DataFrame, group_col: str, valu
                                  groups: list, sims: int, sample_size: int, seed: int,
                                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Rows (sim, group, value): ``sample_size`` distinct members per
-    simulation and group.
+    simulation and group, or all members of a group that has fewer.
 
     Draw d of a simulation is the image of d under a permutation of the arm's
     indexes keyed by (seed, sim, group): distinct by construction, so there is
     no candidate round, window or shuffle before the member join."""
     indexed, sizes = _members_and_sizes(spark, members, group_col, value_col, groups, buckets)
-    n_by_group = {r[group_col]: r["n"] for r in sizes.collect()}   # one row per arm
-    short = [g for g in groups if n_by_group.get(g, 0) < sample_size]
-    if short:
-        raise ValueError(f"groups {short} have fewer than {sample_size} members")
-    small = sum(n_by_group.values()) * _MEMBER_ROW_BYTES <= broadcast_limit_bytes(spark)
-    draws = _draws(spark, sizes, group_col, groups, sims, sample_size)
+    n_members = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    small = 0 <= n_members * _MEMBER_ROW_BYTES <= broadcast_limit_bytes(spark)
+    draws = _draws(spark, sizes, group_col, groups, sims, sample_size).filter("draw < n")
     draws = with_permuted_index(draws, seed, ["sim", group_col], "draw").select("sim", group_col, "idx")
     side = F.broadcast(indexed) if small else indexed
     return draws.join(side, [group_col, "idx"]).select("sim", group_col, value_col)

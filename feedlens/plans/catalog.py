@@ -30,7 +30,7 @@ AA_GROUPS = (2, 3)
 AB_WEEK = (_dt.date(2024, 1, 15), _dt.date(2024, 1, 21))
 AB_PAIRS = {"03": (0, 3), "12": (1, 2)}
 SIMS, SAMPLE_SIZE, SEED = 10_000, 500, 42
-DISTINCT_SIMS, DISTINCT_SIZE = 2_000, 10   # the smallest test table has few users an arm
+DISTINCT_SIMS, DISTINCT_SIZE = 2_000, 20   # the test tables have few users an arm
 HIST_BINS = 20
 PVALUE_BINS = 50
 CAMPAIGN_DAY = _dt.date(2024, 1, 2)

@@ -76,3 +76,35 @@ def test_without_replacement_calibration(spark):
     assert sims.count() == 600
     share = experiments.false_positive_rate(sims).first().share_pct
     assert 1.0 <= share <= 7.5
+
+
+def test_without_replacement_takes_all_of_a_small_arm(spark):
+    members = spark.range(0, 40).select(
+        F.when(F.col("id") < 5, 2).otherwise(3).cast("int").alias("exp_group"),
+        F.col("id").alias("user_id"), (F.col("id") * 1.0).alias("ctr"))
+    from feedlens.functions.sampling import resample_without_replacement
+    got = resample_without_replacement(spark, members, "exp_group", "ctr", [2, 3, 4], sims=20, sample_size=12, seed=1)
+    per = {(r.sim, r.exp_group): sorted(r.v) for r in
+           got.groupBy("sim", "exp_group").agg(F.collect_list("ctr").alias("v")).collect()}
+    assert len(per) == 40                       # nothing of the empty arm
+    assert all(v == [0.0, 1.0, 2.0, 3.0, 4.0] if g == 2 else len(set(v)) == 12 for (_, g), v in per.items())
+    assert len({tuple(v) for (_, g), v in per.items() if g == 3}) > 15
+
+
+def test_permutation_is_a_permutation_and_even(spark):
+    """Every position has its own image for any n and key; over the keys each image
+    is about equally likely, also in pairs."""
+    from feedlens.functions.sampling import with_permuted_index
+
+    n, keys = 23, 4000
+    df = spark.range(0, n * keys).select((F.col("id") % n).alias("d"), F.expr(f"id div {n}").alias("s"),
+                                         F.lit(n).cast("bigint").alias("n"))
+    out = with_permuted_index(df, 7, ["s"], "d")
+    assert out.groupBy("s").agg(F.count_distinct("idx").alias("k"), F.min("idx").alias("lo"), F.max("idx").alias("hi")) \
+        .filter((F.col("k") != n) | (F.col("lo") != 0) | (F.col("hi") != n - 1)).count() == 0
+    first = [r["count"] for r in out.filter("d = 0").groupBy("idx").count().collect()]
+    assert len(first) == n and max(first) < 1.35 * keys / n and min(first) > 0.65 * keys / n
+    pairs = out.filter("d < 2").groupBy("s").agg(F.max(F.when(F.col("d") == 0, F.col("idx"))).alias("a"),
+                                                 F.max(F.when(F.col("d") == 1, F.col("idx"))).alias("b"))
+    gaps = [r["count"] for r in pairs.groupBy(((F.col("b") - F.col("a") + n) % n).alias("g")).count().collect()]
+    assert len(gaps) == n - 1 and max(gaps) < 1.4 * keys / (n - 1) and min(gaps) > 0.6 * keys / (n - 1)
