@@ -126,11 +126,16 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     n_rows = src.count()
     quota = [n_rows // n_shards + (k < n_rows % n_shards) for k in range(n_shards)]
     several = src.filter(F.col("key").isNotNull()).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    # rows without a key stay out of the join, where they would meet at NULL
-    keyed, free = src.filter(F.col("key").isNotNull()), src.filter(F.col("key").isNull())
-    parted = save(keyed.join(several, "key", "left").unionByName(free.withColumn("n", F.lit(None).cast("long"))), "parted")
     # large keys first, each row for itself; the rest then fits around them
     large = F.col("n") > max(1, int(LARGE * n_rows / n_shards))
+    several = save(several, "keys")
+    # a large key's rows find their number without meeting in one task: there are at
+    # most n_shards / LARGE such keys; rows without a key stay out of the joins
+    hot = F.broadcast(several.filter(large))
+    keyed, free = src.filter(F.col("key").isNotNull()), src.filter(F.col("key").isNull())
+    parted = save(keyed.join(hot, "key")
+                  .unionByName(keyed.join(hot.select("key"), "key", "left_anti").join(several.filter(~large), "key", "left"))
+                  .unionByName(free.withColumn("n", F.lit(None).cast("long"))), "parted")
     first = _propagate(parted.filter(large), quota, rounds, 0.0)
     room = [max(0, q - u) for q, u in zip(quota, _used(first, n_shards))]
     at = F.pmod(F.xxhash64("row_hash"), F.lit(max(1, sum(room))))
