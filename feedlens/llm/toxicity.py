@@ -38,9 +38,10 @@ from pyspark.sql import functions as F
 
 #: Bounds of the labelled sample.
 TOXIC, CLEAN, LONGEST = 1500, 3000, 10_000
-#: A seed: held by this many toxic documents, this many times as often as by
-#: clean ones, with this many standard errors between the shares.
-SEED_DOCS, SEED_RATIO, SEED_Z = 5, 6.0, 5.0
+#: A seed: held by this many toxic documents, with this many standard errors
+#: between the shares of toxic and clean ones, and with this many times as many
+#: tokens a document (of one document at most ``MOST_TOKENS`` count).
+SEED_DOCS, SEED_Z, SEED_RATIO, MOST_TOKENS = 5, 4.0, 6.0, 4
 #: Features of the field: at least this support, at most so many.
 FEATURE_DOCS, FEATURE_Z, FEATURES = 3, 2.0, 20_000
 #: Tokens of one training sequence.
@@ -129,24 +130,34 @@ def without_copies(texts: list[tuple[list[str], int]], minima: int = 16) -> list
     return kept
 
 
-def _feature_counts(documents: list[list[str]]) -> Counter:
-    counts: Counter = Counter()
+def _feature_counts(documents: list[list[str]]) -> tuple[Counter, Counter]:
+    """Documents that hold each feature, and its tokens, of one document at most
+    ``MOST_TOKENS``."""
+    held: Counter = Counter()
+    tokens: Counter = Counter()
     for words in documents:
-        counts.update({f for w in set(words) for f in features(w)})
-    return counts
+        own: Counter = Counter()
+        for w, n in Counter(words).items():
+            for f in features(w):
+                own[f] += n
+        held.update(own.keys())
+        tokens.update({f: min(n, MOST_TOKENS) for f, n in own.items()})
+    return held, tokens
 
 
 def choose(toxic: list[list[str]], clean: list[list[str]]) -> tuple[set[str], list[str]]:
     """Seeds, and the features of the field in order of their evidence."""
-    held = {f: n for f, n in _feature_counts(toxic).items() if n >= FEATURE_DOCS}
-    other = _feature_counts(clean)
+    (held, often), (other, rarely) = _feature_counts(toxic), _feature_counts(clean)
     n, m = len(toxic), len(clean)
     seeds, scored = set(), []
     for f, a in held.items():
+        if a < FEATURE_DOCS:
+            continue
         b = other.get(f, 0)
         share = (a + b) / (n + m)
         z = (a / n - b / m) / math.sqrt(max(share * (1 - share), 1e-9) * (1 / n + 1 / m))
-        if a >= SEED_DOCS and z >= SEED_Z and (a + .5) / (n + 1) >= SEED_RATIO * (b + .5) / (m + 1):
+        ratio = (often[f] + .5) / (n + 1) / ((rarely.get(f, 0) + .5) / (m + 1))
+        if a >= SEED_DOCS and z >= SEED_Z and ratio >= SEED_RATIO:
             seeds.add(f)
         if z >= FEATURE_Z:
             scored.append((-z, f))
