@@ -17,8 +17,9 @@ from feedlens.plans.catalog import registry  # noqa: E402
 from feedlens.session import build_session  # noqa: E402
 
 HEADLINE = ["main_metric_report", "full_report", "daily_slices", "feed_traffic",
-            "users_feed_only", "welch_ctr", "aa_resample", "retention_feed",
-            "weekly_audience", "realtime_feed"]
+            "users_feed_only", "welch_ctr", "ab_test_03", "linearized_histogram", "aa_resample",
+            "aa_pvalue_histogram", "retention_feed", "retention_feed_incremental", "weekly_audience",
+            "weekly_audience_feed", "full_report_store", "users_both_services_state", "realtime_feed"]
 
 OPS = ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin",
        "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct", "Expand",
