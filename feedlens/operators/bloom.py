@@ -28,7 +28,9 @@ def blocks_for(n_keys: int, bits_per_key: int = BITS_PER_KEY) -> int:
 
 
 def _block(key: Column, n_blocks: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(1), key), F.lit(n_blocks))
+    """Declared non-NULL, or the optimizer adds ``isnotnull(<hash>)`` to the scan
+    and hashes every key twice."""
+    return F.coalesce(F.pmod(F.xxhash64(F.lit(1), key), F.lit(n_blocks)), F.lit(-1).cast("bigint"))
 
 
 def _places(key: Column) -> list[Column]:
