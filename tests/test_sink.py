@@ -63,3 +63,26 @@ def test_a_failed_publish_leaves_the_old_day(spark, monkeypatch):
         sinks.publish_slices(day, path, "2024-01-28")
     sinks.publish_slices(day.limit(0), path, "2024-01-29")
     assert sinks.read_slices(spark, path, "2024-01-29", "2024-01-29").count() == 0
+
+
+def test_jdbc_options():
+    """A partitioned read names its query as a table and bounds its ranges."""
+    from feedlens.sources.readers import jdbc_options
+
+    assert jdbc_options("SELECT 1") == {"query": "SELECT 1"}
+    got = jdbc_options("SELECT * FROM t", "day", "2024-01-01", "2024-02-01", 16)
+    assert got == {"dbtable": "(SELECT * FROM t) part_source", "partitionColumn": "day", "lowerBound": "2024-01-01",
+                   "upperBound": "2024-02-01", "numPartitions": "16"}
+    with pytest.raises(ValueError, match="lower"):
+        jdbc_options("SELECT 1", "day")
+
+
+def test_sql_text_binds_its_parameters(spark):
+    """Parameters are values, never text, and table names are the caller's frames."""
+    from feedlens.sources.readers import sql_frame
+
+    a = spark.createDataFrame([(1, "x"), (2, "y'; DROP")], "n long, s string")
+    text = "SELECT n FROM {t} WHERE s = :s AND n >= :low"
+    assert [r.n for r in sql_frame(spark, text, {"t": a}, s="y'; DROP", low=1).collect()] == [2]
+    assert sql_frame(spark, text, {"t": a.filter("n = 1")}, s="y'; DROP", low=1).collect() == []
+    assert not spark.catalog.tableExists("t")
